@@ -1,0 +1,5 @@
+"""No streaming operator is offered: every job here compares two snapshots.
+
+All operators are plain ``DataFrame -> DataFrame`` functions, so they also run
+on the micro-batch handed to ``foreachBatch``.
+"""
