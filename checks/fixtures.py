@@ -107,29 +107,28 @@ def _columns(table: str, side: str) -> dict[str, str]:
     return {c: e[SIDE[side]] for c, e in spec.items() if e[SIDE[side]] is not None}
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Snapshot rows before deduplication, with the ordering columns of the base table."""
+def raw(read, name: str) -> DataFrame:
+    """Snapshot rows before deduplication, with the ordering columns of the base table.
+
+    ``read`` gives a base table by name.
+    """
     side, table = name.split("_", 1)
     source, present, _ = SNAPSHOT[table]
     order = ORDER if table in UPSERTED else []
-    return base(spark, sf_dir, source).where(present[SIDE[side]]).select(
+    return read(source).where(present[SIDE[side]]).select(
         *[F.expr(e).alias(c) for c, e in _columns(table, side).items()], *order
     )
 
 
-def snapshot(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def snapshot(read, name: str) -> DataFrame:
     """One of the eight snapshot tables, e.g. ``db_dataitem``."""
     side, table = name.split("_", 1)
-    rows = raw(spark, sf_dir, name)
+    rows = raw(read, name)
     if table not in UPSERTED:
         return rows
     return latest_rows(rows, schemas.KEYS[table], ORDER, list(_columns(table, side)))
 
 
-def snapshots(spark: SparkSession, sf_dir: str, side: str) -> dict[str, DataFrame]:
-    return {t: snapshot(spark, sf_dir, f"{side}_{t}") for t in schemas.TABLES}
-
-
 def _snapshot_sql(name: str) -> str:
     side, table = name.split("_", 1)
     source, present, _ = SNAPSHOT[table]
@@ -255,10 +254,10 @@ def _closure(names) -> list[str]:
     return out
 
 
-def catalog_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def catalog_table(spark: SparkSession, read, name: str) -> DataFrame:
     """One catalog table; the base tables are read in full."""
     for t in ("part", "orders", "lineitem"):
-        base(spark, sf_dir, t).createOrReplaceTempView(t)
+        read(t).createOrReplaceTempView(t)
     parts = ", ".join(f"{n} AS ({CATALOG[n]})" for n in _closure([name]))
     return spark.sql(f"WITH {parts} SELECT * FROM {name}")
 

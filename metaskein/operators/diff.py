@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import without
+from .skew import hot_keys, without
 
 
 def new_rows(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -44,6 +44,16 @@ def sets_deleted(db_sets: DataFrame, dh_sets: DataFrame) -> DataFrame:
     return deleted_rows(db_sets, dh_sets, ["physical_nm"])
 
 
+def definition_differs(db: str, dh: str) -> Column:
+    """The flag: trimmed texts differ; a NULL on either side is no difference."""
+    return F.coalesce(F.trim(db) != F.trim(dh), F.lit(False))
+
+
+def definition_changed(db: str, dh: str) -> Column:
+    """The row filter: NULL counts as empty text, and the db side must be filled."""
+    return ~X.is_blank(db) & (F.trim(X.or_empty(db)) != F.trim(X.or_empty(dh)))
+
+
 def sets_updated(db_sets: DataFrame, dh_sets: DataFrame) -> DataFrame:
     """Sets on both sides whose trimmed definition differs and is filled on the db side.
 
@@ -52,11 +62,10 @@ def sets_updated(db_sets: DataFrame, dh_sets: DataFrame) -> DataFrame:
     """
     db = db_sets.select("physical_nm", "schema", F.col("definition").alias("db_def"))
     dh = dh_sets.select("physical_nm", "id", F.col("definition").alias("dh_def"))
-    differs = F.coalesce(F.trim("db_def") != F.trim("dh_def"), F.lit(False))
+    differs = definition_differs("db_def", "dh_def")
     return (
-        db.where(~X.is_blank("db_def"))
-        .join(dh, "physical_nm")
-        .where(F.trim("db_def") != F.trim(X.or_empty("dh_def")))
+        db.join(dh, "physical_nm")
+        .where(definition_changed("db_def", "dh_def"))
         .select(
             "physical_nm",
             "schema",
@@ -123,8 +132,11 @@ class ItemField:
         db, dh = F.coalesce(db, F.lit(self.if_null)), F.coalesce(dh, F.lit(self.if_null))
         return (db != dh) & (F.length(db) > 0) if self.only_filled else db != dh
 
+    def changed(self) -> Column:
+        return F.coalesce(self.seen("db") != self.seen("dh"), F.lit(False))
+
     def outputs(self) -> list[Column]:
-        changed = F.coalesce(self.seen("db") != self.seen("dh"), F.lit(False))
+        changed = self.changed()
         return [
             changed.alias(f"{self.name}_changed"),
             F.when(changed, self.seen("db")).alias(f"{self.name}_database"),
@@ -246,7 +258,8 @@ def joins_new(db_joins: DataFrame, dh_joins: DataFrame, dh_rels: DataFrame) -> D
     known = dh_rels.select(F.col("physical_nm").alias("db_relationship_id"))
     pair = ["parent_fqdn", "child_fqdn"]
     candidates = new_rows(db_joins.dropna(subset=pair), known, ["db_relationship_id"])
-    return without(candidates, dh_joins, pair, ["db_relationship_id"]).select(*db_joins.columns)
+    hot = hot_keys(db_joins, pair)
+    return without(candidates, dh_joins, pair, ["db_relationship_id"], hot).select(*db_joins.columns)
 
 
 def joins_deleted(db_joins: DataFrame, dh_joins: DataFrame, db_rels: DataFrame) -> DataFrame:

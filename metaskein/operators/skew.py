@@ -9,7 +9,7 @@ aggregate and spread over several salts; all other keys keep salt 0.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A key with more rows than this is spread over several tasks.
@@ -82,3 +82,16 @@ def without(left: DataFrame, right: DataFrame, keys: list[str], spread: list[Col
             hot: DataFrame | None = None) -> DataFrame:
     """Rows of ``left`` whose key tuple is not in ``right``; both sides may repeat keys."""
     return salted_join(left, right.select(*keys).distinct(), keys, "left_anti", spread, hot)
+
+
+def number_in_parts(df: DataFrame, keys: list[str], order_by: list[str], chunk: int) -> DataFrame:
+    """Add ``part``: at most ``chunk`` rows of a key share a part number.
+
+    Parts count from 0 in ``order_by`` order. A key too large for one task is numbered
+    per salt and its parts carry the salt: still distinct, and no row is left out.
+    """
+    w = Window.partitionBy(*keys, SALT).orderBy(*order_by)
+    local = F.floor((F.row_number().over(w) - 1) / chunk)
+    # Room for 2^31 parts per salt; without a salt the number stays small.
+    part = (F.col(SALT).cast("bigint") * (1 << 31) + local).cast("bigint")
+    return salted(df, keys, order_by).withColumn("part", part).drop(SALT)
