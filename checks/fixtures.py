@@ -96,6 +96,7 @@ SNAPSHOT = {
 }
 UPSERTED = ("dataitem", "join")  # the base rows repeat keys: last in ORDER wins
 SIDE = {"db": 0, "dh": 1}
+ALL_SNAPSHOTS = tuple(f"{side}_{table}" for side in SIDE for table in SNAPSHOT)
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -254,11 +255,18 @@ def _closure(names) -> list[str]:
     return out
 
 
+SHARED = ("_cols", "_fks", "_matview")  # inputs several catalog tables are made of
+
+
 def catalog_table(spark: SparkSession, read, name: str) -> DataFrame:
-    """One catalog table; the base tables are read in full."""
-    for t in ("part", "orders", "lineitem"):
+    """One catalog table; the base tables are read in full.
+
+    ``read`` gives base tables and the shared inputs by name.
+    """
+    needs = [n for n in _closure([name]) if n not in SHARED or n == name]
+    for t in ("part", "orders", "lineitem", *[n for n in _closure([name])[:-1] if n in SHARED]):
         read(t).createOrReplaceTempView(t)
-    parts = ", ".join(f"{n} AS ({CATALOG[n]})" for n in _closure([name]))
+    parts = ", ".join(f"{n} AS ({CATALOG[n]})" for n in needs)
     return spark.sql(f"WITH {parts} SELECT * FROM {name}")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .fixtures import ORDER, oracle
+from .fixtures import ALL_SNAPSHOTS, ORDER, oracle
 from .queries import CHUNK
 
 ORACLES: dict[str, str] = {}
@@ -87,8 +87,7 @@ DIFF["joins_updated"] = """SELECT db_relationship_id, parent_fqdn, child_fqdn,
 
 
 def _tables(sql: str) -> list[str]:
-    names = [f"{side}_{t}" for side in ("db", "dh") for t in ("dataset", "dataitem", "relationship", "join")]
-    return [n for n in names if f" {n} " in f" {sql.replace(')', ' ').replace(chr(10), ' ')} "]
+    return [n for n in ALL_SNAPSHOTS if f" {n} " in f" {sql.replace(')', ' ').replace(chr(10), ' ')} "]
 
 
 for _name, _sql in DIFF.items():
@@ -96,7 +95,6 @@ for _name, _sql in DIFF.items():
 
 # --- cascades --------------------------------------------------------------------
 
-ALL = [f"{side}_{t}" for side in ("db", "dh") for t in ("dataset", "dataitem", "relationship", "join")]
 _KEY_TYPE = "CASE WHEN {0}is_pk THEN 'primary' WHEN {0}key_nm <> '' THEN 'foreign' END"
 _KEY_NAME = "CASE WHEN trim({0}) <> '' THEN {0} END"
 CASCADE = {
@@ -157,7 +155,7 @@ CASCADE = {
 
 
 def cascaded(body: str, **extra: str) -> str:
-    return oracle(body, *ALL, extra={**CASCADE, **extra})
+    return oracle(body, *ALL_SNAPSHOTS, extra={**CASCADE, **extra})
 
 
 ORACLES["set_delta_cascade"] = cascaded("FROM set_chg")
@@ -246,7 +244,7 @@ ORACLES["set_id_resolution"] = oracle("""SELECT schema, dataset_id, physical_nm,
       CASE WHEN s.schema = i.schema AND s.schema <> 'sch_0' THEN s.id END AS a, s.id AS b,
       CASE WHEN p_partkey % 2 = 0 THEN 'REM' || p_partkey END AS c
     FROM items_new_scoped i LEFT JOIN dh_dataset s ON s.physical_nm = i.dataset_id
-      LEFT JOIN part ON 'ds_' || p_partkey = i.dataset_id)""", *ALL, extra=DIFF)
+      LEFT JOIN part ON 'ds_' || p_partkey = i.dataset_id)""", *ALL_SNAPSHOTS, extra=DIFF)
 ORACLES["endpoint_resolution"] = oracle("""SELECT db_relationship_id, parent_fqdn, child_fqdn,
     pf IN (SELECT f FROM sets) AS parent_set_found, pf IN (SELECT f FROM sets) AND pi IN (SELECT f FROM its) AS parent_item_found,
     cf IN (SELECT f FROM sets) AS child_set_found, cf IN (SELECT f FROM sets) AND ci IN (SELECT f FROM its) AS child_item_found
@@ -440,12 +438,13 @@ ORACLES["profile_documents"] = f"""SELECT item, null_percentage, most_common_val
   JOIN ({_common({c: f'CAST({c} AS VARCHAR)' for c in _DOC_COLS}, 'documents')}) USING (item)"""
 _EVENT_KEYS = """SELECT event_type AS a, 'u' || user_id % 7 AS b,
     concat('{"', event_type, '":1,"u', user_id % 7, '":2}') AS j FROM events WHERE event_id % 50 <> 0 AND event_id % 51 <> 0"""
-ORACLES["json_keys_full"] = f"SELECT DISTINCT unnest([a, b]) AS attribute FROM ({_EVENT_KEYS})"
-ORACLES["json_keys_compat"] = f"""SELECT DISTINCT unnest([a, b]) AS attribute FROM (
+ORACLES["json_keys_full"] = f"SELECT DISTINCT 'props' AS source, unnest([a, b]) AS attribute FROM ({_EVENT_KEYS})"
+ORACLES["json_keys_compat"] = f"""SELECT DISTINCT 'props' AS source, unnest([a, b]) AS attribute FROM (
     SELECT * FROM ({_EVENT_KEYS}) ORDER BY greatest(a, b) DESC, j DESC LIMIT 1)"""
-ORACLES["json_expansion"] = f"""SELECT 'Events' AS dataset_id, 'props::' || a AS physical_nm, 'text' AS type, false AS identity,
-    true AS nullable, 'lake.Events.' || a AS fqdn, '{{"source":"props"}}' AS metadata FROM (
-      SELECT DISTINCT unnest([a, b]) AS a FROM ({_EVENT_KEYS}) UNION SELECT unnest(json_keys(props)) FROM events)"""
+ORACLES["json_expansion"] = f"""SELECT 'Events' AS dataset_id, src || '::' || a AS physical_nm, 'text' AS type, false AS identity,
+    true AS nullable, 'lake.Events.' || a AS fqdn, '{{"source":"' || src || '"}}' AS metadata FROM (
+      SELECT DISTINCT 'props' AS src, unnest([a, b]) AS a FROM ({_EVENT_KEYS})
+      UNION SELECT 'raw', unnest(json_keys(props)) FROM events)"""
 ORACLES["stats_enrich"] = oracle("""SELECT upper(c.table_schema) AS schema, upper(c.table_name) AS dataset_id,
     c.column_name || x AS physical_nm, CASE WHEN x = '' THEN coalesce(most_common_vals[1], udt_name) ELSE udt_name END AS example,
     CASE WHEN x = '' THEN null_frac * 100 END AS null_percentage,
@@ -519,3 +518,32 @@ ORACLES["items_by_type"] = oracle("""SELECT wanted, dataset_id, physical_nm, typ
   FROM (SELECT unnest(['_int4', 'text', 'json']) AS wanted) LEFT JOIN db_dataitem ON lower(type) = wanted""", "db_dataitem")
 ORACLES["views_nonviews"] = oracle("""SELECT CASE WHEN upper(coalesce(type, '')) LIKE '%VIEW%' THEN 'view' ELSE 'other' END AS kind,
     physical_nm, type FROM db_dataset""", "db_dataset")
+
+# --- flows -----------------------------------------------------------------------------------
+
+_FLAT = """SELECT c.table_schema AS s, c.table_name AS t, c.column_name AS c, coalesce(d.description, '') AS txt, c.udt_name AS ty,
+    coalesce(column_default, 'NULL') AS df, coalesce(c.is_nullable = 'YES', false) AS nul, c.table_schema AS ks, c.table_name AS kt
+  FROM columns c JOIN tables USING (table_schema, table_name)
+    LEFT JOIN cls ON cls.nspname = c.table_schema AND cls.relname = c.table_name AND relkind IN ('r', 't', 'm')
+    LEFT JOIN description d ON d.objoid = cls.oid AND d.objsubid = c.ordinal_position
+  UNION ALL SELECT m.schemaname, m.matviewname, a.attname, coalesce(d.description, ''), c.udt_name, coalesce(column_default, 'NULL'),
+    coalesce(c.is_nullable = 'YES', false), c.table_schema, c.table_name
+  FROM src m JOIN cls k ON k.relname = m.matviewname AND k.nspname = m.schemaname AND k.relkind = 'm'
+    JOIN pg_attribute a ON a.attrelid = k.oid AND a.attnum >= 1
+    JOIN columns c ON c.column_name = a.attname AND c.table_schema = m.ss AND c.table_name = m.st
+    LEFT JOIN cls ON cls.nspname = c.table_schema AND cls.relname = c.table_name AND cls.relkind IN ('r', 't', 'm')
+    LEFT JOIN description d ON d.objoid = cls.oid AND d.objsubid = a.attnum"""
+ORACLES["source_snapshot_items"] = oracle("""SELECT t AS dataset_id, c AS physical_nm, '' AS logical_nm, ty AS type, min(txt) AS description,
+    min(pk) IS NOT NULL AS is_pk, coalesce(min(pk), '') AS key_nm, bool_and(nul) AS nullable,
+    coalesce(min(most_common_vals[1]), '') AS example, min(df) AS default_val,
+    min(CASE WHEN null_frac IS NOT NULL THEN concat('{"most_common_value":"', coalesce(most_common_vals[1], 'NULL'),
+      '","null_percentage":', null_frac * 100, '}') END) AS metadata
+  FROM flat LEFT JOIN (SELECT us, ut, uc, up, cn AS k, ct FROM key_use) u ON us = ks AND ut = kt AND uc = c
+    LEFT JOIN idx i ON i.nspname = ks AND i.relname = kt AND i.attname = c
+    LEFT JOIN stats ON schemaname = s AND tablename = t AND stats.attname = c,
+    LATERAL (SELECT CASE WHEN uc IS NOT NULL AND (indisprimary OR ct LIKE '%primary%') THEN coalesce(k, '') END AS pk)
+  GROUP BY s, t, c, ty""", "stats", *_MAT, *_CATALOG, extra={**_SRC, "flat": _FLAT})
+ORACLES["relationships_only"] = oracle(f"""SELECT 'delete' AS phase, physical_nm, id AS target_id, 0 AS part, CAST(NULL AS BIGINT) AS n_items
+    FROM (SELECT DISTINCT physical_nm, id FROM ({_REL_DOC})) WHERE physical_nm NOT IN (SELECT name FROM fk)
+  UNION ALL SELECT 'upsert', name, NULL, 0, count(DISTINCT source_fqdn || '>' || foreign_fqdn) FROM fk GROUP BY name""",
+    *_FK_TABLES, extra={"fk": _FK})

@@ -18,12 +18,17 @@ from metaskein.operators import resolve as R
 from metaskein.operators import snapshot as N
 from metaskein.session import configure, cut
 from metaskein.sources import documents as J
+from metaskein.plans import sync as S
 from metaskein.sources import schemas
+from metaskein.sources.tables import CATALOG_TABLES
 
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+OPERATIONS: dict[str, Callable[["Inputs"], DataFrame]] = {}
 CHUNK = 10  # small, so that groups really are cut into parts
+FK_CATALOG = ("columns", "key_column_usage", "table_constraints", "referential_constraints", "pg_class",
+              "pg_stat_all_indexes", "pg_constraint", "description")
 
 
 class Inputs:
@@ -35,10 +40,16 @@ class Inputs:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = (
-                fx.base(self.spark, self.sf_dir, name) if name in fx.BASE else fx.snapshot(self._read, name))
+            self._made[name] = self._make(name)
         return self._made[name]
 
+    def _make(self, name: str) -> DataFrame:
+        if name in fx.BASE:
+            return fx.base(self.spark, self.sf_dir, name)
+        if name in fx.SHARED:  # read by many catalog tables, so made once
+            return cut(fx.catalog_table(self.spark, self._read, name))
+        return fx.snapshot(self._read, name)
+
     def _read(self, name: str) -> DataFrame:
         return getattr(self, name)
 
@@ -54,9 +65,7 @@ class Inputs:
                          "key_column_usage", "table_constraints", "views"), strict_keys=strict)
 
     def foreign_keys(self) -> DataFrame:
-        return C.resolve_foreign_keys(self.catalog(
-            "columns", "key_column_usage", "table_constraints", "referential_constraints", "pg_class",
-            "pg_stat_all_indexes", "pg_constraint", "description"))
+        return C.resolve_foreign_keys(self.catalog(*FK_CATALOG))
 
     # Changes, as the cascades see them.
     def set_changes(self) -> DataFrame:
@@ -76,11 +85,42 @@ class Inputs:
         return K.change_feed(self.set_changes(), self.item_changes(), self.relationship_changes(), self.join_changes())
 
 
+class StoredInputs(Inputs):
+    """The same inputs read back from Parquet, as the flows read their snapshots."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+        super().__init__(spark, sf_dir)
+        self.root = root
+
+    def _stored(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{name}")
+
+    def _make(self, name: str) -> DataFrame:
+        return fx.base(self.spark, self.sf_dir, name) if name in fx.BASE else self._stored(name)
+
+    def raw(self, name: str) -> DataFrame:
+        return self._stored(f"raw_{name}")
+
+    def catalog(self, *names: str) -> dict[str, DataFrame]:
+        return {n: self._stored(n) for n in names}
+
+
+def store_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Write every snapshot and catalog table below ``root``."""
+    i = Inputs(configure(spark), sf_dir)
+    for name in fx.ALL_SNAPSHOTS:
+        getattr(i, name).write.parquet(f"{root}/{name}")
+        i.raw(name).repartition().write.parquet(f"{root}/raw_{name}")
+    for name in CATALOG_TABLES:
+        i.catalog(name)[name].write.parquet(f"{root}/{name}")
+
+
 def query(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(configure(spark), sf_dir))
 
     QUERIES[fn.__name__] = run
+    OPERATIONS[fn.__name__] = fn
     return fn
 
 
@@ -535,24 +575,29 @@ def profile_documents(i):
         "null_percentage", F.round("null_percentage", 9))
 
 
+# JSON text with varying keys, arrays and malformed text in between.
+PROPS = """case when event_id % 50 = 0 then '[1]' when event_id % 51 = 0 then 'bad'
+    else concat('{"', event_type, '":1,"u', user_id % 7, '":2}') end"""
+
+
 def _props(i: Inputs) -> DataFrame:
-    return i.events.select("event_id", F.expr("""case when event_id % 50 = 0 then '[1]' when event_id % 51 = 0 then 'bad'
-        else concat('{"', event_type, '":1,"u', user_id % 7, '":2}') end""").alias("props"))
+    return i.events.select("event_id", F.expr(PROPS).alias("props"))
 
 
 @query
 def json_keys_full(i):
-    return P.json_keys(_props(i), "props")
+    return P.json_keys(_props(i), ["props"])
 
 
 @query
 def json_keys_compat(i):
-    return P.json_keys(_props(i), "props", mode="compat")
+    return P.json_keys(_props(i), ["props"], mode="compat")
 
 
 @query
 def json_expansion(i):
-    return P.expand_json_keys(_props(i).unionByName(i.events.select("event_id", "props")), "props", "Events", "lake.Events")
+    two = i.events.select(F.expr(PROPS).alias("props"), F.col("props").alias("raw"))
+    return P.expand_json_columns(two, ["props", "raw"], "Events", "lake.Events")
 
 
 @query
@@ -696,3 +741,19 @@ def items_by_type(i):
 def views_nonviews(i):
     a = M.views(i.db_dataset).withColumn("kind", F.lit("view"))
     return a.unionByName(M.non_views(i.db_dataset).withColumn("kind", F.lit("other"))).select("kind", "physical_nm", "type")
+
+
+# --- flows -----------------------------------------------------------------------------------
+
+
+@query
+def source_snapshot_items(i):
+    """Item rows of a source snapshot made from the database catalog, with statistics."""
+    return S.source_snapshot(i.catalog(*CATALOG_TABLES))["dataitem"]
+
+
+@query
+def relationships_only(i):
+    out = S.relationships_only(i.catalog(*FK_CATALOG), _relationship_docs(i))
+    return out.select("phase", "physical_nm", "target_id", "part",
+                      F.json_array_length(F.get_json_object("body", "$.items")).alias("n_items"))

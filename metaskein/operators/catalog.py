@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .profile import enrich_with_stats
 from .skew import number_in_parts
 
 # Column description fields passed through, and those that hold numbers as text.
@@ -263,6 +264,35 @@ def entity_sets(entities: DataFrame) -> DataFrame:
     ).withColumn("logical_nm", F.col("physical_nm"))
 
 
+def item_snapshot(items: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Snapshot columns of items out of ``entity_items`` rows, one row per item.
+
+    Repeated rows of a column differ only in their key: the first primary key by name
+    counts. Statistics, if given, fill the example and the metadata.
+    """
+    primary = F.when(X.is_primary("key.type"), F.col("key.name"))
+    rest = ("description", "type", "default_val", "nullable")
+    one = items.where(F.col("physical_nm").isNotNull()).groupBy("schema", "dataset_id", "physical_nm").agg(
+        F.min(primary).alias("key_nm"), *[F.min(c).alias(c) for c in rest])
+    shaped = one.select(
+        "schema", "dataset_id", "physical_nm", F.lit("").alias("logical_nm"), *rest,
+        F.col("key_nm").isNotNull().alias("is_pk"), X.or_empty("key_nm").alias("key_nm"), F.lit("").alias("example"))
+    if stats is None:
+        return shaped.withColumn("metadata", F.lit(None).cast("string"))
+    measured = F.when(F.col("null_percentage").isNotNull() | F.col("most_common_value").isNotNull(),
+                      F.to_json(F.struct("most_common_value", "null_percentage")))
+    return enrich_with_stats(shaped, stats).withColumn("metadata", measured).drop("most_common_value", "null_percentage")
+
+
+def snapshot_pairs(fk: DataFrame) -> DataFrame:
+    """Column pairs of foreign-key rows, owned by the parent set, in snapshot form."""
+    return fk.select(
+        F.col("name").alias("physical_nm"), F.col("source_field_entity").alias("dataset_id"),
+        F.lit("").alias("logical_nm"), "type", "comment", "on_update", "on_delete", "on_match",
+        F.col("source_fqdn").alias("parent_fqdn"), F.col("foreign_fqdn").alias("child_fqdn"),
+        F.col("key_number").alias("position"), F.lit(X.DEFAULT_CARDINALITY).alias("cardinality"))
+
+
 def resolve_foreign_keys(
     tables: dict[str, DataFrame], patterns: list[str] | None = None, *, ordered: bool = False
 ) -> DataFrame:

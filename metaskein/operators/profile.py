@@ -91,34 +91,40 @@ def json_items(items: DataFrame, sets: DataFrame, *, skip_views: bool = False,
     return wanted
 
 
-def json_keys(df: DataFrame, column: str, *, mode: str = "full") -> DataFrame:
-    """Distinct top-level keys (``attribute``) of the JSON objects in a column.
+def json_keys(df: DataFrame, columns: list[str], *, mode: str = "full") -> DataFrame:
+    """Distinct (source, attribute): top-level keys of the JSON objects in the columns.
 
-    ``full`` looks at every row. ``compat`` takes the keys of one row only: the row
-    with the greatest key, and of several such rows the one with the greatest text.
-    Arrays, scalars and malformed text have no keys.
+    One scan serves all columns. ``full`` looks at every row. ``compat`` takes the keys
+    of one row per column only: the row with the greatest key, and of several such
+    rows the one with the greatest text. Arrays, scalars and malformed text have no keys.
     """
-    objects = df.select(F.col(column).alias("j"), F.json_object_keys(column).alias("keys")).where("keys is not null")
+    entries = F.array(*[
+        F.struct(F.lit(c).alias("source"), F.col(c).alias("text"), F.json_object_keys(c).alias("keys"))
+        for c in columns])
+    objects = df.select(F.explode(entries).alias("e")).select("e.*").where(F.col("keys").isNotNull())
     if mode == "compat":
-        objects = objects.agg(F.max_by("keys", F.struct(F.array_max("keys").alias("k"), "j")).alias("keys"))
+        rank = F.struct(F.array_max("keys").alias("k"), "text")
+        objects = objects.groupBy("source").agg(F.max_by("keys", rank).alias("keys"))
     elif mode != "full":
         raise ValueError(f"unknown mode {mode!r}: use 'full' or 'compat'")
-    return objects.select(F.explode("keys").alias("attribute")).distinct()
+    return objects.select("source", F.explode("keys").alias("attribute")).distinct()
 
 
-def expand_json_keys(df: DataFrame, column: str, set_nm: str, set_fqdn: str, *, mode: str = "full") -> DataFrame:
-    """New item rows, one per key of a JSON column: ``column::key`` of type text.
+def expand_json_columns(
+    df: DataFrame, columns: list[str], set_nm: str, set_fqdn: str, *, mode: str = "full"
+) -> DataFrame:
+    """New item rows, one per key of each JSON column: ``column::key`` of type text.
 
     The full name holds the key only, so equal keys of two JSON columns of a set share it.
     """
-    return json_keys(df, column, mode=mode).select(
+    return json_keys(df, columns, mode=mode).select(
         F.lit(set_nm).alias("dataset_id"),
-        F.concat(F.lit(f"{column}::"), "attribute").alias("physical_nm"),
+        F.concat("source", F.lit("::"), "attribute").alias("physical_nm"),
         F.lit("text").alias("type"),
         F.lit(False).alias("identity"),
         F.lit(True).alias("nullable"),
         F.concat(F.lit(f"{set_fqdn}."), "attribute").alias("fqdn"),
-        F.to_json(F.struct(F.lit(column).alias("source"))).alias("metadata"),
+        F.to_json(F.struct("source")).alias("metadata"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -14,15 +14,12 @@ def latest_rows(
 ) -> DataFrame:
     """The last row of every key in ``order_by`` order (NULLs first).
 
-    ``max_by`` keeps one row per key and task before the shuffle, so a key repeated
-    in a third of all rows costs no more than any other. Ties must be equal rows.
+    Spark applies the rank limit in every task before the shuffle, so a key repeated
+    in a third of all rows sends one row per task. Ties must be equal rows.
     """
-    columns = columns or df.columns
-    rest = [c for c in columns if c not in keys]
+    last = Window.partitionBy(*keys).orderBy(*[F.desc_nulls_last(c) for c in order_by])
     return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("_last"))
-        .select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in columns])
+        df.withColumn("_rank", F.row_number().over(last)).where(F.col("_rank") == 1).select(*(columns or df.columns))
     )
 
 

@@ -13,8 +13,14 @@ from ..functions import text as X
 from . import schemas
 
 
-def _parsed(df: DataFrame, json_col: str, ddl: str) -> DataFrame:
-    return df.select(F.from_json(F.col(json_col), ddl).alias("doc"))
+def _elements(df: DataFrame, json_col: str, ddl: str, array: str, *keep: Column) -> DataFrame:
+    """One row per element of a top-level array of the parsed document, as column ``e``.
+
+    The outer explode keeps the parser from running again: for a plain explode Spark
+    infers filters on the array, each of which would parse the text once more.
+    """
+    doc = df.select(F.from_json(F.col(json_col), ddl).alias("doc"))
+    return doc.select(*keep, F.explode_outer(f"doc.{array}").alias("e")).where(F.col("e").isNotNull())
 
 
 def malformed_documents(df: DataFrame, json_col: str) -> DataFrame:
@@ -24,14 +30,10 @@ def malformed_documents(df: DataFrame, json_col: str) -> DataFrame:
 
 def parse_catalog_sets(df: DataFrame, json_col: str) -> DataFrame:
     """One row per set. The definition text gives way to ``metadata.view_source``."""
-    one = (
-        _parsed(df, json_col, schemas.SETS_JSON)
-        .select(
-            F.col("doc.name.physical").alias("schema"),
-            F.col("doc.description").alias("schema_comment"),
-            F.explode("doc.sets").alias("s"),
-        )
-    )
+    one = _elements(
+        df, json_col, schemas.SETS_JSON, "sets", F.col("doc.name.physical").alias("schema"),
+        F.col("doc.description").alias("schema_comment"),
+    ).withColumnRenamed("e", "s")
     view_source = F.get_json_object("s.metadata", "$.view_source")
     return one.select(
         "schema",
@@ -66,9 +68,9 @@ def _keys(raw: Column, item_name: Column) -> Column:
 def parse_catalog_items(df: DataFrame, json_col: str) -> DataFrame:
     """One row per item with ``keys`` as array<struct<name,type,items>>."""
     one = (
-        _parsed(df, json_col, schemas.ITEMS_JSON)
-        .select(F.explode("doc.sets").alias("s"))
-        .select(F.col("s.name.physical").alias("dataset_id"), F.explode("s.items").alias("i"))
+        _elements(df, json_col, schemas.ITEMS_JSON, "sets")
+        .select(F.col("e.name.physical").alias("dataset_id"), F.explode_outer("e.items").alias("i"))
+        .where(F.col("i").isNotNull())
     )
     return one.select(
         "dataset_id",
@@ -92,8 +94,8 @@ def parse_catalog_relationships(df: DataFrame, json_col: str) -> DataFrame:
     ``position`` is the pair's place in the document, counted from 1.
     """
     rel = (
-        _parsed(df, json_col, schemas.RELATIONSHIPS_JSON)
-        .select(F.explode("doc.relationships").alias("r"))
+        _elements(df, json_col, schemas.RELATIONSHIPS_JSON, "relationships")
+        .withColumnRenamed("e", "r")
         .where(F.get("r.items", F.lit(0))["parent"].isNotNull())
         .select("r", F.get("r.items", F.lit(0))["parent"]["set"]["name"]["physical"].alias("owner"),
                 F.posexplode("r.items").alias("at", "pair"))
