@@ -86,11 +86,20 @@ class Inputs:
 
 
 class StoredInputs(Inputs):
-    """The same inputs read back from Parquet, as the flows read their snapshots."""
+    """The same inputs read back from Parquet, as the flows read their snapshots.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str):
+    With ``changes`` the four change tables are read back too, as the preview and the
+    payloads of the full flow read them.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, changes: bool = False):
         super().__init__(spark, sf_dir)
         self.root = root
+        if changes:
+            self.set_changes = lambda: self._stored("changes/sets")
+            self.item_changes = lambda: self._stored("changes/items")
+            self.relationship_changes = lambda: self._stored("changes/relationships")
+            self.join_changes = lambda: self._stored("changes/joins")
 
     def _stored(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")
@@ -106,13 +115,14 @@ class StoredInputs(Inputs):
 
 
 def store_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write every snapshot and catalog table below ``root``."""
+    """Write every snapshot and catalog table below ``root``, one file per core."""
     i = Inputs(configure(spark), sf_dir)
-    for name in fx.ALL_SNAPSHOTS:
-        getattr(i, name).write.parquet(f"{root}/{name}")
-        i.raw(name).repartition().write.parquet(f"{root}/raw_{name}")
-    for name in CATALOG_TABLES:
-        i.catalog(name)[name].write.parquet(f"{root}/{name}")
+    made = {n: getattr(i, n) for n in fx.ALL_SNAPSHOTS} | {f"raw_{n}": i.raw(n) for n in fx.ALL_SNAPSHOTS}
+    for name, df in (made | i.catalog(*CATALOG_TABLES)).items():
+        df.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{root}/{name}")
+    sides = [{t: i._stored(f"{side}_{t}") for t in schemas.TABLES} for i in [StoredInputs(spark, sf_dir, root)]
+             for side in fx.SIDE]
+    S.write_changes(*sides, f"{root}/changes")
 
 
 def query(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
