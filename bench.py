@@ -2,7 +2,7 @@
 
 The inputs (snapshots, catalog tables and, for preview and payloads, the changes) are
 first stored as Parquet, as the flows store them; that is not part of the figures. Each query then runs in
-full into Spark's no-op sink: one warm-up, then the median of three runs.
+full into Spark's no-op sink: one warm-up, then the median of two runs.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ def main(names: list[str]) -> None:
     times = {}
     for name in names:
         run(spark, name, root)
-        times[name] = round(statistics.median(run(spark, name, root) for _ in range(3)), 3)
+        times[name] = round(statistics.median(run(spark, name, root) for _ in range(2)), 3)
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec", "queries": times,
                       "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")}))

@@ -220,7 +220,6 @@ ORACLES["payload_requests"] = cascaded(f"""SELECT CASE change_type WHEN 'delete'
 
 # --- snapshots -----------------------------------------------------------------------------
 
-_PLAIN = {"dataset": ("part", "physical_nm"), "relationship": ("orders", "physical_nm")}
 _KEYS = {"dataset": "physical_nm", "dataitem": "dataset_id, physical_nm", "relationship": "physical_nm",
          "join": "db_relationship_id, parent_fqdn, child_fqdn"}
 for _q, _t in {"upsert_sets": "dataset", "upsert_items": "dataitem", "upsert_relationships": "relationship",

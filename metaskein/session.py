@@ -15,6 +15,8 @@ SETTINGS = {
     # operator on the same key; the extra shuffle is cheaper than one hot task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort where, at run time, every partition of a side is this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
