@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,6 @@ SETTINGS = {
     # operator on the same key; the extra shuffle is cheaper than one hot task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Hash instead of sort where, at run time, every partition of a side is this small.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 
 
@@ -27,14 +26,21 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for cut lineage: the cluster's own setting; a temporary one only if unset."""
+    """Folder for cut lineage: the session's own setting.
+
+    A temporary folder serves only where driver and executors are one local process; on a cluster an unset folder
+    is an error, since executors could not share it.
+    """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None and sc.getCheckpointDir() is not None:
         return sc.getCheckpointDir()
     if configured is None:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="metaskein-checkpoint-")
-    sc.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
