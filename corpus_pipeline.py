@@ -9,6 +9,7 @@ from metaskein.llm.runtime import stored
 
 STAGES = [
     ("language", stages.keep_identified),
+    ("near_duplicates", stages.keep_first_of_each_group),
     ("decontamination", stages.drop_contaminated),
     ("tokens", stages.tokenize),
 ]

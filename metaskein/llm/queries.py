@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, tokenizing
+from . import decontamination, language, shingles, tokenizing
 from .runtime import table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -42,10 +42,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shingles.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_decontamination": op4_decontamination,
     "op6_language_id": op6_language_id,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
 }
 
 ORACLES: dict[str, str] = {
@@ -71,4 +77,26 @@ hit_items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)""",
+    "op7_ngram_jaccard": r"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM rows WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+texts AS (SELECT r, string_agg(s, chr(10) ORDER BY s) AS k FROM shingles GROUP BY r),
+classes AS (SELECT k, min(r) AS c FROM texts GROUP BY k),
+pairs AS (
+  SELECT x.r AS a, y.r AS b, count(*) AS n
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.r < y.r
+  WHERE x.r IN (SELECT c FROM classes) AND y.r IN (SELECT c FROM classes) GROUP BY x.r, y.r),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.r = a JOIN sizes q ON q.r = b WHERE 100 * pairs.n >= 80 * (p.n + q.n - pairs.n)
+  UNION SELECT c, r FROM texts JOIN classes USING (k) WHERE c <> r),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT r AS origin, r AS node FROM rows UNION SELECT origin, b FROM reach JOIN edges ON node = a)
+SELECT rows.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(o.doc_id) FROM reach JOIN rows o ON o.r = reach.node WHERE origin = rows.r) AS component_id
+FROM rows LEFT JOIN sizes USING (r)""",
 }

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, queries, tokenizing
-from .runtime import table
+from . import decontamination, language, queries, shingles, tokenizing
+from .runtime import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -32,3 +32,19 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     coded = tokenizing.encode(docs.select(F.struct(COLUMNS).alias("row"), "text"), ranks, pattern, id_col="row")
     return coded.select("row.doc_id", "row.lang", "row.source", "n_tokens", "ids",
                         (F.col("decoded") == F.coalesce("row.text", F.lit("")).cast("binary")).alias("exact"))
+
+
+def keep_first_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, of smallest id, for each component of near duplicates. Repeated rows of it are dropped too."""
+    found = stored(shingles.near_duplicates(docs.select(COLUMNS)).select("doc_id", "text_hash", "kept"))
+    same = [F.col("doc_id").eqNullSafe(F.col("k.doc_id")), F.col("text_hash").eqNullSafe(F.col("k.text_hash"))]
+    by_row = found.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    changed = stored(by_row.where("not kept or rows > 1"))
+    hashed = shingles.with_text_hash(docs.select(COLUMNS))
+    whole = hashed.alias("d").join(shingles.few(changed).alias("k"), same, "left_anti")
+    # Rows that repeat an id and its text, of which one stays: seldom any.
+    repeated = stored(changed.where("kept"))
+    if not repeated.isEmpty():
+        again = hashed.alias("d").join(shingles.few(repeated).alias("k"), same, "left_semi")
+        whole = whole.union(again.dropDuplicates(["doc_id", "text_hash"]))
+    return whole.select(COLUMNS)
