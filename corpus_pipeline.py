@@ -11,6 +11,7 @@ STAGES = [
     ("language", stages.keep_identified),
     ("near_duplicates", stages.keep_first_of_each_group),
     ("decontamination", stages.drop_contaminated),
+    ("personal_data", stages.replace_personal_data),
     ("tokens", stages.tokenize),
 ]
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, queries, shingles, tokenizing
+from . import decontamination, language, pii, queries, shingles, tokenizing
 from .runtime import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -48,3 +48,14 @@ def keep_first_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str)
         again = hashed.alias("d").join(shingles.few(repeated).alias("k"), same, "left_semi")
         whole = whole.union(again.dropDuplicates(["doc_id", "text_hash"]))
     return whole.select(COLUMNS)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without personal data and the terms that disclose it; ``n_chars`` is that of the new text."""
+    found = pii.find_personal_data(docs.select(F.struct("doc_id", "lang", "source").alias("row"), "text"), id_col="row")
+    changed = stored(found.where("sanitized is not null").select("row.*", "text_hash", "sanitized"))
+    keys = stored(changed.select("doc_id", "text_hash").distinct())
+    same = [F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), F.col("d.text_hash") == F.col("k.text_hash")]
+    clean = shingles.with_text_hash(docs.select(COLUMNS)).alias("d").join(shingles.few(keys).alias("k"), same, "left_anti")
+    new = changed.select("doc_id", F.col("sanitized").alias("text"), "lang", "source", F.length("sanitized").cast("long").alias("n_chars"))
+    return clean.select(COLUMNS).union(new.select(COLUMNS))
