@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, language, pii, sharding, shingles, tokenizing
+from . import chat, decontamination, html, language, pii, sharding, shingles, tokenizing
 from .runtime import table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -24,6 +24,10 @@ def vocabulary(name: str = TOKENIZER) -> tuple[dict[bytes, int], str]:
     return tokenizing.read_ranks(public_tokenizers.path(name)), public_tokenizers.PATTERN
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = tokenizing.encode(table(spark, sf_dir, "documents"), *vocabulary())
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -79,6 +83,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": op1_html_text,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
