@@ -1,9 +1,12 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token starts as a linked list of single bytes. Every adjacent pair whose bytes are a vocabulary entry sits in
-the bucket of that entry's rank. A bitmap of three levels marks the buckets that are not empty: two find-first-set
-steps down from the top give the lowest rank, so the next merge costs the same for 10 bytes and for a million.
+the bucket of that entry's rank. A bitmap of two levels marks the buckets that are not empty: find-first-set on each
+level gives the lowest rank, so the next merge costs the same for 10 bytes and for a million.
 Entries are never searched for and deleted; one whose pair has changed meanwhile is skipped when it comes up.
+
+Pre-tokens do not touch each other, so the short ones of many texts share one queue: a bucket then holds positions of
+all of them, and a step merges the leftmost position of each pre-token at once. A long pre-token has a queue of its own.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -21,54 +25,16 @@ from pyspark.sql import functions as F
 
 from .runtime import ship
 
-#: Pre-tokens a task remembers; at this many it starts afresh. Bounds memory only.
+#: Pre-tokens a worker remembers; at this many it starts afresh. Bounds memory only.
 CACHE_ENTRIES = 300_000
-#: Longer pre-tokens are encoded each time they occur, so that the memory of the cache is bounded in bytes too.
-CACHE_BYTES = 256
+#: Longer pre-tokens have a queue of their own and are not remembered, so that the cache is bounded in bytes too.
+SHARED_BYTES = 64
+#: Texts encoded together.
+TEXTS = 512
 
 _coders: dict[tuple, "Coder"] = {}
 
 
-class RankQueue:
-    """Positions by merge rank; ``pop`` gives the lowest rank's leftmost position."""
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        words = (ranks >> 6) + 1
-        self.low = [0] * words
-        self.mid = [0] * ((words >> 6) + 1)
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        w, v = rank >> 6, rank >> 12
-        self.low[w] |= 1 << (rank & 63)
-        self.mid[v] |= 1 << (w & 63)
-        self.top |= 1 << v
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        v = (self.top & -self.top).bit_length() - 1
-        m = self.mid[v]
-        w = (v << 6) + (m & -m).bit_length() - 1
-        x = self.low[w]
-        rank = (w << 6) + (x & -x).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            self.low[w] &= self.low[w] - 1
-            if not self.low[w]:
-                self.mid[v] &= m - 1
-                if not self.mid[v]:
-                    self.top &= self.top - 1
-        return rank, position
-
-
 class Coder:
     """Encodes and decodes with one vocabulary: ``ranks`` maps bytes to ids, lower ids merge first."""
 
@@ -78,75 +44,206 @@ class Coder:
         self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
                                    .replace(r"\S", r"\P{White_Space}")).findall
         self.tokens = {i: b for b, i in ranks.items()}
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.cache = _Packed(self)
+        found = {(ranks[t[:k]] << 32 | ranks[t[k:]]): i for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
+        found = sorted(found.items())
+        self.pair_keys = np.array([k for k, _ in found], np.int64)
+        self.pair_ranks = np.array([r for _, r in found], np.int64)
+        self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge ranks of token pairs; -1: none."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], -1)
+
+    def merge_many(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of pre-tokens, through one queue."""
+        sizes = np.array([len(w) for w in words])
+        ends = np.cumsum(sizes)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        n = len(data)
+        if not n or not len(self.pair_keys):
+            return [self.single[np.frombuffer(w, np.uint8)] for w in words]
+        owner = np.repeat(np.arange(len(words)), sizes)
+        token = self.single[data]
+        after = np.arange(1, n + 1)
+        after[ends[sizes > 0] - 1] = n  # n stands for none; arrays have one more place for it
+        before = np.arange(-1, n)
+        before[(ends - sizes)[sizes > 0]] = n
+        before[n] = n
+        token = np.append(token, -1)
+        pair = np.full(n + 1, -1, np.int64)
+        inner = np.flatnonzero(after < n)
+        pair[inner] = self._pairs(token[inner], token[after[inner]])
+        buckets: dict[int, list[np.ndarray]] = {}
+        low: dict[int, int] = {}
+        top = 0
+
+        def push(positions: np.ndarray) -> None:
+            nonlocal top
+            ranks = pair[positions]
+            order = np.argsort(ranks, kind="stable")
+            positions, ranks = positions[order], ranks[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            for rank, part in zip(ranks[np.append(0, cuts)].tolist(), np.split(positions, cuts), strict=True):
+                if rank in buckets:
+                    buckets[rank].append(part)
+                else:
+                    buckets[rank] = [part]
+                    w = rank >> 8
+                    low[w] = low.get(w, 0) | 1 << (rank & 255)
+                    top |= 1 << w
+
+        inner = inner[pair[inner] >= 0]
+        if len(inner):
+            push(inner)
+        gone = np.zeros(n, bool)
+        while top:
+            w = (top & -top).bit_length() - 1
+            bits = low[w]
+            rank = (w << 8) + (bits & -bits).bit_length() - 1
+            parts = buckets[rank]
+            at = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+            at = at[pair[at] == rank]  # the others are stale
+            rest = None
+            if len(at) > 1:
+                word = owner[at]
+                first = np.append(True, word[1:] != word[:-1])
+                if not first.all():
+                    at, rest = at[first], at[~first]
+            if rest is not None:
+                buckets[rank] = [rest]
+            else:
+                del buckets[rank]
+                bits &= bits - 1
+                low[w] = bits
+                if not bits:
+                    top &= top - 1
+            if not len(at):
+                continue
+            right = after[at]
+            token[at] = rank
+            gone[right] = True
+            pair[right] = -1
+            following = after[right]
+            after[at] = following
+            before[following] = at
+            before[n] = n
+            left = before[at]
+            changed = np.concatenate([at, left[left < n]])
+            new = np.where(after[changed] < n, self._pairs(token[changed], token[after[changed]]), -1)
+            changed_now = new != pair[changed]
+            pair[changed] = new
+            changed = changed[changed_now & (new >= 0)]
+            if len(changed):
+                push(changed)
+        alive = np.flatnonzero(~gone)
+        return np.split(token[alive], np.searchsorted(alive, ends[:-1]))
+
+    def remember(self, words: set[str]) -> None:
+        """Puts the short ones of ``words`` into the cache."""
+        if len(self.cache) >= CACHE_ENTRIES:
+            self.cache.clear()
+        new = [w for w in words if w not in self.cache]
+        raw = [w.encode() for w in new]
+        short = [(w, r) for w, r in zip(new, raw, strict=True) if len(r) <= SHARED_BYTES]
+        for (w, r), ids in zip(short, self.merge_many([r for _, r in short]), strict=True):
+            whole = self.ranks.get(r)
+            self.cache[w] = struct.pack("<I", whole) if whole is not None else ids.astype("<u4").tobytes()
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        ranks = self.ranks
-        if word in ranks:
-            return [ranks[word]]
+        """Ids of one pre-token. The queue is local variables, since a call for each step would cost more than the step."""
+        rank_of = self.ranks.get
+        whole = rank_of(word)
+        if whole is not None:
+            return [whole]
         n = len(word)
         end = list(range(1, n + 1))  # of the token that starts here
         before = list(range(-1, n - 1))  # start of the token to the left
-        pair = [-1] * n  # rank of the pair that starts here; -1: none, or merged away
-        queue = self.queue
+        pair: list[int | None] = [None] * n  # rank of the pair that starts here; None: none, or merged away
+        buckets: dict[int, list[int]] = {}  # positions by rank, each a heap
+        low: dict[int, int] = {}  # bits of the buckets in use, by 256 ranks
+        top = 0  # bits of ``low`` that are not zero
         for i in range(n - 1):
-            rank = ranks.get(word[i:i + 2], -1)
-            if rank >= 0:
+            rank = rank_of(word[i:i + 2])
+            if rank is not None:
                 pair[i] = rank
-                queue.push(rank, i)
-        while (entry := queue.pop()) is not None:
-            rank, i = entry
+                if rank in buckets:
+                    buckets[rank].append(i)  # positions rise, so the list is a heap
+                else:
+                    buckets[rank] = [i]
+                    w = rank >> 8
+                    low[w] = low.get(w, 0) | 1 << (rank & 255)
+                    top |= 1 << w
+        while top:
+            w = (top & -top).bit_length() - 1
+            bits = low[w]
+            rank = (w << 8) + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                bits &= bits - 1
+                low[w] = bits
+                if not bits:
+                    top &= top - 1
             if pair[i] != rank:
                 continue  # stale
             j = end[i]
             end[i] = k = end[j]
-            pair[j] = -1
-            pair[i] = -1
+            pair[j] = None
+            pushes = []
             if k < n:
                 before[k] = i
-                new = ranks.get(word[i:end[k]], -1)
-                if new >= 0:
-                    pair[i] = new
-                    queue.push(new, i)
+                pair[i] = new = rank_of(word[i:end[k]])
+                if new is not None:
+                    pushes.append((new, i))
+            else:
+                pair[i] = None
             h = before[i]
             if h >= 0:
-                new = ranks.get(word[h:k], -1)
+                new = rank_of(word[h:k])
                 if new != pair[h]:
                     pair[h] = new
-                    if new >= 0:
-                        queue.push(new, h)
+                    if new is not None:
+                        pushes.append((new, h))
+            for rank, i in pushes:
+                if rank in buckets:
+                    heappush(buckets[rank], i)
+                else:
+                    buckets[rank] = [i]
+                    w = rank >> 8
+                    low[w] = low.get(w, 0) | 1 << (rank & 255)
+                    top |= 1 << w
         out, i = [], 0
         while i < n:
-            out.append(ranks[word[i:end[i]]])
+            out.append(self.ranks[word[i:end[i]]])
             i = end[i]
         return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.cache.__getitem__, self.split(text)))
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        parts = [self.split(t) for t in texts]
+        self.remember(set().union(*parts))
+        return [b"".join(map(self.cache.__getitem__, p)) for p in parts]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, memoryview(ids).cast("I")))
 
 
 class _Packed(dict):
-    """Pre-token to packed ids, filled on demand."""
+    """Pre-token to packed ids; those not kept are encoded when asked for."""
 
     def __init__(self, coder: Coder):
         super().__init__()
         self.coder = coder
 
     def __missing__(self, word: str) -> bytes:
-        raw = word.encode()
-        ids = self.coder.merge(raw)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(raw) <= CACHE_BYTES:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[word] = packed
-        return packed
+        ids = self.coder.merge(word.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -170,7 +267,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
     Returns ``id_col``, ``n_tokens`` long, ``ids`` binary (little-endian unsigned 32-bit), ``decoded`` binary. One row
     per input row, repeated rows and null ids included; null and empty texts give no ids and empty bytes. Other columns are
     ignored. ``ranks`` is a vocabulary (under 2 MB for 50,000 entries) and goes to executors as a broadcast variable.
-    No shuffle. A task holds one batch of rows and a cache bounded by CACHE_ENTRIES and CACHE_BYTES.
+    No shuffle. A task holds one batch of rows and a cache bounded by CACHE_ENTRIES and SHARED_BYTES.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -180,9 +277,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(key, shared.value, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):  # the ids of a whole batch would be several times its text
-                part = batch.slice(at, 256)
-                ids = [coder.encode(x.as_py() or "") for x in part.column(1)]
+            for at in range(0, batch.num_rows, TEXTS):  # the ids of a whole batch would be several times its text
+                part = batch.slice(at, TEXTS)
+                ids = coder.encode([x.as_py() or "" for x in part.column(1)])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
                      pa.array([coder.decode(x) for x in ids], pa.binary())],
