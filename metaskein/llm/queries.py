@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html, language, pii, sharding, shingles, tokenizing
+from . import chat, decontamination, embeddings, html, language, pii, sharding, shingles, tokenizing
 from .runtime import table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -57,6 +57,10 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 #: Bytes of text in a shard.
 SHARD_BYTES = 16_000_000
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op6_language_id": op6_language_id,
     "op7_ngram_jaccard": op7_ngram_jaccard,
+    "op8_embeddings": op8_embeddings,
     "op9_sharding": op9_sharding,
     "op10_chat": op10_chat,
 }
@@ -138,6 +143,16 @@ edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach AS (SELECT r AS origin, r AS node FROM rows UNION SELECT origin, b FROM reach JOIN edges ON node = a)
 SELECT rows.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(o.doc_id) FROM reach JOIN rows o ON o.r = reach.node WHERE origin = rows.r) AS component_id
 FROM rows LEFT JOIN sizes USING (r)""",
+    "op8_embeddings": """
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (
+  SELECT r, e FROM rows
+  WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+links AS (SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT r AS origin, r AS node FROM rows UNION SELECT origin, b FROM reach JOIN links ON node = a),
+least AS (SELECT origin, min(vec_id) AS component_id FROM reach JOIN rows ON r = node GROUP BY origin)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = r) AS n_links, component_id, vec_id = component_id AS kept
+FROM rows JOIN least ON origin = r""",
     "op9_sharding": f"""
 WITH rows AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(CAST(strlen(text) AS BIGINT), 0) AS n_bytes,

@@ -25,7 +25,7 @@ from .runtime import ship, stored
 
 #: Text bytes hashed at once in a task.
 CHUNK_BYTES = 2_000_000
-#: Longs of a bitmap signature.
+#: Longs of the short bitmap signature; a wide one has at least two bits for each shingle.
 SIGNATURE = 8
 #: Most frequent shingles that are put last in the common order (8 bytes each, broadcast). Any order gives the same result.
 LATE_SHINGLES = 500_000
@@ -121,10 +121,15 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64), pa.int64()))
 
 
-def _signature(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(SIGNATURE * 64, np.uint8)
-    bits[(shingles % np.uint64(SIGNATURE * 64)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.int64)
+def _signature(shingles: np.ndarray, longs: int = SIGNATURE) -> np.ndarray:
+    bits = np.zeros(longs * 64, np.uint8)
+    bits[(shingles % np.uint64(longs * 64)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.uint64)
+
+
+def _wide(shingles: np.ndarray) -> np.ndarray:
+    """A signature whose length is a power of two that grows with the set."""
+    return _signature(shingles, max(SIGNATURE, 1 << (max(1, 2 * len(shingles)) // 64).bit_length()))
 
 
 def late_shingles(texts: DataFrame, words: int) -> np.ndarray:
@@ -150,7 +155,7 @@ def _sketches(texts: DataFrame, kind: str, words: int, percent: int, late: np.nd
         for batch in batches:
             for row, offsets, data in chunks(batch.column(1)):
                 sets = shingle_sets(offsets, data, words)
-                keys, signatures = [], []
+                keys, signatures, wide = [], [], []
                 for s in sets:
                     place = s >> np.uint64(1)
                     if len(known) and len(s):
@@ -161,18 +166,19 @@ def _sketches(texts: DataFrame, kind: str, words: int, percent: int, late: np.nd
                     n = len(s) - need + 1 if len(s) else 0
                     keys.append(s[np.argpartition(place, n - 1)[:n]] if 0 < n < len(s) else s)
                     signatures.append(_signature(s))
+                    wide.append(_wide(s))
                 raw = [x.tobytes() for x in sets]
-                bits = np.array(signatures).reshape(len(sets), SIGNATURE)
+                bits = np.array(signatures).reshape(len(sets), SIGNATURE).view(np.int64)
                 part = batch.slice(row, len(sets))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2),
                      pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([xxhash.xxh3_128_digest(x) if x else None for x in raw], pa.binary()), _lists(keys),
+                     pa.array([xxhash.xxh3_128_digest(x) if x else None for x in raw], pa.binary()), _lists(keys), _lists(wide),
                      *(pa.array(bits[:, k]) for k in range(SIGNATURE))],
-                    names=["id", "text_hash", "n", "class", "keys", *(f"s{k}" for k in range(SIGNATURE))])
+                    names=["id", "text_hash", "n", "class", "keys", "wide", *(f"s{k}" for k in range(SIGNATURE))])
 
     bitmaps = ", ".join(f"s{k} long" for k in range(SIGNATURE))
-    return texts.mapInArrow(run, f"id {kind}, text_hash long, n long, class binary, keys array<long>, {bitmaps}")
+    return texts.mapInArrow(run, f"id {kind}, text_hash long, n long, class binary, keys array<long>, wide array<long>, {bitmaps}")
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -204,6 +210,20 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * bound >= percent * (na + nb))
 
 
+def _folded(c: Column, n: Column) -> Column:
+    """A wide signature at length ``n``, its own or half of it: bits are hashes modulo a power of two."""
+    half = F.zip_with(F.slice(c, F.lit(1), n), F.slice(c, n + 1, n), lambda p, q: p.bitwiseOR(q))
+    return F.when(F.size(c) == n, c).otherwise(half)
+
+
+def _wide_may_link(percent: int) -> Column:
+    """The bound of ``_may_link`` by the wide signatures ``wa`` and ``wb`` of sets of ``na`` and ``nb``; lengths differ by one doubling at most."""
+    n = F.least(F.size("wa"), F.size("wb"))
+    alone = lambda x, y: F.aggregate(F.zip_with(_folded(F.col(x), n), _folded(F.col(y), n), lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, v: s + v)
+    bound = F.least(F.col("na") - alone("wa", "wb"), F.col("nb") - alone("wb", "wa"))
+    return (100 + percent) * bound >= percent * (F.col("na") + F.col("nb"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """Components of documents whose shingle sets have ``100 * intersection >= percent * union``.
 
@@ -234,23 +254,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         .select("key", "node", F.lag("node").over(by_key).alias("before"), F.lead("node").over(by_key).alias("after"))
     members = stored(shared.where("before is not null or after is not null").select("key", "node"))
     weight = stored(members.groupBy("node").agg(F.count("*").alias("shared")))
-    about = stored(nodes.select("node", "id", "class", *bitmaps).join(weight, "node"))
+    about = stored(nodes.select("node", "id", "class", "wide", *bitmaps).join(weight, "node"))
 
     # Round 1: each key's members against the one whose keys are shared most, which in a family of copies is the original.
     rated = members.join(about.select("node", (F.col("shared") / F.col("n")).alias("rate")), "node")
     centres = stored(rated.groupBy("key").agg(F.max(F.struct("rate", -F.col("node"))).alias("top")).select("key", (-F.col("top")["col2"]).alias("centre")))
     edges = members.join(centres, "key").where("node != centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    sides = lambda pairs: pairs.join(about.alias("x"), F.col("a") == F.col("x.node")).join(about.alias("y"), F.col("b") == F.col("y.node"))
-    first = stored(sides(edges).where(_may_link("x", "y", percent)).select("a", "b"))
-
-    wanted = stored(about.select("id").distinct())
-    on_id = F.col("id").eqNullSafe(F.col("w"))
-    sets = _sets(texts.join(few(wanted.withColumnRenamed("id", "w")), on_id, "left_semi"), words)
-    sets = sets.join(few(stored(about.select("class", "node", "n"))), "class").drop("class")
-    repeated = sketches.join(few(wanted), "id", "left_semi").groupBy("id").count().where("count > 1")
-    sets = stored(sets if repeated.isEmpty() else sets.dropDuplicates(["node"]))
+    small = about.select("node", *bitmaps)
+    sides = lambda pairs: pairs.join(small.alias("x"), F.col("a") == F.col("x.node")).join(small.alias("y"), F.col("b") == F.col("y.node"))
+    first = sides(edges).where(_may_link("x", "y", percent)).select("a", "b")
 
     def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs that pass the wide signatures and whose sets, made anew from just their texts, overlap enough."""
+        wx, wy = (about.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("wide").alias(f"w{c}")) for c in "ab")
+        pairs = stored(pairs.join(wx, "a").join(wy, "b").where(_wide_may_link(percent)).select("a", "b"))
+        some = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        some = stored(about.select("node", "id", "class", "n").join(some, "node"))
+        ids = few(stored(some.select(F.col("id").alias("w")).distinct()))
+        sets = _sets(texts.join(ids, F.col("id").eqNullSafe(F.col("w")), "left_semi"), words)
+        sets = sets.join(few(some.select("class", "node", "n")), "class").drop("class")
+        repeated = sketches.join(ids, F.col("id").eqNullSafe(F.col("w")), "left_semi").groupBy("id").count().where("count > 1")
+        sets = stored(sets if repeated.isEmpty() else sets.dropDuplicates(["node"]))
         x, y = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("shingles").alias(f"s{c}")) for c in "ab")
         both = F.size(F.array_intersect("sa", "sb"))
         return stored(pairs.join(x, "a").join(y, "b").where((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select("a", "b"))
@@ -274,7 +298,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.from")) & (F.col("x.other") == F.col("y.tile")) & (F.col("x.meets") == F.col("y.band"))
         & (F.col("x.component") != F.col("y.component")) & ((F.col("x.reach") == 1) | (F.col("x.node") < F.col("y.node"))) & _may_link("x", "y", percent)) \
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    more = linked(stored(pairs))
+    more = linked(pairs)
     if not more.isEmpty():
         found = connected(links.union(more))
 
