@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, embeddings, html, language, pii, sharding, shingles, tokenizing
+from . import chat, decontamination, embeddings, html, language, pii, repeats, sharding, shingles, tokenizing
 from .runtime import table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -45,6 +45,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         sha256(F.array_join("items", ",")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return cut.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     samples = language.sample(docs.where(~language.held_out("doc_id")))
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_pii": op3_pii,
     "op4_decontamination": op4_decontamination,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language_id": op6_language_id,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_embeddings": op8_embeddings,
