@@ -261,7 +261,7 @@ def extract(pages: DataFrame, *, id_cols: tuple[str, ...] = ("page_id", "url"),
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(x.as_py()) for x in batch.column(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64(), len(texts))],
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              names=[*batch.schema.names[:-1], "text", "n_chars"])
 
     return rows.mapInArrow(run, schema)
