@@ -83,19 +83,19 @@ class Parser:
         for i, c in enumerate(letters):
             self.code[[ord(c), *(ord(x) for x in (c.upper(), c.title()) if len(x) == 1)]] = i + 2
         self.languages = [name for name, _ in samples]
-        tables, self.roots, weights, base = [], [], [], 0
+        tables, roots, weights, base = [], [], [], 0
         for _, text in samples:
             coded = self.codes(text)
             t = suffix_automaton(coded.tolist(), self.width)
             t = np.where(t > 0, t + base, 0)
-            self.roots.append((base + 1) * self.width)
+            roots.append(base + 1)
             tables.append(t)
             base += len(t)
             weights.append(math.log2(max(2, len(coded))))
         self.weights = np.array(weights)
         table = np.concatenate(tables).astype(np.int32) if tables else np.zeros((1, self.width), np.int32)
         table *= self.width  # states are kept as offsets into the flat table
-        self.first = np.stack([np.where((row := table[r // self.width]) > 0, row, r) for r in self.roots]) if samples else None
+        self.first = [table[r] for r in roots]
         self.table = table.ravel()
 
     def codes(self, text: str) -> np.ndarray:
@@ -130,10 +130,11 @@ class Parser:
         grid = np.ascontiguousarray(grid.T)
         active = np.searchsorted(-np.array(sizes), -np.arange(sizes[0]), side="left")  # lanes longer than the step
         owner = np.array([i for i, _ in lanes])
-        for language, root in enumerate(self.roots):
-            first, table = self.first[language], self.table
-            state = np.full(len(lanes), root, np.int32)
-            count = np.ones(len(lanes), np.int32)  # the phrase each lane begins with
+        table = self.table
+        for language, first in enumerate(self.first):
+            # State 0 leads nowhere: the next character begins a phrase. So does the one after a character the language lacks.
+            state = np.zeros(len(lanes), np.int32)
+            count = np.zeros(len(lanes), np.int32)
             for step in range(sizes[0]):
                 n = active[step]
                 column = grid[step, :n]

@@ -55,7 +55,7 @@ def test_pages_built_to_be_slow(page):
 def test_pages_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (2, None, None, "y"), (None, "v", "", "z")], "page_id long, url string, html string, text string")
     got = sorted((r.page_id or 0, r.url or "", r.text, r.n_chars) for r in html.extract(pages).collect())
-    assert got == [(0, "v", "", 0), (1, "u", html.main_text(PAGE), 41), (1, "u", html.main_text(PAGE), 41), (2, "", "", 0)]
+    assert got == [(0, "v", "", 0), (1, "u", html.main_text(PAGE), 38), (1, "u", html.main_text(PAGE), 38), (2, "", "", 0)]
     assert html.extract(pages.limit(0)).count() == 0
 
 
@@ -249,7 +249,7 @@ def test_phrases_are_longest_matches():
                 while end < len(coded) and bytes(coded[at:end + 1]) in known:
                     end += 1
                 n, at = n + 1, end
-            assert parser.phrases([coded])[0, k] in (n, n)
+            assert parser.phrases([coded])[0, k] == n
 
 
 def test_language(spark, sf_dir):
