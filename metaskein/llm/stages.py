@@ -37,7 +37,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_first_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, of smallest id, for each component of near duplicates. Repeated rows of it are dropped too."""
     found = stored(shingles.near_duplicates(docs.select(COLUMNS)).select("doc_id", "text_hash", "kept"))
-    same = [F.col("doc_id").eqNullSafe(F.col("k.doc_id")), F.col("text_hash").eqNullSafe(F.col("k.text_hash"))]
+    same = [F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), F.col("d.text_hash").eqNullSafe(F.col("k.text_hash"))]
     by_row = found.groupBy("doc_id", "text_hash").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
     changed = stored(by_row.where("not kept or rows > 1"))
     hashed = shingles.with_text_hash(docs.select(COLUMNS))
