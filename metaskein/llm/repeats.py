@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import ship, stored
-from .shingles import _mix, _power, chunks
+from .shingles import _mix, _power, chunks, few
 
 #: Bytes of an anchor gram; the rest of a window is where the anchor can lie.
 GRAM = 100
-#: Bits of the filter of anchors that occur again (broadcast, 8 MB at most); more bits let fewer others pass.
+#: Bits of an anchor that a filter looks at (broadcast, 8 MB); more bits let fewer others pass.
 FILTER_BITS = 26
 #: Contexts of an anchor that one task sorts; the windows of a larger group are counted by hash instead, with the same result.
 SORTED = 5_000
@@ -166,6 +166,27 @@ def equal_windows(contexts: list[bytes], places: list[int], length: int) -> list
     return found
 
 
+def _bitmap(anchors: DataFrame):
+    """A broadcast set of bits, one for each anchor's first FILTER_BITS bits: of one size, however many there are."""
+    at = F.call_function("shiftrightunsigned", "anchor", F.lit(64 - FILTER_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    words = anchors.groupBy(F.floor(at / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return anchors.sparkSession.sparkContext.broadcast(bitmap.view(np.uint64))
+
+
+def _in(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = h >> np.uint64(64 - FILTER_BITS)
+    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _leaders(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
+    """For each text of a batch the first equal one: copies add to counts only."""
+    seen: dict[tuple[int, int], int] = {}
+    return np.array([seen.setdefault(k, i) for i, k in enumerate(zip(k1.tolist(), k2.tolist(), strict=True))], np.int64)
+
+
 _INTERVALS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
 
@@ -176,8 +197,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     ``kept`` binary: the remaining bytes. One row per input row. Null and empty texts have no bytes. Matches never cross documents; repeated rows
     are copies of each other. Cut bytes may be parts of characters. Other columns are ignored.
 
-    Shuffles: one hash for each run (about 150 bytes of text), then the contexts of runs whose anchor occurs again, and lists of
-    stretches. Equal contexts are told by 128-bit hashes and combined in each task; a group with more than ``sorted_most`` different ones
+    Three passes over the texts. Shuffles: one hash for each run (about 150 bytes of text), then hashes of the contexts of runs whose
+    anchor occurs again, the contexts of anchors that have several, and lists of stretches. Equal contexts are told by 128-bit hashes and combined in each task; a group with more than ``sorted_most`` different ones
     is not sorted in one task, its windows become hashed counts.
     """
     spark = docs.sparkSession
@@ -192,45 +213,50 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["anchor", "n"])
 
     again = rows.select("text").mapInArrow(anchors, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    again = stored(again)
-    bit = F.call_function("shiftrightunsigned", "anchor", F.lit(64 - FILTER_BITS))
-    words = again.groupBy(F.call_function("shiftright", bit, F.lit(6)).alias("word")) \
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(anchor, {64 - FILTER_BITS}) & 63 as int))")).alias("bits")).toArrow()
-    bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
-    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    shared = spark.sparkContext.broadcast(bitmap.view(np.uint64))
+    again = _bitmap(again)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k1, k2 = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            seen: dict[tuple[int, int], int] = {}  # texts of this batch, of which copies repeat nothing but counts
-            leader = np.array([seen.setdefault(k, i) for i, k in enumerate(zip(k1.tolist(), k2.tolist(), strict=True))])
+            leader = _leaders(k1, k2)
             copies = np.bincount(leader, minlength=batch.num_rows)
             for row, start, first, last, place, h, data in _runs(batch.column(0), length, gram):
-                b = h >> np.uint64(64 - FILTER_BITS)
-                some = np.flatnonzero((shared.value[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)) & np.uint64(1)).astype(bool) & (leader[row] == row))
-                if not len(some):
-                    continue
-                raw = memoryview(data)
-                ends = (last[some] + length).tolist()
-                contexts = [bytes(raw[a:z]) for a, z in zip(first[some].tolist(), ends, strict=True)]
-                names = [xxhash.xxh3_128_digest(c) for c in contexts]
-                once: set[bytes] = set()
-                shown = [None if n in once or once.add(n) else c for n, c in zip(names, contexts, strict=True)]
+                some = np.flatnonzero(_in(again.value, h) & (leader[row] == row))
+                raw, ends = memoryview(data), last[some] + length
+                names = [xxhash.xxh3_128_digest(raw[a:z]) for a, z in zip(first[some].tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k1[row[some]]), pa.array(k2[row[some]]), pa.array(start[some], pa.int64()), pa.array(h[some].view(np.int64)), pa.array(names, pa.binary()),
-                     pa.array(copies[row[some]], pa.int64()), pa.array(place[some] - first[some], pa.int32()), pa.array(shown, pa.binary())],
-                    names=["k1", "k2", "start", "anchor", "name", "n", "place", "context"])
+                     pa.array(copies[row[some]], pa.int64()), pa.array(ends - first[some], pa.int32())],
+                    names=["k1", "k2", "start", "anchor", "name", "n", "bytes"])
 
-    runs = stored(rows.select("text", "k1", "k2").mapInArrow(
-        candidates, "k1 long, k2 long, start long, anchor long, name binary, n long, place int, context binary"))
+    texts = rows.select("text", "k1", "k2")
+    runs = stored(texts.mapInArrow(candidates, "k1 long, k2 long, start long, anchor long, name binary, n long, bytes int"))
 
     counts = stored(runs.groupBy("anchor", "name").agg(F.sum("n").alias("n")))
     size = stored(counts.groupBy("anchor").agg(F.count("*").alias("different")).where("different > 1"))
     whole = counts.where("n > 1").select("name", F.lit(None).cast("array<struct<first:int,last:int>>").alias("windows"))
+    several = _bitmap(size)
 
-    shown = runs.where("context is not null").select("anchor", "name", "place", "context").join(size, "anchor")
-    small = shown.where(F.col("different") <= sorted_most).select("anchor", "name", "place", "context").repartition("anchor").sortWithinPartitions("anchor", "name")
+    def differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leader = _leaders(batch.column(1).to_numpy(), batch.column(2).to_numpy())
+            shown: set[bytes] = set()
+            for row, _, first, last, place, h, data in _runs(batch.column(0), length, gram):
+                some = np.flatnonzero(_in(several.value, h) & (leader[row] == row))
+                raw, out = memoryview(data), []
+                for a, z, p, anchor in zip(first[some].tolist(), (last[some] + length).tolist(), (place[some] - first[some]).tolist(), h[some].view(np.int64).tolist(), strict=True):
+                    name = xxhash.xxh3_128_digest(raw[a:z])
+                    if name not in shown:
+                        shown.add(name)
+                        out.append((anchor, name, p, bytes(raw[a:z])))
+                kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=["anchor", "name", "place", "context"])
+
+    shown = texts.mapInArrow(differing, "anchor long, name binary, place int, context binary")
+    large = stored(size.where(F.col("different") > sorted_most).select("anchor"))
+    any_large = not large.isEmpty()
+    small = shown.join(few(large), "anchor", "left_anti") if any_large else shown
+    small = small.repartition("anchor").sortWithinPartitions("anchor", "name")
 
     def sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle(names: list[bytes], places: list[int], contexts: list[bytes]) -> Iterator[tuple]:
@@ -267,9 +293,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                         name.append(n), first.append(t), found.append(xxhash.xxh3_128_digest(context[t:t + length]))
                 yield pa.RecordBatch.from_arrays([pa.array(name, pa.binary()), pa.array(first, pa.int32()), pa.array(found, pa.binary())], names=["name", "first", "window"])
 
-    large = stored(size.where(F.col("different") > sorted_most).select("anchor"))
-    if not large.isEmpty():
-        big = shown.where(F.col("different") > sorted_most).select("name", "context").dropDuplicates(["name"])
+    if any_large:
+        big = shown.join(few(large), "anchor", "left_semi").select("name", "context").dropDuplicates(["name"])
         hashed = stored(big.mapInArrow(hash_windows, "name binary, first int, window binary"))
         twice = stored(hashed.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"))
         hits = hashed.join(twice, "window").groupBy("name").agg(F.transform(F.array_sort(F.collect_list("first")), lambda t: F.struct(t.alias("first"), t.alias("last"))).alias("windows"))
@@ -277,9 +302,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     # A context that occurs twice goes as a whole; else the windows that other contexts have.
     settled = stored(partly.union(whole).groupBy("name").agg(F.max(F.col("windows").isNull()).alias("whole"), F.first("windows", ignorenulls=True).alias("windows")))
-    placed = runs.select("k1", "k2", "start", "anchor", "name").distinct()
-    sizes = runs.where("context is not null").groupBy("name").agg(F.max(F.octet_length("context")).alias("bytes"))
-    hit = placed.join(settled.join(sizes, "name"), "name")
+    hit = runs.select("k1", "k2", "start", "name", "bytes").distinct().join(settled, "name")
     windows = F.when(F.col("whole"), F.array(F.struct(F.lit(0).alias("first"), (F.col("bytes") - length).alias("last")))).otherwise(F.col("windows"))
     stretches = F.transform(windows, lambda w: F.struct((F.col("start") + w["first"]).alias("start"), (F.col("start") + w["last"] + length).alias("end")))
     removed = stored(hit.groupBy("k1", "k2").agg(F.array_sort(F.flatten(F.collect_list(stretches))).alias("stretches"))
