@@ -94,9 +94,11 @@ SNAPSHOT = {
                           when l_partkey % 10 = 1 then cast(null as string) else '1,1,0,-1' end"""),
     }),
 }
+WHOLE = ("wdb", "wdh")
 UPSERTED = ("dataitem", "join")  # the base rows repeat keys: last in ORDER wins
-SIDE = {"db": 0, "dh": 1}
-ALL_SNAPSHOTS = tuple(f"{side}_{table}" for side in SIDE for table in SNAPSHOT)
+# wdb and wdh: the same columns of all base rows, for queries that compare nothing.
+SIDE = {"db": 0, "dh": 1, "wdb": 0, "wdh": 1}
+ALL_SNAPSHOTS = tuple(f"{side}_{table}" for side in ("db", "dh") for table in SNAPSHOT)
 
 
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,7 +118,7 @@ def raw(read, name: str) -> DataFrame:
     side, table = name.split("_", 1)
     source, present, _ = SNAPSHOT[table]
     order = ORDER if table in UPSERTED else []
-    return read(source).where(present[SIDE[side]]).select(
+    return read(source).where("true" if side in WHOLE else present[SIDE[side]]).select(
         *[F.expr(e).alias(c) for c, e in _columns(table, side).items()], *order
     )
 
@@ -134,13 +136,14 @@ def _snapshot_sql(name: str) -> str:
     side, table = name.split("_", 1)
     source, present, _ = SNAPSHOT[table]
     cols = ", ".join(f'{e} AS "{c}"' for c, e in _columns(table, side).items())
+    rule = "true" if side in WHOLE else present[SIDE[side]]
     if table not in UPSERTED:
-        return f"SELECT {cols} FROM {source} WHERE {present[SIDE[side]]}"
+        return f"SELECT {cols} FROM {source} WHERE {rule}"
     keys = ", ".join(schemas.KEYS[table])
     order = ", ".join(f"{c} DESC NULLS LAST" for c in ORDER)
     out = ", ".join(f'"{c}"' for c in _columns(table, side))
     return (f"SELECT {out} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS rn FROM "
-            f"(SELECT {cols}, {', '.join(ORDER)} FROM {source} WHERE {present[SIDE[side]]})) WHERE rn = 1")
+            f"(SELECT {cols}, {', '.join(ORDER)} FROM {source} WHERE {rule})) WHERE rn = 1")
 
 
 # --- the database's own catalog tables --------------------------------------

@@ -8,6 +8,12 @@ from .queries import CHUNK
 ORACLES: dict[str, str] = {}
 NONE = "CAST(NULL AS VARCHAR)"
 
+
+def _bucket(*columns: str) -> str:
+    """Bucket of a row within its key, by which rows are numbered in parts."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in columns)})), 1, 2) AS INTEGER)"
+
+
 # --- diffs ----------------------------------------------------------------------
 
 DIFF = {
@@ -176,8 +182,10 @@ ORACLES["delta_preview"] = cascaded("""SELECT entity, change_type, seq, CASE WHE
     FROM (SELECT *, CASE change_type WHEN 'add' THEN '+' WHEN 'delete' THEN '-' ELSE '!' END AS m,
       CASE WHEN entity = 'item' THEN set_nm || '.' || name ELSE name END AS label FROM feed)""")
 ORACLES["diff_json"] = cascaded(f"""SELECT entity, part, count(*) FILTER (change_type = 'add') AS n_add,
-    count(*) FILTER (change_type = 'delete') AS n_delete, count(*) FILTER (change_type = 'update') AS n_update
-  FROM (SELECT *, (row_number() OVER (PARTITION BY entity ORDER BY change_type, entity_id) - 1) // {CHUNK} AS part FROM feed)
+    count(*) FILTER (change_type = 'delete') AS n_delete, count(*) FILTER (change_type = 'update') AS n_update,
+    string_agg(change_type || ':' || entity_id || ':' || name, ';' ORDER BY change_type || ':' || entity_id || ':' || name) AS entries
+  FROM (SELECT *, (row_number() OVER (PARTITION BY entity ORDER BY {_bucket('change_type', 'entity_id', 'catalog_id', 'name')},
+      change_type, entity_id, catalog_id NULLS FIRST, name) - 1) // {CHUNK} AS part FROM feed)
   GROUP BY entity, part""")
 
 # --- payloads --------------------------------------------------------------------------
@@ -192,8 +200,9 @@ ORACLES["payload_items"] = cascaded("""SELECT change_type, dataset_id, physical_
         ELSE printf('%.2f', CAST(json_extract_string(metadata, '$.null_percentage') AS DOUBLE)) END END AS null_percentage,
     nullif(example, '') AS example FROM item_chg""")
 _PAIRS = """SELECT db_relationship_id, parent_fqdn, child_fqdn, position, cardinality,
-    row_number() OVER (PARTITION BY db_relationship_id ORDER BY position, parent_fqdn, child_fqdn) AS rn FROM db_join"""
-ORACLES["payload_relationships"] = cascaded("""SELECT change_type, r.physical_nm, (p.rn - 1) // 3 AS part,
+    row_number() OVER (PARTITION BY db_relationship_id ORDER BY position, parent_fqdn, child_fqdn) AS rn,
+    row_number() OVER (PARTITION BY db_relationship_id ORDER BY """ + _bucket('position', 'parent_fqdn', 'child_fqdn') + """, position, parent_fqdn, child_fqdn) AS bn FROM db_join"""
+ORACLES["payload_relationships"] = cascaded("""SELECT change_type, r.physical_nm, (p.bn - 1) // 3 AS part,
     split_part(f.parent_fqdn, '.', 1) || '.' || split_part(f.parent_fqdn, '.', 2) AS parent_set,
     split_part(f.child_fqdn, '.', 1) || '.' || split_part(f.child_fqdn, '.', 2) AS child_set,
     nullif(logical_nm, '') AS logical, CASE WHEN f.cardinality <> '' THEN f.cardinality ELSE '1,1,0,-1' END AS cardinality,
@@ -227,14 +236,13 @@ for _q, _t in {"upsert_sets": "dataset", "upsert_items": "dataitem", "upsert_rel
     _cols = "* EXCLUDE (id)" if _t != "join" else "*"
     ORACLES[_q] = oracle(f"""SELECT {_cols} FROM dh_{_t} UNION ALL BY NAME
         SELECT * FROM db_{_t} WHERE ({_KEYS[_t]}) NOT IN (SELECT ({_KEYS[_t]}) FROM dh_{_t})""", f"db_{_t}", f"dh_{_t}")
-ORACLES["reset_snapshot"] = oracle("SELECT * FROM db_dataitem WHERE false", "db_dataitem")
 ORACLES["snapshot_sql"] = oracle("""SELECT s.schema, s.type, count(*) AS n_items, count(*) FILTER (c.is_pk) AS n_keys
-  FROM db_dataitem c JOIN db_dataset s ON s.physical_nm = c.dataset_id GROUP BY s.schema, s.type""", "db_dataitem", "db_dataset")
+  FROM wdb_dataitem c JOIN wdb_dataset s ON s.physical_nm = c.dataset_id GROUP BY s.schema, s.type""", "wdb_dataitem", "wdb_dataset")
 
 # --- lookups ---------------------------------------------------------------------------------
 
-ORACLES["set_lookup"] = oracle("""SELECT physical_nm, schema, id FROM dh_dataset
-  WHERE lower(trim(physical_nm)) IN (SELECT 'ds_' || s_suppkey FROM supplier)""", "dh_dataset")
+ORACLES["set_lookup"] = oracle("""SELECT physical_nm, schema, id FROM wdh_dataset
+  WHERE lower(trim(physical_nm)) IN (SELECT 'ds_' || s_suppkey FROM supplier)""", "wdh_dataset")
 ORACLES["set_id_resolution"] = oracle("""SELECT schema, dataset_id, physical_nm, coalesce(own, a, b, c) AS set_id,
     CASE WHEN own IS NOT NULL THEN 'own' WHEN a IS NOT NULL THEN 'schema' WHEN b IS NOT NULL THEN 'snapshot'
       WHEN c IS NOT NULL THEN 'remote' END AS resolved_by
@@ -250,9 +258,9 @@ ORACLES["endpoint_resolution"] = oracle("""SELECT db_relationship_id, parent_fqd
   FROM (SELECT *, split_part(parent_fqdn, '.', 1) || '.' || split_part(parent_fqdn, '.', 2) AS pf,
       split_part(parent_fqdn, '.', 2) || '.' || split_part(parent_fqdn, '.', 3) AS pi,
       split_part(child_fqdn, '.', 1) || '.' || split_part(child_fqdn, '.', 2) AS cf,
-      split_part(child_fqdn, '.', 2) || '.' || split_part(child_fqdn, '.', 3) AS ci FROM db_join)""",
-    "db_join", "db_dataset", extra={
-        "sets": "SELECT schema || '.' || physical_nm AS f FROM db_dataset",
+      split_part(child_fqdn, '.', 2) || '.' || split_part(child_fqdn, '.', 3) AS ci FROM wdb_join)""",
+    "wdb_join", "wdb_dataset", extra={
+        "sets": "SELECT schema || '.' || physical_nm AS f FROM wdb_dataset",
         "its": "SELECT DISTINCT concat('ds_', l_partkey, '.c_', l_linenumber) AS f FROM lineitem"})
 ORACLES["outdated_relationships"] = oracle("""SELECT 'delete' AS phase, physical_nm, id FROM dh_relationship
     WHERE physical_nm NOT IN (SELECT physical_nm FROM db_relationship)
@@ -401,11 +409,13 @@ ORACLES["fk_resolution"] = oracle(_FK, *_FK_TABLES)
 ORACLES["fk_documents"] = oracle("""SELECT name AS physical_nm, name AS logical_nm, rn - 1 AS part,
     first_value(ps) OVER w AS parent_set, first_value(cs) OVER w AS child_set, on_update, on_delete,
     ps || '.' || pc || '>' || cs || '.' || cc AS items
-  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY key_number, ps || '.' || pc, cs || '.' || cc) AS rn FROM (
+  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY """ + _bucket("key_number", "ps || '.' || pc", "cs || '.' || cc")
+    + """, key_number, ps || '.' || pc, cs || '.' || cc) AS rn,
+      row_number() OVER (PARTITION BY name ORDER BY key_number, cs || '.' || cc, ps || '.' || pc) AS hn FROM (
       SELECT name, min(key_number) AS key_number, source_field_schema || '.src:' || source_field_entity AS ps,
         source_field_name AS pc, foreign_field_schema || '.src:' || foreign_field_entity AS cs, foreign_field_name AS cc,
         upper(min(on_update)) AS on_update, upper(min(on_delete)) AS on_delete FROM fk GROUP BY ALL))
-  WINDOW w AS (PARTITION BY name ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+  WINDOW w AS (PARTITION BY name ORDER BY hn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
     *_FK_TABLES, extra={"fk": _FK})
 
 # --- profiles ----------------------------------------------------------------------------------
@@ -459,7 +469,7 @@ ORACLES["merge_sets"] = oracle("""SELECT lower(coalesce(a.schema, b.schema)) AS
     CASE WHEN a.physical_nm IS NULL THEN b.definition ELSE a.definition END AS definition,
     CASE WHEN a.physical_nm IS NULL THEN b.id END AS id,
     coalesce(nullif(b.description, ''), a.description, '') AS description
-  FROM db_dataset a FULL JOIN dh_dataset b ON b.physical_nm = a.physical_nm""", "db_dataset", "dh_dataset")
+  FROM wdb_dataset a FULL JOIN wdh_dataset b ON b.physical_nm = a.physical_nm""", "wdb_dataset", "wdh_dataset")
 ORACLES["merge_schemas"] = """SELECT lower(s) AS schema_id, arg_min(s, p_partkey) AS schema,
     arg_min(p_name, p_partkey) FILTER (p_partkey % 3 = 0) AS comment
   FROM (SELECT *, CASE WHEN p_partkey % 2 = 0 THEN concat('sch_', p_size % 5) ELSE concat('SCH_', p_size % 5) END AS s FROM part)
@@ -469,8 +479,8 @@ ORACLES["merge_items"] = oracle(f"""SELECT coalesce(a.dataset_id, b.dataset_id)
     coalesce(a.dataset_id, b.dataset_id) AS dataset_id, coalesce(a.physical_nm, upper(b.physical_nm)) AS physical_nm,
     {', '.join(f'CASE WHEN a.physical_nm IS NULL THEN b.{c} ELSE a.{c} END AS {c}' for c in _MERGED_ITEM)},
     coalesce(nullif(b.description, ''), a.description, '') AS description
-  FROM db_dataitem a FULL JOIN dh_dataitem b ON b.dataset_id = a.dataset_id AND b.physical_nm = a.physical_nm""",
-    "db_dataitem", "dh_dataitem")
+  FROM wdb_dataitem a FULL JOIN wdh_dataitem b ON b.dataset_id = a.dataset_id AND b.physical_nm = a.physical_nm""",
+    "wdb_dataitem", "wdh_dataitem")
 _KEYROWS = """SELECT *, concat('ds_', l_partkey) AS dataset_id,
     CASE WHEN l_orderkey % 2 = 0 THEN concat('PK_', l_linenumber) ELSE concat('pk_', l_linenumber) END AS name,
     CASE WHEN l_orderkey % 5 <> 0 THEN l_returnflag END AS t, CASE WHEN l_orderkey % 7 <> 0 THEN l_linestatus END AS c FROM lineitem"""
@@ -493,7 +503,7 @@ ORACLES["relationship_conflicts"] = f"""SELECT rel AS relationship_id, 'differen
 ORACLES["merge_joins"] = oracle("""SELECT db_relationship_id AS relationship_id, parent_fqdn || '::' || child_fqdn AS join_id,
     db_relationship_id, parent_fqdn, child_fqdn, coalesce(nullif(b.position, 0), a.position, 0) AS position,
     coalesce(nullif(b.cardinality, ''), nullif(a.cardinality, ''), '') AS cardinality
-  FROM db_join a FULL JOIN dh_join b USING (db_relationship_id, parent_fqdn, child_fqdn)""", "db_join", "dh_join")
+  FROM wdb_join a FULL JOIN wdh_join b USING (db_relationship_id, parent_fqdn, child_fqdn)""", "wdb_join", "wdh_join")
 
 
 def _links(table: str) -> str:
@@ -503,20 +513,20 @@ def _links(table: str) -> str:
         UNION ALL SELECT db_relationship_id, 'child', child_fqdn FROM {table})"""
 
 
-ORACLES["set_links"] = oracle(_links("db_join"), "db_join")
+ORACLES["set_links"] = oracle(_links("wdb_join"), "wdb_join")
 ORACLES["dangling_links"] = oracle(f"""SELECT * FROM ({_links('dh_join')})
   WHERE relationship_id NOT IN (SELECT physical_nm FROM db_relationship)""", "dh_join", "db_relationship")
-ORACLES["linked_relationships"] = oracle(f"""SELECT DISTINCT set_id, relationship_id, id, on_delete FROM ({_links('db_join')})
-  JOIN dh_relationship ON physical_nm = relationship_id""", "db_join", "dh_relationship")
-ORACLES["document_roundtrip"] = oracle("FROM db_dataitem", "db_dataitem")
-ORACLES["document_sets"] = oracle("FROM db_dataset", "db_dataset")
-ORACLES["document_relationships"] = oracle("SELECT *, 'sch_0' AS schema FROM db_relationship", "db_relationship")
-ORACLES["document_joins"] = oracle("""SELECT * FROM db_join WHERE db_relationship_id IN (SELECT physical_nm FROM db_relationship)""",
-                                   "db_join", "db_relationship")
+ORACLES["linked_relationships"] = oracle(f"""SELECT DISTINCT set_id, relationship_id, id, on_delete FROM ({_links('wdb_join')})
+  JOIN wdh_relationship ON physical_nm = relationship_id""", "wdb_join", "wdh_relationship")
+ORACLES["document_roundtrip"] = oracle("FROM wdb_dataitem", "wdb_dataitem")
+ORACLES["document_sets"] = oracle("FROM wdb_dataset", "wdb_dataset")
+ORACLES["document_relationships"] = oracle("SELECT *, 'sch_0' AS schema FROM wdb_relationship", "wdb_relationship")
+ORACLES["document_joins"] = oracle("""SELECT * FROM wdb_join WHERE db_relationship_id IN (SELECT physical_nm FROM wdb_relationship)""",
+                                   "wdb_join", "wdb_relationship")
 ORACLES["items_by_type"] = oracle("""SELECT wanted, dataset_id, physical_nm, type
-  FROM (SELECT unnest(['_int4', 'text', 'json']) AS wanted) LEFT JOIN db_dataitem ON lower(type) = wanted""", "db_dataitem")
+  FROM (SELECT unnest(['_int4', 'text', 'json']) AS wanted) LEFT JOIN wdb_dataitem ON lower(type) = wanted""", "wdb_dataitem")
 ORACLES["views_nonviews"] = oracle("""SELECT CASE WHEN upper(coalesce(type, '')) LIKE '%VIEW%' THEN 'view' ELSE 'other' END AS kind,
-    physical_nm, type FROM db_dataset""", "db_dataset")
+    physical_nm, type FROM wdb_dataset""", "wdb_dataset")
 
 # --- flows -----------------------------------------------------------------------------------
 

@@ -117,11 +117,12 @@ class StoredInputs(Inputs):
 def store_inputs(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write every snapshot and catalog table below ``root``, one file per core."""
     i = Inputs(configure(spark), sf_dir)
-    made = {n: getattr(i, n) for n in fx.ALL_SNAPSHOTS} | {f"raw_{n}": i.raw(n) for n in fx.ALL_SNAPSHOTS}
+    whole = tuple(f"{side}_{t}" for side in fx.WHOLE for t in fx.SNAPSHOT)
+    made = {n: getattr(i, n) for n in fx.ALL_SNAPSHOTS + whole} | {f"raw_{n}": i.raw(n) for n in fx.ALL_SNAPSHOTS}
     for name, df in (made | i.catalog(*CATALOG_TABLES)).items():
         df.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{root}/{name}")
     sides = [{t: i._stored(f"{side}_{t}") for t in schemas.TABLES} for i in [StoredInputs(spark, sf_dir, root)]
-             for side in fx.SIDE]
+             for side in ("db", "dh")]
     S.write_changes(*sides, f"{root}/changes")
 
 
@@ -261,10 +262,12 @@ def delta_preview(i):
 
 @query
 def diff_json(i):
-    out = L.diff_json(cut(i.feed()), CHUNK)  # read twice: counted, then cut into parts
-    size = lambda c: F.json_array_length(F.get_json_object("json", f"$.{c}"))
-    return out.select("entity", "part", size("add").alias("n_add"), size("delete").alias("n_delete"),
-                      size("update").alias("n_update"))
+    kinds = ("add", "delete", "update")
+    body = F.from_json("json", ", ".join(f"{k} array<struct<entity_id:string,name:string>>" for k in kinds))
+    out = L.diff_json(i.feed(), CHUNK).select("entity", "part", body.alias("body"))
+    entry = lambda k: F.transform(f"body.{k}", lambda x: F.concat(F.lit(k), F.lit(":"), x["entity_id"], F.lit(":"), x["name"]))
+    return out.select("entity", "part", *[F.size(f"body.{k}").cast("long").alias(f"n_{k}") for k in kinds],
+                      F.array_join(F.array_sort(F.concat(*map(entry, kinds))), ";").alias("entries"))
 
 
 # --- payloads ---------------------------------------------------------------------
@@ -351,17 +354,12 @@ def upsert_joins(i):
     return _upsert(i, "join")
 
 
-@query
-def reset_snapshot(i):
-    return N.reset(i.db_dataitem)
-
-
 @query
 def snapshot_sql(i):
     return N.query(i.spark, """
         SELECT s.schema, s.type, count(*) AS n_items, sum(CASE WHEN c.is_pk THEN 1 ELSE 0 END) AS n_keys
         FROM db_dataitem c JOIN db_dataset s ON s.physical_nm = c.dataset_id GROUP BY s.schema, s.type""",
-        {"db_dataitem": i.db_dataitem, "db_dataset": i.db_dataset})
+        {"db_dataitem": i.wdb_dataitem, "db_dataset": i.wdb_dataset})
 
 
 @query
@@ -387,7 +385,7 @@ def stash_joins(i):
 @query
 def set_lookup(i):
     names = i.supplier.select(F.expr("concat(' DS_', s_suppkey, ' ')").alias("name"))
-    return N.lookup_sets(i.dh_dataset, names).select("physical_nm", "schema", "id")
+    return N.lookup_sets(i.wdh_dataset, names).select("physical_nm", "schema", "id")
 
 
 @query
@@ -404,7 +402,7 @@ def set_id_resolution(i):
 
 @query
 def endpoint_resolution(i):
-    out = R.resolve_endpoints(_pairs(i.db_join), i.db_dataset, _columns_as_items(i))
+    out = R.resolve_endpoints(_pairs(i.wdb_join), i.wdb_dataset, _columns_as_items(i))
     return out.select("db_relationship_id", "parent_fqdn", "child_fqdn", "parent_set_found", "parent_item_found",
                       "child_set_found", "child_item_found")
 
@@ -625,8 +623,8 @@ def stats_enrich(i):
 
 def _both(i: Inputs, table: str) -> DataFrame:
     """Rows of both sides in arrival order: source first, then catalog with upper-case names."""
-    a = getattr(i, f"db_{table}").withColumn("seq", F.lit(1))
-    b = getattr(i, f"dh_{table}").withColumn("seq", F.lit(2))
+    a = getattr(i, f"wdb_{table}").withColumn("seq", F.lit(1))
+    b = getattr(i, f"wdh_{table}").withColumn("seq", F.lit(2))
     if table != "join":
         b = b.withColumn("physical_nm", F.upper("physical_nm"))
     return a.unionByName(b, allowMissingColumns=True)
@@ -703,7 +701,7 @@ def merge_joins(i):
 
 @query
 def set_links(i):
-    return M.set_links(_pairs(i.db_join))
+    return M.set_links(_pairs(i.wdb_join))
 
 
 @query
@@ -713,13 +711,13 @@ def dangling_links(i):
 
 @query
 def linked_relationships(i):
-    out = M.relationships_of(M.set_links(_pairs(i.db_join)), i.dh_relationship)
+    out = M.relationships_of(M.set_links(_pairs(i.wdb_join)), i.wdh_relationship)
     return out.select("set_id", "relationship_id", "id", "on_delete")
 
 
 def _document(i: Inputs) -> DataFrame:
-    rels = i.db_relationship.withColumn("schema", F.lit("sch_0"))
-    return M.assemble(i.db_dataset, i.db_dataitem, rels, i.db_join, "lake", chunk=CHUNK)
+    rels = i.wdb_relationship.withColumn("schema", F.lit("sch_0"))
+    return M.assemble(i.wdb_dataset, i.wdb_dataitem, rels, i.wdb_join, "lake", chunk=CHUNK)
 
 
 @query
@@ -744,13 +742,13 @@ def document_joins(i):
 
 @query
 def items_by_type(i):
-    return M.items_by_type(i.db_dataitem, ["_INT4", "Text", "json"]).select("wanted", "dataset_id", "physical_nm", "type")
+    return M.items_by_type(i.wdb_dataitem, ["_INT4", "Text", "json"]).select("wanted", "dataset_id", "physical_nm", "type")
 
 
 @query
 def views_nonviews(i):
-    a = M.views(i.db_dataset).withColumn("kind", F.lit("view"))
-    return a.unionByName(M.non_views(i.db_dataset).withColumn("kind", F.lit("other"))).select("kind", "physical_nm", "type")
+    a = M.views(i.wdb_dataset).withColumn("kind", F.lit("view"))
+    return a.unionByName(M.non_views(i.wdb_dataset).withColumn("kind", F.lit("other"))).select("kind", "physical_nm", "type")
 
 
 # --- flows -----------------------------------------------------------------------------------

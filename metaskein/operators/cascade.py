@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from . import diff as D
-from .skew import hot_keys, salted_join
+from .skew import split_join
 
 ADD, DELETE, UPDATE = "add", "delete", "update"
 
@@ -159,7 +159,7 @@ def relationship_states(
     """Every relationship of either side with its change (NULL if none) and its owning set.
 
     ``_known``: some side has the owning set; ``_set_gone``: that set is being deleted.
-    Owners are compared without case. They are resolved by a salted join, since one
+    Owners are compared without case. The join can be split, since one
     set may own a large share of all relationships.
     """
     rules = ("on_update", "on_delete", "on_match")
@@ -174,29 +174,27 @@ def relationship_states(
         .withColumn("_known", F.lit(True))
     )
     rels = states.withColumn("_owner", F.lower("dataset_id"))
-    sizes = db_rels.select(F.lower("dataset_id").alias("_owner")).unionByName(
-        dh_rels.select(F.lower("dataset_id").alias("_owner")))
-    return salted_join(rels, owner, ["_owner"], "left", ["physical_nm"], hot=hot_keys(sizes, ["_owner"])).withColumns(
+    return split_join(rels, owner, ["_owner"], "left").withColumns(
         {"_known": F.coalesce("_known", F.lit(False)), "_set_gone": F.coalesce("_set_gone", F.lit(False))})
 
 
 def relationship_changes(
     db_rels: DataFrame, dh_rels: DataFrame, db_sets: DataFrame, dh_sets: DataFrame,
-    default_schema: str | None = None,
+    default_schema: str | None = None, states: DataFrame | None = None,
 ) -> DataFrame:
     """Relationship changes whose owning set is known and stays.
 
     The schema is the source's, else the catalog's, else ``default_schema``.
     """
-    states = relationship_states(db_rels, dh_rels, db_sets, dh_sets)
+    states = relationship_states(db_rels, dh_rels, db_sets, dh_sets) if states is None else states
     return _relationship_columns(states.where(F.col("_known") & ~F.col("_set_gone")), default_schema)
 
 
 def unresolved_relationships(
-    db_rels: DataFrame, dh_rels: DataFrame, db_sets: DataFrame, dh_sets: DataFrame
+    db_rels: DataFrame, dh_rels: DataFrame, db_sets: DataFrame, dh_sets: DataFrame, states: DataFrame | None = None,
 ) -> DataFrame:
     """Relationship changes whose owning set neither side knows."""
-    states = relationship_states(db_rels, dh_rels, db_sets, dh_sets)
+    states = relationship_states(db_rels, dh_rels, db_sets, dh_sets) if states is None else states
     return _relationship_columns(states.where(~F.col("_known")), None)
 
 
@@ -221,10 +219,12 @@ def _relationship_columns(states: DataFrame, default_schema: str | None) -> Data
 
 def join_changes(
     db_joins: DataFrame, dh_joins: DataFrame, db_rels: DataFrame, dh_rels: DataFrame,
-    db_sets: DataFrame, dh_sets: DataFrame,
+    db_sets: DataFrame, dh_sets: DataFrame, states: DataFrame | None = None,
 ) -> DataFrame:
     """Column-pair changes whose relationship stays.
 
+    ``states`` are those of ``relationship_states``, if the caller has stored them.
+
     Adds and deletes need a relationship known to their side whose set is not being
     deleted. An update of a relationship the source does not know creates it with its
     catalog id.
@@ -237,7 +237,7 @@ def join_changes(
         .unionByName(tag(D.joins_deleted(db_joins, dh_joins, db_rels), DELETE))
         .unionByName(tag(D.joins_updated(db_joins, dh_joins, dh_rels), UPDATE))
     )
-    states = relationship_states(db_rels, dh_rels, db_sets, dh_sets)
+    states = relationship_states(db_rels, dh_rels, db_sets, dh_sets) if states is None else states
     # Gone: the relationship's own deletion is in the feed (its set is known and stays).
     gone = Window.partitionBy(F.lower("physical_nm"))
     owner = states.select(

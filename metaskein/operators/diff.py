@@ -84,9 +84,9 @@ def items_new(db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame) -> D
     """Source items whose column name occurs nowhere in the catalog, in whatever set.
 
     The name alone is the key, and names such as ``id`` may hold much of a fleet:
-    the join is salted. ``items_new_scoped`` compares within the set.
+    the join can be split. ``items_new_scoped`` compares within the set.
     """
-    new = without(db_items.dropna(subset=["physical_nm"]), dh_items, ["physical_nm"], ["dataset_id"])
+    new = without(db_items.dropna(subset=["physical_nm"]), dh_items, ["physical_nm"])
     return new.join(_schema_of(db_sets), "dataset_id", "left").select(*db_items.columns, "schema")
 
 
@@ -97,7 +97,7 @@ def items_new_scoped(db_items: DataFrame, dh_items: DataFrame, db_sets: DataFram
 
 def items_deleted(db_items: DataFrame, dh_items: DataFrame, dh_sets: DataFrame) -> DataFrame:
     """Catalog items whose name occurs nowhere in the source and whose set has a schema."""
-    gone = without(dh_items.dropna(subset=["physical_nm"]), db_items, ["physical_nm"], ["dataset_id"])
+    gone = without(dh_items.dropna(subset=["physical_nm"]), db_items, ["physical_nm"])
     return _under_known_schema(gone, dh_sets, dh_items.columns)
 
 
@@ -253,12 +253,12 @@ def joins_new(db_joins: DataFrame, dh_joins: DataFrame, dh_rels: DataFrame) -> D
     """Column pairs unknown to the catalog that belong to a relationship unknown to it.
 
     The relationship test comes first: its table is small and unique, and it leaves
-    few rows for the pair test. The pair test is salted, since one pair may recur.
+    few rows for the pair test. The pair test can be split, since one pair may recur.
     """
     known = dh_rels.select(F.col("physical_nm").alias("db_relationship_id"))
     pair = ["parent_fqdn", "child_fqdn"]
     candidates = new_rows(db_joins.dropna(subset=pair), known, ["db_relationship_id"])
-    return without(candidates, dh_joins, pair, ["db_relationship_id"]).select(*db_joins.columns)
+    return without(candidates, dh_joins, pair).select(*db_joins.columns)
 
 
 def joins_deleted(db_joins: DataFrame, dh_joins: DataFrame, db_rels: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import salted_join
+from .skew import split_join
 
 
 def resolve_set_ids(
@@ -38,7 +38,7 @@ def resolve_set_ids(
         .join(by_name(remote_sets, "_remote_id"), X.norm("dataset_id") == F.col("_nm_remote_id"), "left")
         .select("schema", "dataset_id", "_schema_id", "_snapshot_id", "_remote_id")
     )
-    found = salted_join(items, tiers, ["schema", "dataset_id"], "left", ["physical_nm"])
+    found = split_join(items, tiers, ["schema", "dataset_id"], "left")
     own = X.blank_to_null("set_id")
     return found.select(
         *[c for c in items.columns if c != "set_id"],
@@ -84,7 +84,7 @@ def resolve_endpoints(pairs: DataFrame, sets: DataFrame, items: DataFrame) -> Da
     out = pairs
     for end in ends:
         keyed = out.withColumns({f"_{p}": F.lower(f"{end}_{p}") for p in parts})
-        out = salted_join(keyed, found, [f"_{p}" for p in parts], "left", ["parent_fqdn", "child_fqdn"])
+        out = split_join(keyed, found, [f"_{p}" for p in parts], "left")
         out = out.select(
             *pairs.columns, *[c for c in out.columns if c.endswith("_found")],
             F.coalesce("_set_hit", F.lit(False)).alias(f"{end}_set_found"),

@@ -1,97 +1,55 @@
-"""Joins and groupings that hold when one key has a large share of all rows.
+"""Joins and numberings that hold when one key has a large share of all rows.
 
-Where the unique side of a join is a plain scan, Spark's own adaptive skew join
-splits the hot partition and nothing here is needed. That rule does not reach a
-join whose unique side is the output of an aggregate (no exchange of its own),
-nor windows and collected groups. For those, hot keys are found by a counting
-aggregate and spread over several salts; all other keys keep salt 0.
+Spark's adaptive skew join splits a hot partition if both inputs of the join have a shuffle of their own. An input that
+is an aggregate on the join's keys has none, so ``split_join`` joins on one struct of the keys instead: both
+inputs are shuffled for the join, and nothing is counted beforehand. Numbering rows of a key needs a window, which
+Spark cannot split; ``number_in_parts`` spreads every key over buckets by one rule, whatever the size of the data.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more rows than this is spread over several tasks.
-ROWS_PER_SALT = 4_000_000
-# At most this many keys are spread, the largest first. It bounds the broadcast
-# whatever the data size; a key beyond them has less than 1/256 of all rows.
-MAX_HOT_KEYS = 256
-SALT = "_salt"
-_SALTS = "_salts"
+# Hexadecimal digits of a hash that choose the bucket of a row within its key: 256 buckets.
+BUCKET_DIGITS = 2
 
 
-def hot_keys(df: DataFrame, keys: list[str], rows_per_salt: int | None = None) -> DataFrame:
-    """The largest keys above ``rows_per_salt`` rows and their number of salts.
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi-join (``inner``, ``left``, ``left_semi``, ``left_anti``) whose left side may be skewed.
 
-    Counts are combined before the shuffle, so a hot key costs one row per task,
-    and only the key columns are read.
+    A NULL in any key matches nothing, as in a plain equi-join.
     """
-    size = rows_per_salt or ROWS_PER_SALT
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > size)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / size).cast("int").alias(_SALTS))
-    )
-
-
-def _with_salts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    h = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], _SALTS)
-    cond = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    joined = df.join(F.broadcast(h), cond, "left")
-    return joined.select(*df.columns, F.coalesce(_SALTS, F.lit(1)).alias(_SALTS))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    key = F.when(known, F.struct(*keys))
+    return left.withColumn("_key", key).join(right.withColumn("_key", key).drop(*keys), "_key", how).drop("_key")
 
 
-def salted(
-    df: DataFrame, keys: list[str], spread: list[Column | str], hot: DataFrame | None = None
-) -> DataFrame:
-    """Add ``_salt``: 0, or for a hot key a bucket chosen from the ``spread`` columns.
-
-    Rows equal on ``keys`` and ``spread`` share a salt, so per-salt work is repeatable.
-    """
-    hot = hot_keys(df, keys) if hot is None else hot
-    salt = F.pmod(F.xxhash64(*spread), F.col(_SALTS)).cast("int")
-    return _with_salts(df, hot, keys).withColumn(SALT, salt).drop(_SALTS)
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    spread: list[Column | str],
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Equi-join (``inner``, ``left``, ``left_semi``, ``left_anti``) on a skewed left side.
-
-    ``right`` must be unique on ``keys``. Its rows are repeated per salt for the hot
-    keys only, which are few; every left row still meets its one partner.
-    """
-    hot = hot_keys(left, keys) if hot is None else hot
-    spread_left = salted(left, keys, spread, hot)
-    copies = _with_salts(right, hot, keys).withColumn(
-        SALT, F.explode(F.sequence(F.lit(0), F.col(_SALTS) - 1))
-    )
-    return spread_left.join(copies.drop(_SALTS), keys + [SALT], how).drop(SALT)
+def without(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``left`` whose key tuple is not in ``right``; both sides may repeat keys."""
+    return split_join(left, right.select(*keys).distinct(), keys, "left_anti")
 
 
-def without(left: DataFrame, right: DataFrame, keys: list[str], spread: list[Column | str],
-            hot: DataFrame | None = None) -> DataFrame:
-    """Rows of ``left`` whose key tuple is not in ``right``; both sides may repeat keys."""
-    return salted_join(left, right.select(*keys).distinct(), keys, "left_anti", spread, hot)
+def bucket(order_by: list[str]) -> Column:
+    """Bucket of a row within its key: the first digits of the MD5 of its ordering columns as text."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in order_by])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, BUCKET_DIGITS), 16, 10).cast("int")
 
 
 def number_in_parts(df: DataFrame, keys: list[str], order_by: list[str], chunk: int) -> DataFrame:
-    """Add ``part``: at most ``chunk`` rows of a key share a part number.
+    """Add ``part``: the rows of a key in parts of ``chunk``, numbered from 0 without gaps; only the last may hold fewer.
 
-    Parts count from 0 in ``order_by`` order. A key too large for one task is numbered
-    per salt and its parts carry the salt: still distinct, and no row is left out.
+    Rows are taken bucket by bucket (see ``bucket``), in a bucket by ``order_by``. The result depends on
+    the rows alone, not on their number or partitions. A task ranks the rows of one bucket of a key; the counts of
+    a key's buckets, at most 256 rows, give what comes before. NULL is a key like others.
     """
-    w = Window.partitionBy(*keys, SALT).orderBy(*order_by)
-    local = F.floor((F.row_number().over(w) - 1) / chunk)
-    # Room for 2^31 parts per salt; without a salt the number stays small.
-    part = (F.col(SALT).cast("bigint") * (1 << 31) + local).cast("bigint")
-    return salted(df, keys, order_by).withColumn("part", part).drop(SALT)
+    spread = df.withColumn("_group", F.struct(*keys)).withColumn("_bucket", bucket(order_by))
+    one = Window.partitionBy("_group", "_bucket")
+    ranked = spread.withColumn("_rank", F.row_number().over(one.orderBy(*order_by))).withColumn("_n", F.count("*").over(one))
+    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranked.where(F.col("_rank") == F.col("_n")).select("_group", "_bucket", "_n")
+    before = sizes.select("_group", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    part = F.floor((F.col("_before") + F.col("_rank") - 1) / chunk).cast("bigint")
+    return ranked.join(before, ["_group", "_bucket"]).select(*df.columns, part.alias("part"))

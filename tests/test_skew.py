@@ -1,15 +1,10 @@
-"""Salting and part numbering must not change results; small limits force them here."""
+"""Joins that can be split and part numbering must not change results, whatever a key's share of the rows."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from metaskein.operators import skew
-
-
-@pytest.fixture
-def small(monkeypatch):
-    monkeypatch.setattr(skew, "ROWS_PER_SALT", 20)
+from metaskein.operators import skew, snapshot
 
 
 @pytest.fixture(scope="module")
@@ -20,38 +15,40 @@ def skewed(spark):
         F.col("id").alias("v"))
 
 
-def test_hot_keys_are_bounded(spark, skewed, small, monkeypatch):
-    hot = {r.k: r._salts for r in skew.hot_keys(skewed, ["k"]).collect()}
-    assert hot == {"hot": 10}
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 3)
-    assert skew.hot_keys(skewed, ["k"], 1).count() == 3
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("keys_kept", ["k in ('hot', 'k1', 'k5')", "k in ('k2')"])
-def test_salted_join_is_the_plain_join(spark, skewed, small, how, keys_kept):
+def test_split_join_is_the_plain_join(skewed, how, keys_kept):
     right = skewed.select("k").distinct().where(keys_kept).withColumn("w", F.lit(1))
     plain = skewed.join(right, "k", how)
-    salted = skew.salted_join(skewed, right, ["k"], how, ["v"])
-    assert rows(salted.select(*plain.columns)) == rows(plain)
-
-
-def test_hot_key_is_spread(spark, skewed, small):
-    s = skew.salted(skewed, ["k"], ["v"])
-    assert s.where("k = 'hot'").select("_salt").distinct().count() == 10
-    assert [r._salt for r in s.where("k <> 'hot'").select("_salt").distinct().collect()] == [0]
+    assert rows(skew.split_join(skewed, right, ["k"], how).select(*plain.columns)) == rows(plain)
 
 
-def test_without_allows_repeated_keys(spark, skewed, small):
+def test_without_allows_repeated_keys(skewed):
     right = skewed.where("k in ('hot', 'k4')")
-    got = skew.without(skewed.dropna(), right, ["k"], ["v"])
+    got = skew.without(skewed.dropna(), right, ["k"])
     assert rows(got.select("k", "v")) == rows(skewed.where("k not in ('hot', 'k4')"))
 
 
-def test_parts_are_complete_and_bounded(spark, skewed, small):
+def test_parts_are_complete_and_without_gaps(skewed):
     parts = skew.number_in_parts(skewed, ["k"], ["v"], 7)
     assert rows(parts.select("k", "v")) == rows(skewed)
-    sizes = parts.groupBy("k", "part").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 7
-    normal = parts.where("k = 'k1'").orderBy("v").collect()
-    assert [r.part for r in normal] == [n // 7 for n in range(len(normal))]
+    sizes = {}
+    for r in parts.groupBy("k", "part").count().collect():
+        sizes.setdefault(r["k"], {})[r["part"]] = r["count"]
+    for of_key in sizes.values():
+        assert sorted(of_key) == list(range(len(of_key)))
+        assert all(n == 7 for part, n in of_key.items() if part < len(of_key) - 1)
+        assert 1 <= of_key[len(of_key) - 1] <= 7
+
+
+def test_parts_depend_on_the_rows_alone(skewed):
+    once = skew.number_in_parts(skewed.coalesce(1), ["k"], ["v"], 7)
+    again = skew.number_in_parts(skewed.repartition(5, "v"), ["k"], ["v"], 7)
+    assert rows(once) == rows(again)
+
+
+def test_reset_is_an_empty_table_of_the_same_columns(skewed, tmp_path):
+    snapshot.reset(skewed).write.parquet(f"{tmp_path}/v2")
+    written = skewed.sparkSession.read.parquet(f"{tmp_path}/v2")
+    assert written.count() == 0
+    assert written.columns == skewed.columns
