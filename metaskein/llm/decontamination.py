@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import ship
+from .runtime import held, ship
 
 #: Benchmark bytes in one automaton (about ten nodes a word). A larger benchmark gets several automata, one after the other.
 BLOCK_BYTES = 2_000_000
@@ -25,7 +25,6 @@ BLOCK_BYTES = 2_000_000
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 IN_ORIGINAL = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # the same before lower-casing
 _to_words = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
-_automata: dict[str, tuple] = {}
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -73,23 +72,19 @@ def union(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _scanner(key: str, items: list[tuple[str, str]], window: int) -> Scanner:
-    if key not in _automata:
-        if len(_automata) >= 2:
-            _automata.clear()
-        _automata[key] = Scanner(items, window)
-    return _automata[key]
+    return held("decontamination", key, lambda: Scanner(items, window), most=2)
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                        item_id_col: str = "item_id", item_text_col: str = "text", window: int = 10,
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, keep_text: bool = False) -> DataFrame:
     """Occurrences of the items' windows in every whole text.
 
     Returns ``id_col``, ``n_words`` long, ``n_hit`` long (words inside any occurrence), ``items`` array of item ids as
     strings, sorted, and ``spans`` array of (start, end) in code points of the original text, merged. One row per
     input row; null and empty texts have no words. An item with fewer words than ``window`` is one window, one with
     none is ignored; equal items count each under its own id, equal ids once. Null item ids are ignored. Other columns
-    are ignored. No shuffle of documents.
+    are ignored; ``keep_text`` gives the text back, as ``text``. No shuffle of documents.
 
     The benchmark is split by item hash into blocks of about ``block_bytes`` (its size is measured first). Only one block
     is on the driver at a time, and each is one pass of the same job that adds to what the passes before it found.
@@ -109,13 +104,13 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_
         pairs = sorted({(r.item, r.words) for r in part.collect()})  # bounded: block_bytes
         key = hashlib.sha256(repr((window, pairs)).encode("utf-8", "surrogatepass")).hexdigest()
         rows = rows.mapInArrow(
-            _pass(spark.sparkContext.broadcast(pairs), key, window, block == blocks - 1),
-            f"id {kind}, n_words long, n_hit long, items array<string>, spans {intervals}" if block == blocks - 1
+            _pass(spark.sparkContext.broadcast(pairs), key, window, block == blocks - 1, keep_text),
+            f"id {kind}, n_words long, n_hit long, items array<string>, spans {intervals}" + ", text string" * keep_text if block == blocks - 1
             else f"id {kind}, text string, hits {intervals}, items array<string>")
     return rows.withColumnRenamed("id", id_col)
 
 
-def _pass(shared, key: str, window: int, last: bool):
+def _pass(shared, key: str, window: int, last: bool, keep_text: bool):
     interval = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     as_rows = lambda pairs: [{"start": a, "end": b} for a, b in pairs]
 
@@ -138,7 +133,8 @@ def _pass(shared, key: str, window: int, last: bool):
             if last:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(n_words, pa.int64()), pa.array([sum(b - a for a, b in h) for h in hits], pa.int64()),
-                     items, pa.array([as_rows(x) for x in spans], interval)], names=["id", "n_words", "n_hit", "items", "spans"])
+                     items, pa.array([as_rows(x) for x in spans], interval), *[batch.column(1)] * keep_text],
+                    names=["id", "n_words", "n_hit", "items", "spans", *["text"] * keep_text])
             else:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([as_rows(h) for h in hits], interval), items],
                                                  names=["id", "text", "hits", "items"])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import ship
+from .runtime import held, ship
 
 #: Letters of sample text for each language: bounds an automaton (two states a letter at most).
 SAMPLE_CHARS = 40_000
@@ -31,9 +31,10 @@ MAX_LANGUAGES = 100
 ALPHABET = 96
 #: Phrases do not cross multiples of this many characters of a document, whatever its length.
 LANE = 2048
+#: Texts of a batch parsed together.
+TEXTS = 2_000
 
 UNKNOWN = "und"
-_parsers: dict[str, "Parser"] = {}
 
 
 def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
@@ -87,13 +88,13 @@ class Parser:
         for _, text in samples:
             coded = self.codes(text)
             t = suffix_automaton(coded.tolist(), self.width)
-            t = np.where(t > 0, t + base, 0)
+            t[t > 0] += base
             roots.append(base + 1)
             tables.append(t)
             base += len(t)
             weights.append(math.log2(max(2, len(coded))))
         self.weights = np.array(weights)
-        table = np.concatenate(tables).astype(np.int32) if tables else np.zeros((1, self.width), np.int32)
+        table = np.concatenate(tables) if tables else np.zeros((1, self.width), np.int32)
         table *= self.width  # states are kept as offsets into the flat table
         self.first = [table[r] for r in roots]
         self.table = table.ravel()
@@ -201,13 +202,12 @@ def identify(docs: DataFrame, samples: list[tuple[str, str]], *, id_col: str = "
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _parsers:
-            _parsers.clear()
-            _parsers[key] = Parser(shared.value)
-        parser = _parsers[key]
+        parser = held("language", key, lambda: Parser(shared.value))
         for batch in batches:
-            names, scores = parser.predict([None if (v := x.as_py()) is None else str(v) for x in batch.column(at)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                                             names=[*batch.schema.names, "lang_pred", "score"])
+            for start in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(start, TEXTS)
+                names, scores = parser.predict([None if (v := x.as_py()) is None else str(v) for x in part.column(at)])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                                                 names=[*part.schema.names, "lang_pred", "score"])
 
     return kept.mapInArrow(run, schema)

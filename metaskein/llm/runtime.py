@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Hashable
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,7 @@ from metaskein.session import checkpoint_dir
 
 PACKAGE = Path(__file__).resolve().parent.parent
 _shipped: set[str] = set()
+_held: dict[tuple[str, Hashable], Any] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -29,6 +32,19 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def held(kind: str, key: Hashable, make: Callable[[], Any], most: int = 1) -> Any:
+    """A model that a worker keeps from task to task: up to ``most`` of one kind.
+
+    Workers outlive stages, so a model of another kind, left by an earlier stage, is given up first.
+    """
+    at = (kind, key)
+    if at not in _held:
+        if len(_held) >= most or any(k != kind for k, _ in _held):
+            _held.clear()
+        _held[at] = make()
+    return _held[at]
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a written table in the shared checkpoint folder.
 

@@ -21,17 +21,18 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    numbered = docs.select(F.struct(COLUMNS).alias("row"), "text")
-    found = decontamination.find_contamination(numbered, table(spark, sf_dir, "benchmark"), id_col="row")
-    return found.where(F.col("n_hit") == 0).select("row.*")
+    rest = F.struct([c for c in COLUMNS if c != "text"]).alias("row")  # the text passes through Python once
+    found = decontamination.find_contamination(docs.select(rest, "text"), table(spark, sf_dir, "benchmark"), id_col="row", keep_text=True)
+    return found.where(F.col("n_hit") == 0).select("row.*", "text").select(COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text; ``exact`` says that decoding gives back its bytes."""
     ranks, pattern = queries.vocabulary()
-    coded = tokenizing.encode(docs.select(F.struct(COLUMNS).alias("row"), "text"), ranks, pattern, id_col="row")
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest")
+    coded = tokenizing.encode(docs.select(F.struct("doc_id", "lang", "source", digest).alias("row"), "text"), ranks, pattern, id_col="row")
     return coded.select("row.doc_id", "row.lang", "row.source", "n_tokens", "ids",
-                        (F.col("decoded") == F.coalesce("row.text", F.lit("")).cast("binary")).alias("exact"))
+                        (F.sha2("decoded", 256) == F.col("row.digest")).alias("exact"))
 
 
 def keep_first_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import ship
+from .runtime import held, ship
 
 #: Pre-tokens a worker remembers; at this many it starts afresh. Bounds memory only.
 CACHE_ENTRIES = 300_000
@@ -32,7 +32,6 @@ SHARED_BYTES = 64
 #: Texts encoded together.
 TEXTS = 512
 
-_coders: dict[tuple, "Coder"] = {}
 
 
 class Coder:
@@ -253,11 +252,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def _coder(key: str, ranks: dict[bytes, int], pattern: str) -> Coder:
-    at = (key, pattern)
-    if at not in _coders:
-        _coders.clear()
-        _coders[at] = Coder(ranks, pattern)
-    return _coders[at]
+    return held("bpe", (key, pattern), lambda: Coder(ranks, pattern))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: str = "doc_id",
