@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from . import diff as D
-from .skew import split_join
+from .skew import split_join, without
 
 ADD, DELETE, UPDATE = "add", "delete", "update"
 
@@ -198,6 +198,19 @@ def unresolved_relationships(
     return _relationship_columns(states.where(~F.col("_known")), None)
 
 
+def relationships_of_joins(
+    joins: DataFrame, relationships: DataFrame, db_rels: DataFrame, dh_rels: DataFrame
+) -> DataFrame:
+    """Relationships with changed column pairs and no change of their own, as updates: their bodies carry the pairs."""
+    names = without(
+        joins.select(F.col("db_relationship_id").alias("physical_nm")).distinct(), relationships, ["physical_nm"])
+    none = F.lit(None).cast("string")
+    states = _sides(db_rels, dh_rels, ["physical_nm"]).join(names, "physical_nm", "left_semi").withColumns({
+        "change_type": F.lit(UPDATE), "dataset_id": F.coalesce("db.dataset_id", "dh.dataset_id"),
+        "_db_schema": none, "_dh_schema": none})
+    return _relationship_columns(states, None)
+
+
 def _relationship_columns(states: DataFrame, default_schema: str | None) -> DataFrame:
     def value(column: str, update: Column) -> Column:
         return _by_change(add=f"db.{column}", delete=f"dh.{column}", update=update).alias(column)

@@ -166,21 +166,39 @@ def set_payloads(sets: DataFrame) -> DataFrame:
 def item_payloads(items: DataFrame, chunk: int = 1000) -> DataFrame:
     """One deletion per item; additions and updates grouped by set, ``chunk`` items each.
 
-    Items without a set id cannot be sent; ``unsendable_items`` lists them.
+    Items of a set that is itself new have no set id yet; an optional column ``new_set`` holds the set's name, which
+    becomes ``target_name``, for the sender to put the id in. Items with neither cannot be sent; ``unsendable_items``
+    lists them.
     """
-    gone = items.where(F.col("change_type") == "delete")
-    rest = item_bodies(items.where((F.col("change_type") != "delete") & ~X.is_blank("set_id")))
-    keys = ["change_type", "set_id"]
+    if "new_set" not in items.columns:
+        items = items.withColumn("new_set", F.lit(None).cast("string"))
+    gone = items.where(F.col("change_type") == "delete").withColumn("new_set", F.lit(None).cast("string"))
+    rest = item_bodies(items.where((F.col("change_type") != "delete") & ~_nowhere(items)))
+    keys = ["change_type", "set_id", "new_set"]
     grouped = number_in_parts(rest, keys, ["physical_nm", "dataset_id"], chunk).groupBy(*keys, "part").agg(
         F.array_sort(F.collect_list(F.struct("physical_nm", F.to_json("body").alias("json")))).alias("all"))
     joined = F.array_join(F.transform("all", lambda x: x["json"]), ",")
     body = F.concat(F.lit('{"items":['), joined, F.lit("]}"))
-    return _requests(gone, "item", F.col("item_id"), F.lit(0), F.lit(None)).unionByName(
-        _requests(grouped, "item", F.col("set_id"), F.col("part"), body))
+    return _requests(gone, "item", F.col("item_id"), F.lit(0), F.lit(None), F.col("new_set")).unionByName(
+        _requests(grouped, "item", F.col("set_id"), F.col("part"), body, F.col("new_set")))
+
+
+def _nowhere(items: DataFrame) -> Column:
+    """Neither a set id nor the name of a new set."""
+    blank = X.is_blank("set_id")
+    return blank & F.col("new_set").isNull() if "new_set" in items.columns else blank
 
 
 def unsendable_items(items: DataFrame) -> DataFrame:
-    return items.where((F.col("change_type") != "delete") & X.is_blank("set_id"))
+    return items.where((F.col("change_type") != "delete") & _nowhere(items))
+
+
+def unsendable_relationships(rels: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Changes without a request: deletions without an id, and others whose source has no column pair."""
+    known = pairs.select(F.col("db_relationship_id").alias("physical_nm")).distinct()
+    gone = F.col("change_type") == "delete"
+    return rels.where(gone & F.col("catalog_id").isNull()).unionByName(
+        rels.where(~gone).join(known, "physical_nm", "left_anti").select(*rels.columns))
 
 
 def relationship_payloads(rels: DataFrame, pairs: DataFrame, chunk: int = 1000) -> DataFrame:
@@ -200,12 +218,14 @@ def relationship_payloads(rels: DataFrame, pairs: DataFrame, chunk: int = 1000)
     return _requests(lists, "relationship", F.lit(None), F.col("part"), body)
 
 
-def _requests(df: DataFrame, entity: str, target: Column, part: Column, body: Column) -> DataFrame:
+def _requests(
+    df: DataFrame, entity: str, target: Column, part: Column, body: Column, name: Column | None = None
+) -> DataFrame:
     phase = F.element_at(F.create_map(*[F.lit(x) for kv in PHASES.items() for x in kv]), F.col("change_type"))
     return df.select(
         phase.alias("phase_no"), F.col("change_type").alias("phase"), F.lit(entity).alias("entity"),
         target.cast("string").alias("target_id"), part.cast("bigint").alias("part"),
-        body.cast("string").alias("body"))
+        body.cast("string").alias("body"), (F.lit(None) if name is None else name).cast("string").alias("target_name"))
 
 
 def payloads(

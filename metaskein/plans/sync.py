@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import cascade, catalog, delta, profile, resolve, snapshot
+from ..operators.skew import split_join
 from ..sources import documents, schemas, sinks, snapshots
 
 CHANGES = ("sets", "items", "relationships", "joins")
@@ -104,21 +105,53 @@ def write_changes(db: dict[str, DataFrame], dh: dict[str, DataFrame], path: str)
 
 
 def send_items(changes: dict[str, DataFrame], dh_sets: DataFrame, remote_sets: DataFrame | None = None) -> DataFrame:
-    """Item changes with the id of the set they are to be sent to."""
+    """Item changes with the id of the set they are to be sent to, or as ``new_set`` the name of a set that is added too."""
     ids = dh_sets.select("schema", "physical_nm", "id")
-    return resolve.resolve_set_ids(changes["items"], ids, ids, ids if remote_sets is None else remote_sets)
+    found = resolve.resolve_set_ids(changes["items"], ids, ids, ids if remote_sets is None else remote_sets)
+    added = changes["sets"].where(F.col("change_type") == cascade.ADD).select(
+        "schema", F.col("physical_nm").alias("dataset_id")).distinct().withColumn("_added", F.lit(True))
+    name = F.when(X.is_blank("set_id") & F.col("_added"), X.fqdn("schema", "dataset_id"))
+    return split_join(found, added, ["schema", "dataset_id"], "left").withColumn("new_set", name).drop("_added")
+
+
+def write_requests(
+    changes: dict[str, DataFrame], db: dict[str, DataFrame], dh: dict[str, DataFrame], root: str, version: str,
+    chunk: int = 1000, remote_sets: DataFrame | None = None,
+) -> None:
+    """Store the payload requests and, under ``reports``, every change that no request carries."""
+
+    def written(df: DataFrame, folder: str, name: str) -> DataFrame:
+        path = f"{root}/{folder}/version={version}/{name}"
+        df.write.mode("errorifexists").parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    items = written(send_items(changes, dh["dataset"], remote_sets), "outgoing", "items")
+    touched = cascade.relationships_of_joins(
+        changes["joins"], changes["relationships"], db["relationship"], dh["relationship"])
+    relationships = written(changes["relationships"].unionByName(touched), "outgoing", "relationships")
+    pairs = db["join"].select(
+        "*", *[X.fqdn_part(f"{end}_fqdn", i).alias(f"{end}_{part}")
+               for end in ("parent", "child") for i, part in enumerate(("schema", "set"))])
+    written(delta.unsendable_items(items), "reports", "items")
+    written(delta.unsendable_relationships(relationships, pairs), "reports", "relationships")
+    written(cascade.unresolved_relationships(
+        db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]), "reports", "unresolved_relationships")
+    requests = delta.payloads(changes["sets"], items, relationships, pairs, chunk)
+    sinks.write_payloads(requests, f"{root}/payloads/version={version}")
 
 
 def full_sync(
     spark: SparkSession, source: dict[str, DataFrame], remote: dict[str, DataFrame], root: str, version: str,
     *, allow_empty_source: bool = False, preview_rows: int = delta.DEFAULT_PREVIEW, chunk: int = 1000,
-    commit: bool = True,
+    commit: bool = True, remote_sets: DataFrame | None = None,
 ) -> DataFrame:
     """Stash both sides, store their changes and payloads, and return the preview.
 
     ``source`` and ``remote`` are the tables of ``source_snapshot`` and
     ``catalog_snapshot``. Written below ``root``: the snapshot version, its changes
-    and, with ``commit``, its payload requests.
+    and, with ``commit``, its payload requests and reports of what could not be sent. A relationship of which only
+    column pairs changed is sent as an update. ``remote_sets`` (schema, physical_nm, id) is the remote list of sets,
+    looked up after the catalog snapshot.
     """
     snapshots.write_snapshot(source, root, version, "source")
     snapshots.write_snapshot(remote, root, version, "catalog")
@@ -129,12 +162,7 @@ def full_sync(
     changes = write_changes(db, dh, f"{root}/changes/version={version}")
     feed = cascade.change_feed(*[changes[n] for n in CHANGES])
     if commit:
-        pairs = db["join"].select(
-            "*", *[X.fqdn_part(f"{end}_fqdn", i).alias(f"{end}_{part}")
-                   for end in ("parent", "child") for i, part in enumerate(("schema", "set"))])
-        requests = delta.payloads(
-            changes["sets"], send_items(changes, dh["dataset"]), changes["relationships"], pairs, chunk)
-        sinks.write_payloads(requests, f"{root}/payloads/version={version}")
+        write_requests(changes, db, dh, root, version, chunk, remote_sets)
     return delta.preview(feed, preview_rows)
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 def write_payloads(requests: DataFrame, path: str) -> None:
     """One folder per phase and entity, one JSON line per request.
 
-    Folder names start with the phase number, so their order is the order of sending.
+    Folder names start with the phase number, so their order is the order of sending. ``target_name`` is the name of a
+    set that is created in the same delta, whose id only the sender learns.
     """
-    line = F.to_json(F.struct("target_id", "part", F.try_parse_json("body").alias("body")))
+    line = F.to_json(F.struct("target_id", "target_name", "part", F.try_parse_json("body").alias("body")))
     requests.select(
         F.concat_ws("_", "phase_no", "phase").alias("phase"), "entity", line.alias("value")
     ).write.mode("errorifexists").partitionBy("phase", "entity").text(path)

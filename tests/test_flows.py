@@ -29,10 +29,28 @@ def test_full_sync(spark, i, tmp_path):
 
     sent = spark.read.text(f"{root}/payloads/version=1")
     assert {r.phase for r in sent.select("phase").distinct().collect()} == {"1_delete", "2_add", "3_update"}
-    bodies = [json.loads(r.value) for r in sent.where("entity = 'item' and phase = '3_update'").collect()]
-    updated = spark.read.parquet(f"{root}/changes/version=1/items").where("change_type = 'update'")
-    assert sum(len(b["body"]["items"]) for b in bodies) == updated.count()
-    assert all(len(b["body"]["items"]) <= 10 for b in bodies)
+    changes = {n: spark.read.parquet(f"{root}/changes/version=1/{n}") for n in sync.CHANGES}
+    report = {n: spark.read.parquet(f"{root}/reports/version=1/{n}") for n in ("items", "relationships", "unresolved_relationships")}
+    requests = {(e, p): [json.loads(r.value) for r in sent.where(f"entity = '{e}' and phase = '{p}'").collect()]
+                for e in ("item", "relationship") for p in ("1_delete", "2_add", "3_update")}
+    # Every change of an item is in a request or in the report.
+    for phase, change in (("2_add", "add"), ("3_update", "update")):
+        bodies = requests["item", phase]
+        assert all(0 < len(b["body"]["items"]) <= 10 for b in bodies)
+        reported = report["items"].where(f"change_type = '{change}'").count()
+        assert sum(len(b["body"]["items"]) for b in bodies) + reported == changes["items"].where(f"change_type = '{change}'").count()
+    assert len(requests["item", "1_delete"]) == changes["items"].where("change_type = 'delete'").count()
+    named = [b for b in requests["item", "2_add"] if "target_id" not in b]
+    new_sets = {f"{r.schema}.{r.physical_nm}" for r in changes["sets"].where("change_type = 'add'").collect()}
+    assert named and {b["target_name"] for b in named} <= new_sets
+    # So is every relationship that changed, or of which a column pair did.
+    own = changes["relationships"].select("physical_nm").union(changes["joins"].select("db_relationship_id"))
+    only_pairs = own.distinct().count() - changes["relationships"].select("physical_nm").distinct().count()
+    assert only_pairs > 0
+    sent_names = {x["name"]["physical"] for p in ("2_add", "3_update") for b in requests["relationship", p] for x in b["body"]["relationships"]}
+    deleted = changes["relationships"].where("change_type = 'delete'").select("physical_nm")
+    names = lambda df: {r[0] for r in df.collect()}
+    assert sent_names | names(report["relationships"].select("physical_nm")) | names(deleted) == names(own)
     with pytest.raises(Exception):  # a version is never overwritten
         sync.full_sync(spark, db, dh, root, "1")
 
@@ -101,9 +119,9 @@ def test_diff_sink(spark, i, tmp_path):
 class FakeSession:
     """A session whose launch settings name a checkpoint folder, or not."""
 
-    def __init__(self, configured, current=None):
+    def __init__(self, configured, current=None, master="local[4]"):
         self.conf = self.sparkContext = self
-        self.configured, self.current = configured, current
+        self.configured, self.current, self.master = configured, current, master
 
     def get(self, key, default):
         return self.configured or default
@@ -120,6 +138,8 @@ def test_checkpoint_folder_comes_from_the_session():
     assert checkpoint_dir(FakeSession(None, "/given")) == "/given"
     own = FakeSession(None)
     assert checkpoint_dir(own) == own.current
+    with pytest.raises(ValueError, match="share"):  # executors could not reach a folder of the driver's
+        checkpoint_dir(FakeSession(None, master="spark://host:7077"))
 
 
 def test_cut_keeps_the_rows(spark):
