@@ -45,6 +45,11 @@ def held(kind: str, key: Hashable, make: Callable[[], Any], most: int = 1) -> An
     return _held[at]
 
 
+def give_up() -> None:
+    """Frees the models that earlier stages left in this worker."""
+    _held.clear()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a written table in the shared checkpoint folder.
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .runtime import ship, stored
+from .runtime import give_up, ship, stored
 
 #: Text bytes hashed at once in a task.
 CHUNK_BYTES = 2_000_000
@@ -135,11 +135,15 @@ def _wide(shingles: np.ndarray) -> np.ndarray:
 def late_shingles(texts: DataFrame, words: int) -> np.ndarray:
     """Hashes of the most frequent shingles of all texts, rarest first: at most LATE_SHINGLES."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_up()
+        others = LATE_FROM - 1
         for batch in batches:
             found = [s for _, offsets, data in chunks(batch.column(0)) for s in shingle_sets(offsets, data, words)]
-            h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            often = n >= LATE_FROM
-            yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often], pa.int64())], names=["h", "n"])
+            h = np.concatenate(found) if found else np.zeros(0, np.uint64)
+            del found
+            h.sort()  # in place: a batch has as many shingles as words
+            h, n = np.unique(h[:-others][h[others:] == h[:-others]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n + others, pa.int64())], names=["h", "n"])
 
     counted = texts.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "h").limit(LATE_SHINGLES).toArrow()
