@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, embeddings, html, language, pii, repeats, sharding, shingles, tokenizing
+from . import chat, decontamination, divergence, embeddings, html, importance, language, pieces, pii, repeats, sharding, shingles, tokenizing
 from .runtime import table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def sha256(c: Column) -> Column:
@@ -92,6 +93,21 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = pieces.encode(table(spark, sf_dir, "documents"), pieces.read_model(public_tokenizers.path(PIECES)))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op2_byte_bpe": op2_byte_bpe,
@@ -103,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_sharding": op9_sharding,
     "op10_chat": op10_chat,
+    "op11_importance": op11_importance,
+    "op12_divergence": op12_divergence,
+    "op13_pieces": op13_pieces,
 }
 
 ORACLES: dict[str, str] = {
@@ -154,7 +173,7 @@ FROM rows LEFT JOIN sizes USING (r)""",
 WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 good AS (
   SELECT r, e FROM rows
-  WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
 links AS (SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
 reach AS (SELECT r AS origin, r AS node FROM rows UNION SELECT origin, b FROM reach JOIN links ON node = a),
 least AS (SELECT origin, min(vec_id) AS component_id FROM reach JOIN rows ON r = node GROUP BY origin)
@@ -181,4 +200,57 @@ joined AS (
          coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss, CAST(sum(n) AS BIGINT) AS formatted_chars
   FROM escaped GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM joined""",
+    "op11_importance": r"""
+WITH steps AS (
+  SELECT i, list_reduce([CAST(i AS BIGINT), 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS t
+  FROM range(256) r(i)),
+lookup AS (SELECT list(t ORDER BY i) AS tab FROM steps),
+doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+target_words AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM benchmark),
+words AS (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(w) AS w FROM doc_words) GROUP BY r, w),
+coded AS (
+  SELECT w, xor(list_reduce(list_concat([4294967295], list_transform(range(1, strlen(w) + 1), lambda i: CAST('0x' || substr(hex(encode(w)), 2 * i - 1, 2) AS BIGINT))),
+                            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM words UNION SELECT w FROM target_words), lookup),
+counts AS (
+  SELECT bucket, CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t FROM (
+    SELECT bucket, n AS s, 0 AS t FROM words JOIN coded USING (w) UNION ALL SELECT bucket, 0, 1 FROM target_words JOIN coded USING (w)) GROUP BY bucket),
+totals AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM counts),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((t + 1.0) * (s_all + 10000) / ((s + 1.0) * (t_all + 10000)))) AS BIGINT) AS gain FROM counts, totals),
+weights AS (SELECT r, CAST(sum(n * gain) AS BIGINT) AS weight FROM words JOIN coded USING (w) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM doc_words LEFT JOIN weights USING (r)),
+able AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, weight, n_features) AS k, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * n // 100 THEN k END AS rank FROM able
+UNION ALL SELECT doc_id, n_features, weight, score, NULL FROM scored WHERE n_features < 20""",
+    "op12_divergence": r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+words AS (SELECT r, lang, source, unnest(w) AS term FROM rows),
+kept AS (SELECT lang, term, count(*) AS c_lang FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(c_lang) AS BIGINT) AS n_lang FROM kept GROUP BY lang),
+counted AS (SELECT lang, source, term, count(*) AS c FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term),
+totals AS (SELECT lang, source, CAST(sum(c) AS BIGINT) AS n FROM counted GROUP BY lang, source),
+groups AS (SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM rows) LEFT JOIN totals USING (lang, source) LEFT JOIN langs USING (lang)),
+shares AS (
+  SELECT lang, source, term, coalesce(c, 0) AS c, 1 + 1000000000::HUGEINT * (coalesce(c, 0) + 1) // (n + v) AS p
+  FROM groups JOIN kept USING (lang) LEFT JOIN counted USING (lang, source, term)),
+pair_sums AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+              FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pairs AS (SELECT x.lang, x.source, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN pair_sums s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source),
+lang_shares AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (c_lang + 1) // (n_lang + v) AS q FROM kept JOIN langs USING (lang)),
+terms AS (SELECT lang, source, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value FROM shares JOIN lang_shares USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL SELECT * FROM (
+  SELECT lang, source, 'term', item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM terms) WHERE rank <= 200""",
 }
