@@ -227,6 +227,26 @@ ORACLES["payload_requests"] = cascaded(f"""SELECT CASE change_type WHEN 'delete'
         UNION ALL SELECT DISTINCT change_type, physical_nm, (rn - 1) // {CHUNK} FROM rel_chg
           JOIN pairs ON db_relationship_id = physical_nm WHERE change_type <> 'delete')""")
 
+_N = "CAST(regexp_extract({}, '([0-9]+)$', 1) AS BIGINT)"
+ORACLES["requests_after_replies"] = cascaded(f"""SELECT change_type AS phase, entity, coalesce(target, CASE WHEN took THEN 'NEW' || n_set END) AS target_id,
+    target_name, part, n, entity = 'set' AND change_type = 'add' OR target IS NOT NULL OR coalesce(took, false) AS ready
+  FROM (SELECT *, {_N.format('target_name')} AS n_set, n_set % 4 <> 0 AND n_set % 3 <> 1 AS took FROM all_requests)
+  WHERE NOT (entity = 'set' AND change_type = 'add' AND took)""",
+    sent="""SELECT i.*, coalesce(i.set_id, d.id) AS sid, CASE WHEN coalesce(i.set_id, d.id) IS NULL AND s.physical_nm IS NOT NULL
+        THEN concat(i.schema, '.', i.dataset_id) END AS new_set
+      FROM item_chg i LEFT JOIN dh_dataset d ON d.physical_nm = i.dataset_id
+        LEFT JOIN (FROM set_chg WHERE change_type = 'add') s ON s.schema = i.schema AND s.physical_nm = i.dataset_id""",
+    all_requests=f"""SELECT change_type, 'set' AS entity, catalog_id AS target, CASE change_type WHEN 'add' THEN fqdn END AS target_name, 0 AS part,
+        CAST(NULL AS INT) AS n FROM set_chg
+      UNION ALL SELECT change_type, 'item', item_id, NULL, 0, NULL FROM item_chg WHERE change_type = 'delete'
+      UNION ALL SELECT change_type, 'item', sid, new_set, part, count(*) FROM (
+        SELECT *, (row_number() OVER (PARTITION BY change_type, sid, new_set ORDER BY physical_nm, dataset_id) - 1) // {CHUNK} AS part FROM sent
+        WHERE change_type <> 'delete' AND (sid IS NOT NULL OR new_set IS NOT NULL)) GROUP BY ALL""")
+ORACLES["unresolved_items"] = cascaded(f"""SELECT *, false AS in_source, false AS in_catalog FROM (
+    SELECT 'add' AS change_type, dataset_id, physical_nm, {NONE} AS item_id FROM items_new_scoped
+    UNION ALL SELECT 'delete', dataset_id, physical_nm, id FROM items_deleted_scoped
+    UNION ALL SELECT 'update', dataset_id, physical_nm, item_id FROM items_updated) WHERE {_N.format('dataset_id')} % 7 = 0""")
+
 # --- snapshots -----------------------------------------------------------------------------
 
 _KEYS = {"dataset": "physical_nm", "dataitem": "dataset_id, physical_nm", "relationship": "physical_nm",
@@ -236,6 +256,8 @@ for _q, _t in {"upsert_sets": "dataset", "upsert_items": "dataitem", "upsert_rel
     _cols = "* EXCLUDE (id)" if _t != "join" else "*"
     ORACLES[_q] = oracle(f"""SELECT {_cols} FROM dh_{_t} UNION ALL BY NAME
         SELECT * FROM db_{_t} WHERE ({_KEYS[_t]}) NOT IN (SELECT ({_KEYS[_t]}) FROM dh_{_t})""", f"db_{_t}", f"dh_{_t}")
+ORACLES["versioned_upsert_items"] = ORACLES["upsert_items"]
+ORACLES["item_cascade_from_versions"] = ORACLES["item_delta_cascade"]
 ORACLES["snapshot_sql"] = oracle("""SELECT s.schema, s.type, count(*) AS n_items, count(*) FILTER (c.is_pk) AS n_keys
   FROM wdb_dataitem c JOIN wdb_dataset s ON s.physical_nm = c.dataset_id GROUP BY s.schema, s.type""", "wdb_dataitem", "wdb_dataset")
 

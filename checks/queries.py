@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,11 @@ from metaskein.operators import document as M
 from metaskein.operators import profile as P
 from metaskein.operators import resolve as R
 from metaskein.operators import snapshot as N
-from metaskein.session import configure, cut
+from metaskein.session import checkpoint_dir, configure, cut
 from metaskein.sources import documents as J
 from metaskein.plans import sync as S
 from metaskein.sources import schemas
+from metaskein.sources import snapshots as V
 from metaskein.sources.tables import CATALOG_TABLES
 
 from . import fixtures as fx
@@ -82,7 +84,12 @@ class Inputs:
                               self.db_dataset, self.dh_dataset)
 
     def feed(self) -> DataFrame:
-        return K.change_feed(self.set_changes(), self.item_changes(), self.relationship_changes(), self.join_changes())
+        return K.change_feed(*self.all_changes())
+
+    def all_changes(self) -> list[DataFrame]:
+        """The four kinds, as the full flow makes them."""
+        db, dh = ({t: getattr(self, f"{side}_{t}") for t in schemas.TABLES} for side in ("db", "dh"))
+        return list(S.changes_between(db, dh).values())
 
 
 class StoredInputs(Inputs):
@@ -100,6 +107,7 @@ class StoredInputs(Inputs):
             self.item_changes = lambda: self._stored("changes/items")
             self.relationship_changes = lambda: self._stored("changes/relationships")
             self.join_changes = lambda: self._stored("changes/joins")
+            self.all_changes = lambda: [self._stored(f"changes/{n}") for n in S.CHANGES]
 
     def _stored(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}")
@@ -325,6 +333,31 @@ def payload_requests(i):
                       F.coalesce(size("items"), size("relationships")).alias("n"))
 
 
+def _replied(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Requests, and replies of a receiver that accepts some, refuses others, and says nothing to the rest."""
+    sets = i.set_changes()
+    items = cut(S.send_items({"sets": sets, "items": i.item_changes()}, i.dh_dataset))
+    requests = L.set_payloads(sets).unionByName(L.item_payloads(items, CHUNK))
+    number = F.regexp_extract("target_name", "([0-9]+)$", 1).try_cast("long")
+    answered = L.with_request_ids(requests).where((F.col("entity") == "set") & (F.col("phase") == "add") & (number % 4 != 0))
+    accepted = number % 3 != 1
+    return requests, answered.select("request_id", accepted.alias("ok"), F.when(accepted, F.concat(F.lit("NEW"), number)).alias("id"))
+
+
+@query
+def requests_after_replies(i):
+    out = L.requests_after_replies(*_replied(i))
+    size = F.json_array_length(F.get_json_object("body", "$.items"))
+    return out.select("phase", "entity", "target_id", "target_name", "part", size.alias("n"), "ready")
+
+
+@query
+def unresolved_items(i):
+    """Items of two sides that lost every seventh set."""
+    left = lambda df: df.where("cast(substring(physical_nm, 4) as int) % 7 <> 0")
+    return K.unresolved_items(i.db_dataitem, i.dh_dataitem, left(i.db_dataset), left(i.dh_dataset))
+
+
 # --- snapshots ----------------------------------------------------------------------
 
 
@@ -354,6 +387,32 @@ def upsert_joins(i):
     return _upsert(i, "join")
 
 
+def _store_root(i: Inputs) -> str:
+    return f"{checkpoint_dir(i.spark).rstrip('/')}/store-{uuid.uuid4().hex}"
+
+
+@query
+def versioned_upsert_items(i):
+    """The last committed version after an upsert, with an interrupted version in between."""
+    root, side = _store_root(i), {t: getattr(i, f"db_{t}") for t in schemas.TABLES}
+    V.write_snapshot(side, root, "1", "source")
+    side["dataitem"].limit(0).write.parquet(f"{root}/version=2/db_dataitem")  # as a lost job leaves it: a table, no record
+    incoming = {"dataitem": i.raw("dh_dataitem")}
+    V.upsert_snapshot(incoming, root, "3", "source", {"dataitem": fx.ORDER}, spark=i.spark)
+    return V.latest_snapshot(i.spark, root, "source")["dataitem"]
+
+
+@query
+def item_cascade_from_versions(i):
+    """The items' cascade from two stored sides, whose key join needs no shuffle."""
+    root, sides = _store_root(i), []
+    for side, prefix in (("source", "db"), ("catalog", "dh")):
+        V.write_snapshot({t: getattr(i, f"{prefix}_{t}") for t in schemas.TABLES}, root, "1", side)
+        sides.append(V.read_snapshot(i.spark, root, "1", side))
+    db, dh = sides
+    return K.item_changes(db["dataitem"], dh["dataitem"], db["dataset"], dh["dataset"])
+
+
 @query
 def snapshot_sql(i):
     return N.query(i.spark, """

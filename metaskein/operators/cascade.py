@@ -91,27 +91,39 @@ def key_type(is_pk: Column | str, key_nm: Column | str) -> Column:
     )
 
 
+def _item_states(db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame) -> DataFrame:
+    """Items that differ between the sides, with what the sides know of their set."""
+    updated = reduce(lambda a, b: a | b, [f.selects() for f in D.ITEM_FIELDS])
+    differing = _sides(db_items, dh_items, ["dataset_id", "physical_nm"]).withColumn("change_type", _change(updated))
+    return differing.where(F.col("change_type").isNotNull()).join(_set_state(db_sets, dh_sets), "dataset_id", "left")
+
+
+def unresolved_items(db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame) -> DataFrame:
+    """Item changes that cannot be placed, to be reported: neither side has their set, or a deleted item's set has no schema.
+
+    An addition is listed too if only the source lacks its set. Items of a set that is being deleted go with it and are not listed.
+    """
+    known = lambda c: F.coalesce(c, F.lit(False))
+    in_db, in_dh = known(F.col("_in_db")), known(F.col("_in_dh"))
+    lost = _by_change(add=~in_db, delete=~in_dh | (in_db & F.col("_dh_schema").isNull()), update=~in_db & ~in_dh)
+    rows = _item_states(db_items, dh_items, db_sets, dh_sets).where(lost)
+    return rows.select("change_type", "dataset_id", "physical_nm", F.col("dh.id").alias("item_id"), in_db.alias("in_source"), in_dh.alias("in_catalog"))
+
+
 def item_changes(
     db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame
 ) -> DataFrame:
-    """Item changes within their set, without those of deleted sets.
+    """Item changes within their set, without those of deleted sets and of sets that no side knows (``unresolved_items``).
 
     Updated items take the source's value where the flag is set and keep their own
     otherwise; an item that is also deleted (same name without case) is not updated.
     Malformed metadata JSON becomes NULL.
     """
-    updated = reduce(lambda a, b: a | b, [f.selects() for f in D.ITEM_FIELDS])
-    rows = (
-        _sides(db_items, dh_items, ["dataset_id", "physical_nm"])
-        .withColumn("change_type", _change(updated))
-        .where(F.col("change_type").isNotNull())
-        .join(_set_state(db_sets, dh_sets), "dataset_id", "left")
-        .where(_by_change(
-            add=F.lit(True),
-            delete=F.col("_dh_schema").isNotNull() & F.col("_in_db"),
-            update=F.col("_in_db") & F.col("_in_dh"),
-        ))
-    )
+    rows = _item_states(db_items, dh_items, db_sets, dh_sets).where(_by_change(
+        add=F.lit(True),
+        delete=F.col("_dh_schema").isNotNull() & F.col("_in_db"),
+        update=F.col("_in_db") & F.col("_in_dh"),
+    ))
     same_name = Window.partitionBy(F.lower("dataset_id"), F.lower("physical_nm"))
     rows = rows.withColumn("_gone", F.max(F.col("change_type") == DELETE).over(same_name)).where(
         (F.col("change_type") != UPDATE) | ~F.col("_gone"))
@@ -241,15 +253,18 @@ def join_changes(
     Adds and deletes need a relationship known to their side whose set is not being
     deleted. An update of a relationship the source does not know creates it with its
     catalog id.
+
+    One full outer join tells the three kinds apart. Pairs on both sides that agree go no further; what is left meets its
+    relationship. One-sided pairs are looked up on the other side once more, since another relationship may have the same two columns.
     """
-    tag = lambda df, change: df.select(
-        F.lit(change).alias("change_type"), "db_relationship_id", "parent_fqdn", "child_fqdn", "position",
-        "cardinality")
-    changes = (
-        tag(D.joins_new(db_joins, dh_joins, dh_rels), ADD)
-        .unionByName(tag(D.joins_deleted(db_joins, dh_joins, db_rels), DELETE))
-        .unionByName(tag(D.joins_updated(db_joins, dh_joins, dh_rels), UPDATE))
-    )
+    keys, pair = ["db_relationship_id", "parent_fqdn", "child_fqdn"], ["parent_fqdn", "child_fqdn"]
+    differs = (F.col("dh.position") != F.col("db.position")) | (F.col("dh.cardinality") != F.col("db.cardinality"))
+    found = _sides(db_joins, dh_joins, keys).withColumn("change_type", _change(differs)).where(F.col("change_type").isNotNull())
+    nonzero = lambda c: F.when(F.col(c) != 0, F.col(c))
+    changes = found.select(
+        "change_type", *keys,
+        _by_change(add="db.position", delete="dh.position", update=F.coalesce(nonzero("dh.position"), nonzero("db.position"), F.lit(0))).alias("position"),
+        _by_change(add="db.cardinality", delete="dh.cardinality", update=X.first_filled("db.cardinality", "dh.cardinality")).alias("cardinality"))
     states = relationship_states(db_rels, dh_rels, db_sets, dh_sets) if states is None else states
     # Gone: the relationship's own deletion is in the feed (its set is known and stays).
     gone = Window.partitionBy(F.lower("physical_nm"))
@@ -259,8 +274,13 @@ def join_changes(
         F.max(F.coalesce((F.col("change_type") == DELETE) & F.col("_known") & ~F.col("_set_gone"), F.lit(False)))
         .over(gone).alias("_gone"),
     )
+    complete = F.col("parent_fqdn").isNotNull() & F.col("child_fqdn").isNotNull()
     kept = changes.join(owner, "db_relationship_id").where(~F.col("_gone")).where(_by_change(
-        add=F.col("_in_db") & ~F.col("_set_gone"), delete=F.col("_in_dh") & ~F.col("_set_gone"), update=F.lit(True)))
+        add=F.col("_in_db") & ~F.col("_in_dh") & ~F.col("_set_gone") & complete,
+        delete=F.col("_in_dh") & ~F.col("_in_db") & ~F.col("_set_gone") & complete, update=F.col("_in_dh")))
+    tag = lambda df, side: df.select(*pair, F.lit(side == "db").alias("_db_has"), F.lit(side == "dh").alias("_dh_has"))
+    has = tag(db_joins, "db").unionByName(tag(dh_joins, "dh")).groupBy(*pair).agg(F.max("_db_has").alias("_db_has"), F.max("_dh_has").alias("_dh_has"))
+    kept = split_join(kept, has, pair, "left").where(_by_change(add=~F.col("_dh_has"), delete=~F.col("_db_has"), update=F.lit(True)))
     return kept.select(
         "change_type", "db_relationship_id", _by_change(update="relationship_id").alias("relationship_id"),
         _by_change(update=~F.col("_in_db")).alias("creates_relationship"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import number_in_parts
+from .skew import number_in_parts, split_join
 
 # Order of the phases, preview marks, and attribute names in payloads.
 PHASES = {"delete": 1, "add": 2, "update": 3}
@@ -157,10 +157,15 @@ def relationship_bodies(rels: DataFrame, pairs: DataFrame, chunk: int = 1000) ->
 
 
 def set_payloads(sets: DataFrame) -> DataFrame:
-    """One request per set: deletions carry the id only, the others a body."""
-    rows = set_bodies(sets.withColumn("metadata", F.lit(None).cast("string")))
+    """One request per set: deletions carry the id only, the others a body.
+
+    A new set's ``target_name`` is the name that its items' requests wait for. Deletions and updates without an id cannot be
+    sent; ``unsendable_sets`` lists them.
+    """
+    rows = set_bodies(sets.where(~_without_id("catalog_id")).withColumn("metadata", F.lit(None).cast("string")))
     body = F.when(F.col("change_type") != "delete", F.to_json("body"))
-    return _requests(rows, "set", F.col("catalog_id"), F.lit(0), body)
+    name = F.when(F.col("change_type") == "add", X.fqdn("schema", "physical_nm"))
+    return _requests(rows, "set", F.col("catalog_id"), F.lit(0), body, name)
 
 
 def item_payloads(items: DataFrame, chunk: int = 1000) -> DataFrame:
@@ -172,7 +177,7 @@ def item_payloads(items: DataFrame, chunk: int = 1000) -> DataFrame:
     """
     if "new_set" not in items.columns:
         items = items.withColumn("new_set", F.lit(None).cast("string"))
-    gone = items.where(F.col("change_type") == "delete").withColumn("new_set", F.lit(None).cast("string"))
+    gone = items.where((F.col("change_type") == "delete") & ~_without_id("item_id")).withColumn("new_set", F.lit(None).cast("string"))
     rest = item_bodies(items.where((F.col("change_type") != "delete") & ~_nowhere(items)))
     keys = ["change_type", "set_id", "new_set"]
     grouped = number_in_parts(rest, keys, ["physical_nm", "dataset_id"], chunk).groupBy(*keys, "part").agg(
@@ -189,8 +194,20 @@ def _nowhere(items: DataFrame) -> Column:
     return blank & F.col("new_set").isNull() if "new_set" in items.columns else blank
 
 
+def _without_id(column: str) -> Column:
+    """A deletion or update whose target has no id."""
+    return (F.col("change_type") != "add") & X.is_blank(column)
+
+
+def unsendable_sets(sets: DataFrame) -> DataFrame:
+    """Deletions and updates of sets without an id."""
+    return sets.where(_without_id("catalog_id"))
+
+
 def unsendable_items(items: DataFrame) -> DataFrame:
-    return items.where((F.col("change_type") != "delete") & _nowhere(items))
+    """Deletions without an id, and other changes whose set has neither an id nor a name in this delta."""
+    gone = F.col("change_type") == "delete"
+    return items.where((gone & X.is_blank("item_id")) | (~gone & _nowhere(items)))
 
 
 def unsendable_relationships(rels: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -238,3 +255,34 @@ def payloads(
         .unionByName(item_payloads(items, chunk))
         .unionByName(relationship_payloads(relationships, pairs, chunk))
     )
+
+
+# --- replies ------------------------------------------------------------------
+
+
+def with_request_ids(requests: DataFrame) -> DataFrame:
+    """Add ``request_id``: a hash of what the request is, so that making the same delta again gives the same ids."""
+    parts = ("phase", "entity", "target_id", "target_name", "part", "body")
+    written = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in parts]))
+    return requests.withColumn("request_id", F.md5(written.cast("binary")))
+
+
+def requests_after_replies(requests: DataFrame, replies: DataFrame) -> DataFrame:
+    """What is to be sent after the receiver's replies, with the ids they brought.
+
+    ``replies`` has ``request_id``, ``ok`` boolean and ``id``: the id that a new set was given. A request that has an accepting reply
+    is done and left out; one that was refused or not answered is sent again, under the same ``request_id``. The reply to the
+    request that creates a set puts its id into ``target_id`` of all requests that name the set in ``target_name`` (of several ids,
+    the smallest). ``ready`` tells whether a request can be sent now: its target has an id, or it needs none.
+    A set's requests may be many; they are joined so that they can be split. Replies to unknown requests change nothing.
+    """
+    numbered = with_request_ids(requests)
+    accepted = replies.where("ok").groupBy("request_id").agg(F.min(X.blank_to_null("id")).alias("_id"))
+    creating = (F.col("entity") == "set") & (F.col("phase") == "add")
+    made = numbered.where(creating).select("request_id", F.col("target_name").alias("_made")).join(accepted, "request_id") \
+        .groupBy("_made").agg(F.min("_id").alias("_id"))
+    left = numbered.join(accepted.select("request_id"), "request_id", "left_anti").withColumn("_made", F.when(~creating & X.is_blank("target_id"), F.col("target_name")))
+    named = split_join(left, made, ["_made"], "left")
+    target = F.coalesce(X.blank_to_null("target_id"), "_id")
+    ready = creating | (F.col("entity") == "relationship") | target.isNotNull()
+    return named.select(*[c for c in requests.columns if c != "target_id"], target.alias("target_id"), "request_id", ready.alias("ready"))

@@ -1,7 +1,7 @@
 """The two flows: full synchronization, and foreign keys only.
 
-Stages hand over Parquet tables in a shared folder, never data on the driver: a stage
-that fails or loses executors is rerun from the last written version.
+Stages hand over Parquet tables in a shared folder, never data on the driver. Each stage is a committed part of
+a version: a run that fails or loses its executors goes on after the last committed part.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import cascade, catalog, delta, profile, resolve, snapshot
 from ..operators.skew import split_join
+from ..session import cut
 from ..sources import documents, schemas, sinks, snapshots
 
 CHANGES = ("sets", "items", "relationships", "joins")
@@ -88,16 +89,22 @@ def expand_json_columns(
     return out
 
 
-def write_changes(db: dict[str, DataFrame], dh: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
-    """Compute the changes in dependency order and store them; returns the stored tables."""
-    made = {
+def changes_between(db: dict[str, DataFrame], dh: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The changes of all four kinds, in dependency order. What relationships and pairs need of the relationships is made once."""
+    states = cut(cascade.relationship_states(db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]))
+    return {
         "sets": cascade.set_changes(db["dataset"], dh["dataset"]),
         "items": cascade.item_changes(db["dataitem"], dh["dataitem"], db["dataset"], dh["dataset"]),
         "relationships": cascade.relationship_changes(
-            db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]),
+            db["relationship"], dh["relationship"], db["dataset"], dh["dataset"], states=states),
         "joins": cascade.join_changes(
-            db["join"], dh["join"], db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]),
+            db["join"], dh["join"], db["relationship"], dh["relationship"], db["dataset"], dh["dataset"], states),
     }
+
+
+def write_changes(db: dict[str, DataFrame], dh: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
+    """Compute the changes and store them; returns the stored tables."""
+    made = changes_between(db, dh)
     for name in CHANGES:
         made[name].write.mode("errorifexists").parquet(f"{path}/{name}")
     spark = db["dataset"].sparkSession
@@ -119,31 +126,35 @@ def write_requests(
     chunk: int = 1000, remote_sets: DataFrame | None = None,
 ) -> None:
     """Store the payload requests and, under ``reports``, every change that no request carries."""
+    spark = db["dataset"].sparkSession
 
-    def written(df: DataFrame, folder: str, name: str) -> DataFrame:
-        path = f"{root}/{folder}/version={version}/{name}"
-        df.write.mode("errorifexists").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+    def outgoing() -> dict[str, DataFrame]:
+        touched = cascade.relationships_of_joins(
+            changes["joins"], changes["relationships"], db["relationship"], dh["relationship"])
+        return {"items": send_items(changes, dh["dataset"], remote_sets),
+                "relationships": changes["relationships"].unionByName(touched)}
 
-    items = written(send_items(changes, dh["dataset"], remote_sets), "outgoing", "items")
-    touched = cascade.relationships_of_joins(
-        changes["joins"], changes["relationships"], db["relationship"], dh["relationship"])
-    relationships = written(changes["relationships"].unionByName(touched), "outgoing", "relationships")
+    once = lambda make, part: snapshots.part_once(make, root, version, part, f"{part}/version={version}", spark=spark)
+    sent = once(outgoing, "outgoing")
     pairs = db["join"].select(
         "*", *[X.fqdn_part(f"{end}_fqdn", i).alias(f"{end}_{part}")
                for end in ("parent", "child") for i, part in enumerate(("schema", "set"))])
-    written(delta.unsendable_items(items), "reports", "items")
-    written(delta.unsendable_relationships(relationships, pairs), "reports", "relationships")
-    written(cascade.unresolved_relationships(
-        db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]), "reports", "unresolved_relationships")
-    requests = delta.payloads(changes["sets"], items, relationships, pairs, chunk)
-    sinks.write_payloads(requests, f"{root}/payloads/version={version}")
+    once(lambda: {
+        "sets": delta.unsendable_sets(changes["sets"]),
+        "unresolved_items": cascade.unresolved_items(db["dataitem"], dh["dataitem"], db["dataset"], dh["dataset"]),
+        "items": delta.unsendable_items(sent["items"]),
+        "relationships": delta.unsendable_relationships(sent["relationships"], pairs),
+        "unresolved_relationships": cascade.unresolved_relationships(
+            db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]),
+    }, "reports")
+    requests = delta.payloads(changes["sets"], sent["items"], sent["relationships"], pairs, chunk)
+    once(lambda: {"": lambda path: sinks.write_payloads(requests, path, mode="overwrite")}, "payloads")
 
 
 def full_sync(
     spark: SparkSession, source: dict[str, DataFrame], remote: dict[str, DataFrame], root: str, version: str,
     *, allow_empty_source: bool = False, preview_rows: int = delta.DEFAULT_PREVIEW, chunk: int = 1000,
-    commit: bool = True, remote_sets: DataFrame | None = None,
+    commit: bool = True, remote_sets: DataFrame | None = None, buckets: int | None = None,
 ) -> DataFrame:
     """Stash both sides, store their changes and payloads, and return the preview.
 
@@ -152,17 +163,26 @@ def full_sync(
     and, with ``commit``, its payload requests and reports of what could not be sent. A relationship of which only
     column pairs changed is sent as an update. ``remote_sets`` (schema, physical_nm, id) is the remote list of sets,
     looked up after the catalog snapshot.
+
+    Each of these is a part of the version with its own commit record. A run that was interrupted is continued by calling this
+    again with the same version: committed parts are read, whatever ``source`` and ``remote`` are by then, the others are made. A version
+    of which all parts are committed is an error, as it is never written over. ``buckets`` is that of ``snapshots.write_snapshot``.
     """
-    snapshots.write_snapshot(source, root, version, "source")
-    snapshots.write_snapshot(remote, root, version, "catalog")
-    db = snapshots.read_snapshot(spark, root, version, "source")
-    dh = snapshots.read_snapshot(spark, root, version, "catalog")
+    if snapshots.is_committed(spark, root, version, "sync"):
+        raise FileExistsError(f"version {version} is complete")
+    sides = []
+    for side, tables in (("source", source), ("catalog", remote)):
+        if not snapshots.is_committed(spark, root, version, side):
+            snapshots.write_snapshot(tables, root, version, side, buckets)
+        sides.append(snapshots.read_snapshot(spark, root, version, side))
+    db, dh = sides
     cascade.require_source(db["dataset"], allow_empty_source)
 
-    changes = write_changes(db, dh, f"{root}/changes/version={version}")
+    changes = snapshots.part_once(lambda: changes_between(db, dh), root, version, "changes", f"changes/version={version}", spark=spark)
     feed = cascade.change_feed(*[changes[n] for n in CHANGES])
     if commit:
         write_requests(changes, db, dh, root, version, chunk, remote_sets)
+        snapshots.commit(spark, root, version, "sync", [("", "", None, None, None)])
     return delta.preview(feed, preview_rows)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_payloads(requests: DataFrame, path: str) -> None:
+def write_payloads(requests: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
     """One folder per phase and entity, one JSON line per request.
 
     Folder names start with the phase number, so their order is the order of sending. ``target_name`` is the name of a
@@ -15,7 +15,7 @@ def write_payloads(requests: DataFrame, path: str) -> None:
     line = F.to_json(F.struct("target_id", "target_name", "part", F.try_parse_json("body").alias("body")))
     requests.select(
         F.concat_ws("_", "phase_no", "phase").alias("phase"), "entity", line.alias("value")
-    ).write.mode("errorifexists").partitionBy("phase", "entity").text(path)
+    ).write.mode(mode).partitionBy("phase", "entity").text(path)
 
 
 def write_document(doc: DataFrame, path: str, *, pretty: bool = False) -> None:

@@ -47,3 +47,15 @@ def test_documents_are_parsed_once(spark, sf_dir):
 def test_parts_need_no_single_task(spark):
     text = plan(number_in_parts(spark.range(100).selectExpr("id % 3 as k", "id as v"), ["k"], ["v"], 5))
     assert "SinglePartition" not in text
+
+
+def test_pair_cascade_joins_the_sides_once(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        i = Inputs(spark, sf_dir)
+        for name in ("db_join", "dh_join", "db_relationship", "dh_relationship", "db_dataset", "dh_dataset"):  # as stored, so that only the cascade's shuffles count
+            i._made[name] = spark.createDataFrame([], getattr(i, name).schema).union(spark.createDataFrame([], getattr(i, name).schema))
+        text = plan(i.join_changes())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") <= 15 and text.count("FullOuter") == 3
