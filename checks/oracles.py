@@ -472,6 +472,18 @@ _EVENT_KEYS = """SELECT event_type AS a, 'u' || user_id % 7 AS b,
 ORACLES["json_keys_full"] = f"SELECT DISTINCT 'props' AS source, unnest([a, b]) AS attribute FROM ({_EVENT_KEYS})"
 ORACLES["json_keys_compat"] = f"""SELECT DISTINCT 'props' AS source, unnest([a, b]) AS attribute FROM (
     SELECT * FROM ({_EVENT_KEYS}) ORDER BY greatest(a, b) DESC, j DESC LIMIT 1)"""
+_TABLE_KEYS = f"""SELECT 'lake' AS schema, 'Events' AS dataset_id, 'props' AS source, unnest(json_keys(props)) AS a FROM events
+  UNION SELECT 'lake', 'parts', 'extra', unnest([a, b]) FROM ({_EVENT_KEYS})
+  UNION SELECT 'lake', 'parts', 'props', 'p' || user_id % 5 FROM events WHERE event_id % 4 = 0
+  UNION SELECT 'web', 'docs', 'doc', 'l_' || lang FROM documents"""
+ORACLES["json_expansion_tables"] = f"""SELECT schema, dataset_id, source, source || '::' || a AS physical_nm, 'text' AS type, false AS identity,
+    true AS nullable, schema || '.' || dataset_id || '.' || a AS fqdn, '{{"source":"' || source || '"}}' AS metadata FROM ({_TABLE_KEYS})"""
+ORACLES["json_expansion_tables_compat"] = f"""SELECT 'parts' AS dataset_id, 'extra::' || attribute AS physical_nm FROM ({ORACLES['json_keys_compat']})
+  UNION SELECT 'parts', 'props::' || max('p' || user_id % 5) FROM events WHERE event_id % 4 = 0
+  UNION SELECT 'docs', 'doc::l_' || max(lang) FROM documents
+  UNION SELECT 'Events', 'props::' || unnest(k) FROM (SELECT json_keys(props) AS k FROM events ORDER BY list_max(json_keys(props)) DESC, props DESC LIMIT 1)"""
+ORACLES["json_expansion_keys"] = f"""SELECT DISTINCT schema, dataset_id, lower(dataset_id) || '_json_expansion_key' AS name, 'json' AS type,
+    'Generated by JSON autoexpansion of the ' || dataset_id || ' item.' AS comment, source AS item FROM ({_TABLE_KEYS})"""
 ORACLES["json_expansion"] = f"""SELECT 'Events' AS dataset_id, src || '::' || a AS physical_nm, 'text' AS type, false AS identity,
     true AS nullable, 'lake.Events.' || a AS fqdn, '{{"source":"' || src || '"}}' AS metadata FROM (
       SELECT DISTINCT 'props' AS src, unnest([a, b]) AS a FROM ({_EVENT_KEYS})

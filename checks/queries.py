@@ -667,6 +667,37 @@ def json_expansion(i):
     return P.expand_json_columns(two, ["props", "raw"], "Events", "lake.Events")
 
 
+def _stored_tables(i: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Columns, sets and places of three stored tables: events, a partitioned one, and one where ``props`` is a number."""
+    root = f"{checkpoint_dir(i.spark).rstrip('/')}/tables-{uuid.uuid4().hex}"
+    i.events.select(F.expr(PROPS).alias("extra"), F.expr("event_id % 3").alias("day"), F.expr("""case when event_id % 4 = 0
+        then concat('{"p', user_id % 5, '":{"deep":1}}') else '"text"' end""").alias("props")).write.partitionBy("day").parquet(f"{root}/parts")
+    i.documents.select(F.length("text").alias("props"), F.to_json(F.expr("map(concat('l_', lang), source)")).alias("doc")).write.parquet(f"{root}/docs")
+    columns = [("lake", "Events", "props", "json"), ("lake", "Events", "event_type", "text"), ("lake", "parts", "extra", "JSONB"), ("lake", "parts", "props", "json"),
+               ("web", "docs", "props", "int4"), ("web", "docs", "doc", "json"), ("web", "elsewhere", "doc", "json")]
+    places = [("lake", "Events", f"{i.sf_dir}/events.parquet"), ("lake", "parts", f"{root}/parts/"), ("web", "docs", f"{root}/docs"), ("web", "unused", f"{root}/none")]
+    spark = i.spark
+    return (spark.createDataFrame([(*c, ".".join(c[:3])) for c in columns], "schema string, dataset_id string, physical_nm string, type string, fqdn string"),
+            spark.createDataFrame(sorted({(*c[:2], "TABLE") for c in columns}), "schema string, physical_nm string, type string"),
+            spark.createDataFrame(places, "schema string, dataset_id string, path string"))
+
+
+@query
+def json_expansion_tables(i):
+    """JSON columns of several stored tables, found by one scan for each set of columns that do not clash."""
+    return P.expand_json_tables(*_stored_tables(i))
+
+
+@query
+def json_expansion_tables_compat(i):
+    return P.expand_json_tables(*_stored_tables(i), mode="compat").select("dataset_id", "physical_nm")
+
+
+@query
+def json_expansion_keys(i):
+    return P.expansion_keys(P.expand_json_tables(*_stored_tables(i)))
+
+
 @query
 def stats_enrich(i):
     items = i.catalog("columns")["columns"].select(

@@ -21,18 +21,23 @@ CHANGES = ("sets", "items", "relationships", "joins")
 
 
 def source_snapshot(
-    tables: dict[str, DataFrame], patterns: list[str] | None = None, extra_items: DataFrame | None = None
+    tables: dict[str, DataFrame], patterns: list[str] | None = None, extra_items: DataFrame | None = None, *,
+    json_places: DataFrame | None = None, json_fields: list[str] | None = None, skip_views: bool = False,
 ) -> dict[str, DataFrame]:
     """The four snapshot tables of the source side, out of its catalog tables.
 
     Keys are matched strictly, so the fan-out of the loose join never arises.
-    ``extra_items`` are item rows from JSON columns (see ``expand_json_columns``).
+    ``extra_items`` are item rows from JSON columns (see ``expand_json_columns``); with ``json_places`` they are found here,
+    in the stored tables that it names (see ``profile.expand_json_tables``).
     """
     views = catalog.resolve_matview_columns(tables, patterns, strict_keys=True)
     entities = catalog.flatten_entities(tables, patterns, strict_keys=True).unionByName(
         views.drop("source_schema", "source_entity"))
     sets = catalog.entity_sets(entities)
     items = catalog.item_snapshot(catalog.entity_items(entities), profile.stats_from_catalog(tables["stats"]))
+    if json_places is not None:
+        found = profile.expand_json_tables(catalog.entity_items(entities), sets, json_places, skip_views=skip_views, fields=json_fields)
+        items = items.unionByName(found.drop("source", "identity", "fqdn"), allowMissingColumns=True)
     if extra_items is not None:
         items = items.unionByName(extra_items, allowMissingColumns=True)
     fk = catalog.resolve_foreign_keys(tables, patterns)
