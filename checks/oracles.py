@@ -376,6 +376,9 @@ def _entities(strict: bool) -> str:
 
 ORACLES["entities_flatten"] = oracle(_entities(False), *_CATALOG, extra=_NAMED)
 ORACLES["entities_flatten_strict"] = oracle(_entities(True), *_CATALOG, extra=_NAMED)
+_ORDER = '"schema", entity, "position", key_name, key_type'
+ORACLES["entities_ordered"] = oracle(f"""SELECT row_number() OVER (ORDER BY {", ".join(c + " NULLS FIRST" for c in _ORDER.split(", "))}) AS seq,
+    {_ORDER}, fqdn FROM ({_entities(True)})""", *_CATALOG, extra=_NAMED)
 ORACLES["entity_sets"] = oracle("""SELECT schema, entity AS physical_nm, entity AS logical_nm, min(CASE WHEN "view" THEN 'VIEW'
       WHEN entity_type = 'base table' THEN 'TABLE' ELSE upper(entity_type) END) AS type,
     min(CASE WHEN trim(definition) <> '' THEN definition END) AS definition, min(schema_comment) AS schema_comment,

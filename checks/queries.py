@@ -14,6 +14,7 @@ from metaskein.operators import catalog as C
 from metaskein.operators import delta as L
 from metaskein.operators import diff as D
 from metaskein.operators import document as M
+from metaskein.operators import order as O
 from metaskein.operators import profile as P
 from metaskein.operators import resolve as R
 from metaskein.operators import snapshot as N
@@ -576,6 +577,20 @@ def entities_flatten_strict(i):
     return i.entities(strict=True)
 
 
+#: The order of entity rows: schema, set, position, and what tells equal ones apart.
+ENTITY_ORDER = ["schema", "entity", "position", "key_name", "key_type"]
+
+
+@query
+def entities_ordered(i):
+    """Each entity row's place in the total order, and the file it is read back from."""
+    path = f"{checkpoint_dir(i.spark).rstrip('/')}/ordered-{uuid.uuid4().hex}"
+    rows = C.flatten_entities(i.catalog("tables", "columns", "pg_class", "pg_namespace", "pg_attribute", "pg_index", "description",
+                                        "key_column_usage", "table_constraints", "views"), strict_keys=True)
+    O.write_ordered(rows.select(*ENTITY_ORDER, "fqdn"), ENTITY_ORDER, path)
+    return O.numbered(i.spark.read.parquet(path), ENTITY_ORDER).select("seq", *ENTITY_ORDER, "fqdn")
+
+
 @query
 def entity_sets(i):
     return C.entity_sets(i.entities(strict=True))
