@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from metaskein.session import checkpoint_dir
@@ -19,9 +22,20 @@ _shipped: set[str] = set()
 _held: dict[tuple[str, Hashable], Any] = {}
 
 
+#: Bytes of text that a task and its worker pass each other at once, and the session setting that says so.
+BATCH_BYTES, BATCH_SETTING = 16 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give executors this package's modules, once per application; they need no copy of the repository."""
+    """Give executors this package's modules, once per application; they need no copy of the repository.
+
+    Also bounds the session's Arrow batches by BATCH_BYTES, unless it has a smaller bound: ten thousand long texts at once are
+    held several times over by an executor and its workers.
+    """
     sc = spark.sparkContext
+    current = re.fullmatch(r"([0-9]+)b?", spark.conf.get(BATCH_SETTING, f"{BATCH_BYTES + 1}b"))
+    if current and int(current[1]) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     if sc.applicationId in _shipped:
         return
     path = os.path.join(tempfile.mkdtemp(prefix="metaskein-code-"), "metaskein_code.zip")
@@ -50,6 +64,19 @@ def give_up() -> None:
     _held.clear()
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker gives freed memory back; it would keep it for as long as the application lives."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return wrapped
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` as a written table in the shared checkpoint folder.
 

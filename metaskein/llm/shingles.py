@@ -7,7 +7,8 @@ that the other lacks, so bit counts bound the overlap from above. Only pairs tha
 
 Candidates of one key are never all paired. The documents of a key are first compared with one centre; where that
 leaves them in one component, nothing is left to find. Only members of different components of a key are compared in
-tiles of a size band, and only those that pass the bitmap bound become rows.
+tiles of a size band. A pair becomes a row at the first key of a run of keys that both have one after the other, and there only
+if the bitmaps, and what of the two sets comes after that key, allow the overlap.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected
-from .runtime import give_up, ship, stored
+from .runtime import give_up, lean, ship, stored
 
 #: Text bytes hashed at once in a task.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 #: Longs of the short bitmap signature; a wide one has at least two bits for each shingle.
 SIGNATURE = 8
 #: Most frequent shingles that are put last in the common order (8 bytes each, broadcast). Any order gives the same result.
@@ -145,7 +146,7 @@ def late_shingles(texts: DataFrame, words: int) -> np.ndarray:
             h, n = np.unique(h[:-others][h[others:] == h[:-others]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n + others, pa.int64())], names=["h", "n"])
 
-    counted = texts.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = texts.select("text").mapInArrow(lean(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "h").limit(LATE_SHINGLES).toArrow()
     return top.column("h").to_numpy().view(np.uint64)[::-1].copy()
 
@@ -168,7 +169,8 @@ def _sketches(texts: DataFrame, kind: str, words: int, percent: int, late: np.nd
                         place[is_late] = rank[at[is_late]] + np.uint64(1 << 63)
                     need = -(-percent * len(s) // 100)
                     n = len(s) - need + 1 if len(s) else 0
-                    keys.append(s[np.argpartition(place, n - 1)[:n]] if 0 < n < len(s) else s)
+                    first = np.argpartition(place, n - 1)[:n] if 0 < n < len(s) else np.arange(len(s))
+                    keys.append(s[first[np.argsort(place[first])]])
                     signatures.append(_signature(s))
                     wide.append(_wide(s))
                 raw = [x.tobytes() for x in sets]
@@ -182,7 +184,7 @@ def _sketches(texts: DataFrame, kind: str, words: int, percent: int, late: np.nd
                     names=["id", "text_hash", "n", "class", "keys", "wide", *(f"s{k}" for k in range(SIGNATURE))])
 
     bitmaps = ", ".join(f"s{k} long" for k in range(SIGNATURE))
-    return texts.mapInArrow(run, f"id {kind}, text_hash long, n long, class binary, keys array<long>, wide array<long>, {bitmaps}")
+    return texts.mapInArrow(lean(run), f"id {kind}, text_hash long, n long, class binary, keys array<long>, wide array<long>, {bitmaps}")
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -192,7 +194,27 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
                 sets = shingle_sets(offsets, data, words)
                 yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), _lists(sets)],
                                                  names=["class", "shingles"])
-    return texts.select("text").mapInArrow(run, "class binary, shingles array<long>")
+    return texts.select("text").mapInArrow(lean(run), "class binary, shingles array<long>")
+
+
+def _intersect(percent: int):
+    """Pairs whose sorted sets ``sa`` and ``sb`` of ``na`` and ``nb`` shingles overlap enough."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = (batch.column(k).to_numpy() for k in (2, 3))
+            sides = []
+            for k in (4, 5):
+                column = batch.column(k)
+                ends = column.offsets.to_numpy()
+                sides.append((ends, column.values.to_numpy(zero_copy_only=False).view(np.uint64)))
+            both = np.zeros(batch.num_rows, np.int64)
+            for i in range(batch.num_rows):
+                x, y = (flat[ends[i]:ends[i + 1]] for ends, flat in sides)
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                both[i] = np.count_nonzero(y[at] == x)
+            enough = pa.array((100 + percent) * both >= percent * (na + nb))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(enough) for k in (0, 1)], names=["a", "b"])
+    return run
 
 
 def with_text_hash(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -254,9 +276,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     bitmaps = ["n", *(f"s{k}" for k in range(SIGNATURE))]
 
     by_key = Window.partitionBy("key").orderBy("node")
-    shared = nodes.select(F.explode("keys").alias("key"), "node") \
-        .select("key", "node", F.lag("node").over(by_key).alias("before"), F.lead("node").over(by_key).alias("after"))
-    members = stored(shared.where("before is not null or after is not null").select("key", "node"))
+    shared = nodes.select(F.posexplode("keys").alias("pos", "key"), "node") \
+        .select("key", "node", "pos", F.lag("node").over(by_key).alias("before"), F.lead("node").over(by_key).alias("after"))
+    members = stored(shared.where("before is not null or after is not null").select("key", "node", "pos"))
     weight = stored(members.groupBy("node").agg(F.count("*").alias("shared")))
     about = stored(nodes.select("node", "id", "class", "wide", *bitmaps).join(weight, "node"))
 
@@ -280,27 +302,32 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         repeated = sketches.join(ids, F.col("id").eqNullSafe(F.col("w")), "left_semi").groupBy("id").count().where("count > 1")
         sets = stored(sets if repeated.isEmpty() else sets.dropDuplicates(["node"]))
         x, y = (sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("shingles").alias(f"s{c}")) for c in "ab")
-        both = F.size(F.array_intersect("sa", "sb"))
-        return stored(pairs.join(x, "a").join(y, "b").where((100 + percent) * both >= percent * (F.col("na") + F.col("nb"))).select("a", "b"))
+        both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "sa", "sb")
+        return stored(both.mapInArrow(lean(_intersect(percent)), "a long, b long"))
 
     links = linked(first)
     found = connected(links)
 
-    # Round 2: keys whose members are in more than one component.
+    # Round 2: keys whose members, the centre left out, are in more than one component.
     placed = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")) \
-        .where("low < high").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
-    open_ = stored(placed.join(split, "key"))
+        .where("low < high and size > 2").select("key", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
+    open_ = stored(placed.join(split.join(centres, "key"), "key").where("node != centre").drop("centre"))
+    # Of the keys that two members both have and that are open for both, one comes first; there they have no open key before it in common.
+    open_ = open_.withColumn("prior", F.lag("key").over(Window.partitionBy("node").orderBy("pos")))
     band = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
     open_ = open_.join(about.select("node", *bitmaps), "node").withColumn("band", band).withColumn("tile", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
     # A row's tile meets every tile of its own band and of the next.
     left = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("reach", F.explode(F.array(F.lit(0), F.lit(1))))
     left = left.withColumn("meets", F.col("band") + F.col("reach"))
     right = open_.withColumn("from", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    first_common = F.col("x.prior").isNull() | F.col("y.prior").isNull() | (F.col("x.prior") != F.col("y.prior"))
+    rest = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))  # of the sets, from their first common key on
     pairs = left.alias("x").join(
         right.alias("y"),
         (F.col("x.key") == F.col("y.key")) & (F.col("x.tile") == F.col("y.from")) & (F.col("x.other") == F.col("y.tile")) & (F.col("x.meets") == F.col("y.band"))
-        & (F.col("x.component") != F.col("y.component")) & ((F.col("x.reach") == 1) | (F.col("x.node") < F.col("y.node"))) & _may_link("x", "y", percent)) \
+        & (F.col("x.component") != F.col("y.component")) & ((F.col("x.reach") == 1) | (F.col("x.node") < F.col("y.node")))
+        & first_common & ((100 + percent) * rest >= percent * (F.col("x.n") + F.col("y.n"))) & _may_link("x", "y", percent)) \
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = linked(pairs)
     if not more.isEmpty():
