@@ -11,6 +11,7 @@ from .skew import number_in_parts, split_join
 # Order of the phases, preview marks, and attribute names in payloads.
 PHASES = {"delete": 1, "add": 2, "update": 3}
 MARKS = {"add": "+", "delete": "-", "update": "!"}
+MORE = "and more..."
 MOST_COMMON, NULL_SHARE = "Most Common Value", "Null Percentage"
 DEFAULT_PREVIEW = 35
 _BUCKETS = 64
@@ -44,7 +45,7 @@ def preview(feed: DataFrame, max_rows: int = DEFAULT_PREVIEW) -> DataFrame:
     )
     return top.select(
         "entity", "change_type", "seq",
-        F.when(F.col("seq") > max_rows, F.concat(mark, F.lit(" and more..."))).otherwise(F.col("line")).alias("line"),
+        F.when(F.col("seq") > max_rows, F.concat(mark, F.lit(f" {MORE}"))).otherwise(F.col("line")).alias("line"),
     )
 
 
@@ -134,10 +135,11 @@ def relationship_bodies(rels: DataFrame, pairs: DataFrame, chunk: int = 1000) ->
         F.col("db_relationship_id").alias("physical_nm"), *order, "cardinality",
         X.fqdn("parent_schema", "parent_set").alias("parent_set"),
         X.fqdn("child_schema", "child_set").alias("child_set"))
-    head = p.groupBy("physical_nm").agg(
-        F.min(F.struct(*order, "parent_set", "child_set", "cardinality")).alias("h"))
     lists = number_in_parts(p, ["physical_nm"], order, chunk).groupBy("physical_nm", "part").agg(
-        F.array_sort(F.collect_list(F.struct(*order))).alias("pairs"))
+        F.array_sort(F.collect_list(F.struct(*order))).alias("pairs"),
+        F.min(F.struct(*order, "parent_set", "child_set", "cardinality")).alias("h"))
+    head = lists.groupBy("physical_nm").agg(F.min("h").alias("h"))  # a row for each part, where the pairs would be many
+    lists = lists.drop("h")
     items = F.transform("pairs", lambda x: F.struct(x["parent_fqdn"].alias("parent"), x["child_fqdn"].alias("child")))
     upper = lambda c: F.upper(X.or_empty(c))
     return rels.join(head, "physical_nm").join(lists, "physical_nm").select(
