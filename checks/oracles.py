@@ -171,6 +171,21 @@ ORACLES["join_delta_cascade"] = cascaded("FROM join_chg")
 ORACLES["unresolved_relationships"] = cascaded(
     "SELECT change_type, physical_nm, dataset_id FROM rel_all WHERE dataset_id NOT IN (SELECT nm FROM set_owner)")
 ORACLES["change_feed"] = cascaded("FROM feed")
+def _text(*columns: str) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+
+
+ORACLES["change_feed_bodies"] = cascaded(f"""SELECT 'set' AS entity, change_type, entity_id, physical_nm AS name,
+      {_text("logical_nm", "description", "type", "definition", "fqdn")} AS body FROM set_chg
+    UNION ALL SELECT 'item', change_type, lower(trim(concat(schema, '.', dataset_id, '.', physical_nm))), physical_nm,
+      {_text("logical_nm", "type", "description", "key_type", "key_name", "nullable", "example", "default_val", "set_id", "item_id", "metadata")} FROM item_chg
+    UNION ALL SELECT 'relationship', change_type, lower(physical_nm), physical_nm,
+      {_text("logical_nm", "comment", "on_update", "on_delete", "on_match", "type", "catalog_id")} FROM rel_chg
+    UNION ALL SELECT 'join', change_type, lower(parent_fqdn) || '::' || lower(child_fqdn), parent_fqdn || ' -> ' || child_fqdn,
+      {_text("db_relationship_id", "relationship_id", "creates_relationship", "parent_item", "child_schema", "child_item", "position", "cardinality")} FROM join_chg""")
+ORACLES["addition_membership"] = cascaded("""SELECT lower(physical_nm) AS entity_id,
+    lower(physical_nm) IN (SELECT entity_id FROM set_chg WHERE change_type = 'add') AS has_add FROM wdb""",
+    wdb="SELECT concat('ds_', p_partkey) AS physical_nm FROM part")
 ORACLES["diff_membership"] = cascaded("""SELECT lower(physical_nm) AS entity_id,
     lower(physical_nm) IN (SELECT entity_id FROM set_chg WHERE change_type = 'delete') AS has_delete,
     lower(physical_nm) IN (SELECT entity_id FROM set_chg WHERE change_type = 'update') AS has_update FROM dh_dataset""")
@@ -199,6 +214,12 @@ ORACLES["payload_items"] = cascaded("""SELECT change_type, dataset_id, physical_
       CASE WHEN trunc(CAST(json_extract_string(metadata, '$.null_percentage') AS DOUBLE)) = 0 THEN '0'
         ELSE printf('%.2f', CAST(json_extract_string(metadata, '$.null_percentage') AS DOUBLE)) END END AS null_percentage,
     nullif(example, '') AS example FROM item_chg""")
+ORACLES["payload_metadata"] = cascaded("""SELECT 'item' AS entity, change_type, dataset_id || '.' || physical_nm AS key,
+      CASE WHEN m THEN coalesce(example, '') END AS most_common, CASE WHEN m THEN length(physical_nm) || '.25' END AS null_share,
+      CASE WHEN m THEN CAST(length(dataset_id) AS VARCHAR) END AS n, NULL AS view_source, CASE WHEN m THEN 1 END AS kept
+    FROM (SELECT *, physical_nm LIKE '%\\_1' ESCAPE '\\' AS m FROM item_chg)
+  UNION ALL SELECT 'set', change_type, physical_nm, 'm', NULL, CAST(length(physical_nm) AS VARCHAR),
+      CASE WHEN trim(definition) <> '' THEN definition ELSE 'old' END, 2 FROM set_chg""")
 _PAIRS = """SELECT db_relationship_id, parent_fqdn, child_fqdn, position, cardinality,
     row_number() OVER (PARTITION BY db_relationship_id ORDER BY position, parent_fqdn, child_fqdn) AS rn,
     row_number() OVER (PARTITION BY db_relationship_id ORDER BY """ + _bucket('position', 'parent_fqdn', 'child_fqdn') + """, position, parent_fqdn, child_fqdn) AS bn FROM db_join"""

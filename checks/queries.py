@@ -252,6 +252,26 @@ def change_feed(i):
     return i.feed().drop("set_body", "item_body", "relationship_body", "join_body")
 
 
+@query
+def change_feed_bodies(i):
+    """What the four kinds of changes carry, as text."""
+    shown = {"set": ["logical_nm", "description", "type", "definition", "fqdn"],
+             "item": ["logical_nm", "type", "description", "key_type", "key_name", "nullable", "example", "default_val", "set_id", "item_id", "metadata"],
+             "relationship": ["logical_nm", "comment", "on_update", "on_delete", "on_match", "type", "catalog_id"],
+             "join": ["db_relationship_id", "relationship_id", "creates_relationship", "parent_item", "child_schema", "child_item", "position", "cardinality"]}
+    text = F.lit(None).cast("string")
+    for entity, columns in shown.items():
+        parts = [F.coalesce(F.col(f"{entity}_body.{c}").cast("string"), F.lit("-")) for c in columns]
+        text = F.when(F.col("entity") == entity, F.concat_ws("|", *parts)).otherwise(text)
+    return i.feed().select("entity", "change_type", "entity_id", "name", text.alias("body"))
+
+
+@query
+def addition_membership(i):
+    ids = i.wdb_dataset.select(X.set_id("physical_nm").alias("entity_id"))
+    return K.has_change(ids, i.feed().where("entity = 'set'"), "add")
+
+
 @query
 def diff_membership(i):
     ids = i.dh_dataset.select(X.set_id("physical_nm").alias("entity_id"))
@@ -308,6 +328,19 @@ def payload_items(i):
         F.col("body.attributes")[L.NULL_SHARE].alias("null_percentage"), F.col("body.example").alias("example"))
 
 
+@query
+def payload_metadata(i):
+    """Bodies of sets and items with metadata: what moves to the attributes, and what stays."""
+    made = F.expr("""concat('{"most_common_value":"', coalesce(example, ''), '","null_percentage":', length(physical_nm), '.25,"n":', length(dataset_id), '}')""")
+    items = L.item_bodies(i.item_changes().withColumn("metadata", F.when(F.col("physical_nm").endswith("_1"), made)))
+    sets = L.set_bodies(i.set_changes().withColumn("metadata", F.expr("""concat('{"view_source":"old","most_common_value":"m","n":', length(physical_nm), '}')""")))
+    at = lambda c: F.col("body.metadata")[c].cast("string")
+    shown = lambda df, entity, key: df.select(
+        F.lit(entity).alias("entity"), "change_type", key.alias("key"), F.col("body.attributes")[L.MOST_COMMON].alias("most_common"),
+        F.col("body.attributes")[L.NULL_SHARE].alias("null_share"), at("n").alias("n"), at("view_source").alias("view_source"), F.size("body.metadata").alias("kept"))
+    return shown(items, "item", F.concat_ws(".", "dataset_id", "physical_nm")).unionByName(shown(sets, "set", F.col("physical_nm")))
+
+
 def _pairs(joins: DataFrame) -> DataFrame:
     return joins.select(
         "*", *[X.fqdn_part(f"{end}_fqdn", n).alias(f"{end}_{part}")
