@@ -1,14 +1,17 @@
 """Personal data: patterns, and terms that reveal the person or device behind them.
 
-The second part follows information theory. An entity (a distinct e-mail address, IP address, card or phone number)
-carries -log2 p(entity) bits. A term near it gives away log2 p(term, entity) / (p(term) p(entity)) of them, with
-probabilities estimated from document counts of the whole corpus. A term that gives away at least ``generalise`` of
-the entity's bits becomes its class; at ``remove`` of them it goes. Everything is DataFrame expressions.
+The second part follows information theory. A protected entity is a distinct e-mail address, IP address, card or phone number, the group
+it belongs to (mail domain, network, issuer, dialling prefix), or its kind. It carries -log2 p(entity) bits. A term near it gives
+away log2 p(term, entity) / (p(term) p(entity)) of them, with probabilities estimated from document counts of the whole corpus. A
+term that gives away at least ``generalise`` of an entity's bits becomes its class; at ``remove`` of them it goes.
+
+Everything is DataFrame expressions. Matches and words are rows that know their text; running sums and extremes over a text's rows give
+their places, their neighbours and the stretches that they cover, so that the work grows with the matches of a text, not with their square.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .runtime import stored
@@ -29,7 +32,7 @@ WORD = r"\p{L}[\p{L}\p{M}]*+"
 #: Characters on each side of an entity whose words count as co-occurring with it.
 CONTEXT = 120
 #: Documents that must hold a term beside an entity before their association is believed.
-SUPPORT = 3
+SUPPORT = 2
 #: Shares of the entity's information.
 GENERALISE, REMOVE = 0.8, 0.95
 #: Rows (two short strings) up to which the disclosing pairs are broadcast; beyond, the join is shuffled.
@@ -38,18 +41,24 @@ BROADCAST_ROWS = 200_000
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Leftmost matches that do not overlap, as (start, end, value) in code points; of a bounded or seldom matching text."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    steps = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("n"), m.alias("value")))
+def matches(texts: DataFrame, found: Column) -> DataFrame:
+    """(row, kind, start, end, value) of the matches of patterns, in code points.
+
+    ``found`` makes of ``text`` an array of (kind, i, gap, n, value): match i of a kind, its length, and that of the text between it and the one before.
+    """
+    steps = texts.select("row", F.inline(found))
+    upto = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ended = steps.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(upto).cast("int"))
+    return ended.select("row", "kind", (F.col("end") - F.col("n")).alias("start"), "end", "value")
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        span = F.struct(start.alias("start"), (start + x["n"]).alias("end"), x["value"].alias("value"))
-        return F.struct((start + x["n"]).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans")), add)["spans"]
+def _steps(kind: str, text: Column, pattern: str, possible: Column) -> Column:
+    """The matches of one pattern for ``matches``; none where a cheap test fails."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+    pairs = F.arrays_zip(gaps.alias("gap"), found.alias("value"))
+    steps = F.transform(pairs, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), F.length(x["gap"]).alias("gap"), F.length(x["value"]).alias("n"), x["value"].alias("value")))
+    return F.when(possible, steps).otherwise(F.array().cast("array<struct<kind:string,i:int,gap:int,n:int,value:string>>"))
 
 
 def digits(c: Column) -> Column:
@@ -90,25 +99,56 @@ def _possible(kind: str, text: Column) -> Column:
     return text.rlike(r"[0-9]\.[0-9]" if kind == "ip" else r"[0-9][0-9 -]{14}[0-9]")
 
 
-def base_spans(text: Column, kind: str) -> Column:
-    found = F.filter(located(text, PATTERNS[kind]), lambda x: _valid(kind, x["value"]))
-    return F.when(_possible(kind, text), found).otherwise(F.array().cast(_SPAN))
-
-
 def _written(spans: Column, kind: str) -> Column:
     return F.transform(spans, lambda x: F.concat_ws(":", F.lit(kind), x["start"], x["end"]))
 
 
-def _context_terms(text: Column, base: Column, entity: Column) -> Column:
-    """Lower-cased words of the entity's context with their spans; cut words and those inside base spans left out."""
-    low = F.greatest(entity["start"] - CONTEXT, F.lit(0))
-    before = F.substring(text, low + 1, entity["start"] - low)
-    after = F.substring(text, entity["end"] + 1, F.lit(CONTEXT))
-    left = F.filter(located(before, WORD), lambda w: ((w["start"] > 0) | (low == 0)) & (w["end"] < F.length(before)))
-    right = F.filter(located(after, WORD), lambda w: (w["start"] > 0) & ((w["end"] < CONTEXT) | (entity["end"] + F.length(after) >= F.length(text))))
-    moved = lambda words, by: F.transform(words, lambda w: F.struct((w["start"] + by).alias("start"), (w["end"] + by).alias("end"), F.lower(w["value"]).alias("value")))
-    words = F.concat(moved(left, low), moved(right, entity["end"]))
-    return F.filter(words, lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+def _entities(kind: Column, value: Column) -> Column:
+    """What a match belongs to: itself, its group and its kind."""
+    plain = F.when(kind == "email", F.lower(value)).when(kind == "ip", value).otherwise(digits(value))
+    group = F.when(kind == "email", F.substring_index(plain, "@", -1)).when(kind == "ip", F.substring_index(plain, ".", 3)) \
+        .when(kind == "card", F.substring(plain, 1, 6)).otherwise(F.substring(plain, 1, 5))
+    return F.array(F.concat(kind, F.lit(":"), plain), F.concat(kind, F.lit("~"), group), kind)
+
+
+def _beside(private: DataFrame, spans: DataFrame) -> DataFrame:
+    """(row, start, end, term, entities): the words within CONTEXT characters after or before a match, with the nearest one on either side.
+
+    Words that a match covers in part are no terms.
+    """
+    words = matches(private, _steps("word", F.col("text"), WORD, F.lit(True)))
+    marks = spans.select("row", "start", "end", _entities(F.col("kind"), F.col("value")).alias("entities"))
+    events = words.select("row", "start", "end", F.lower("value").alias("term"), F.lit(None).cast("array<string>").alias("entities")) \
+        .unionByName(marks.withColumn("term", F.lit(None).cast("string")))
+    match = F.col("entities").isNotNull()
+    # Of equal starts the match comes first for the look back, and last for the look ahead: a word there is covered.
+    back = Window.partitionBy("row").orderBy("start", F.col("entities").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy("row").orderBy(F.desc("start"), F.col("entities").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = events.withColumn("before", F.max(F.when(match, F.struct("end", "entities"))).over(back)) \
+        .withColumn("after", F.min(F.when(match, F.struct("start", "entities"))).over(ahead))
+    after_match, before_match = F.col("start") - F.col("before.end"), F.col("after.start") - F.col("end")
+    free = (F.coalesce(after_match, F.lit(0)) >= 0) & (F.coalesce(before_match, F.lit(0)) >= 0)
+    none = F.array().cast("array<string>")
+    near = lambda gap, side: F.when(gap <= CONTEXT, F.col(f"{side}.entities")).otherwise(none)
+    both = F.concat(F.coalesce(near(after_match, "before"), none), F.coalesce(near(before_match, "after"), none))
+    return seen.where(F.col("term").isNotNull() & free).select("row", "start", "end", "term", both.alias("entities")).where(F.size("entities") > 0)
+
+
+def _sanitized(private: DataFrame, tags: DataFrame) -> DataFrame:
+    """(row, sanitized): the texts, each stretch that tags cover replaced by the tag of the first of them."""
+    upto = Window.partitionBy("row").orderBy("start", "end", "tag")
+    reach = tags.withColumn("reach", F.max("end").over(upto.rowsBetween(Window.unboundedPreceding, -1)))
+    begins = reach.withColumn("k", F.sum(F.when(F.col("reach").isNull() | (F.col("start") >= F.col("reach")), 1).otherwise(0)).over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    stretches = begins.groupBy("row", "k").agg(F.min(F.struct("start", "end", "tag")).alias("first"), F.max("end").alias("end"))
+    cuts = stretches.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(F.col("first.start").alias("start"), "end", F.col("first.tag").alias("tag")))).alias("cuts"))
+    text = F.col("text")
+
+    def piece(x: Column, i: Column) -> Column:
+        start = F.when(i > 0, F.get("cuts", i - 1)["end"]).otherwise(0)
+        return F.concat(F.substring(text, start + 1, x["start"] - start), x["tag"])
+
+    rest = F.substring(text, F.element_at("cuts", -1)["end"] + 1, F.length(text))
+    return private.join(cuts, "row").select("row", F.concat(F.array_join(F.transform("cuts", piece), ""), rest).alias("sanitized"))
 
 
 def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
@@ -120,33 +160,29 @@ def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     empty texts have no spans. Repeated rows count as documents each and get the same spans. Other columns are ignored.
     Base spans of different kinds may overlap; each is reported, and ``sanitized`` replaces what they cover once.
 
-    Shuffles: counts of words and of (term, entity) pairs, both combined in each task first, then the documents that have
-    term spans. A hot entity or word is a count. Only texts with base spans are stored.
+    Shuffles: matches, and the words of texts that have some, by text; counts of words and of (term, entity) pairs, both combined in each
+    task first. A hot entity or word is a count; what one task holds together is one text's matches and words. Only texts that may have
+    matches are stored.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    found = rows.select("id", "text", F.xxhash64("text").alias("text_hash"), *(base_spans(F.col("text"), k).alias(k) for k in KINDS))
-    some = sum((F.size(k) for k in KINDS[1:]), F.size(KINDS[0])) > 0
-    found = stored(found.select("id", "text_hash", *KINDS, F.when(some, F.col("text")).alias("text"), F.monotonically_increasing_id().alias("row")))
-
-    def entity(kind: str, value: Column) -> Column:
-        plain = F.lower(value) if kind == "email" else value if kind == "ip" else digits(value)
-        return F.concat(F.lit(f"{kind}:"), plain)
-
-    private = found.where("text is not null").select("row", "text", *KINDS)
-    def as_entities(kind: str) -> Column:
-        return F.transform(kind, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), entity(kind, x["value"]).alias("value")))
-
-    spans = F.concat(*map(as_entities, KINDS))
-    private = private.select("row", "text", spans.alias("base"))
-    terms = F.flatten(F.transform("base", lambda e: F.transform(
-        _context_terms(F.col("text"), F.col("base"), e),
-        lambda w: F.struct(e["value"].alias("entity"), w["value"].alias("term"), w["start"].alias("start"), w["end"].alias("end")))))
-    near = stored(private.select("row", F.array_distinct(F.transform("base", lambda e: e["value"])).alias("entities"), F.array_distinct(terms).alias("terms")))
+    text = F.col("text")
+    some = _possible(KINDS[0], text)
+    for k in KINDS[1:]:
+        some = some | _possible(k, text)
+    found = stored(rows.select("id", F.xxhash64("text").alias("text_hash"), F.when(some, text).alias("text"), F.monotonically_increasing_id().alias("row")))
+    candidates = found.where("text is not null").select("row", "text")
+    valid = F.lit(False)
+    for k in KINDS:
+        valid = F.when(F.col("kind") == k, _valid(k, F.col("value"))).otherwise(valid)
+    spans = stored(matches(candidates, F.concat(*(_steps(k, text, PATTERNS[k], _possible(k, text)) for k in KINDS))).where(valid))
+    private = candidates.join(spans.select("row").distinct(), "row", "left_semi")
+    near = stored(_beside(private, spans))
 
     total = rows.count()
-    by_entity = near.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pair = F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))
-    by_pair = near.select(F.explode(pair).alias("p")).groupBy("p.entity", "p.term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
+    entity = F.explode(_entities(F.col("kind"), F.col("value"))).alias("entity")
+    by_entity = spans.select("row", entity).distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    pairs = near.select("row", "term", F.explode("entities").alias("entity"))
+    by_pair = pairs.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
     by_pair = stored(by_pair.join(by_entity, "entity"))
     asked = stored(by_pair.select("term").distinct())
     if asked.count() <= BROADCAST_ROWS:
@@ -159,26 +195,18 @@ def find_personal_data(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     disclosing = stored(disclosing.select("entity", "term", "share"))
     if disclosing.count() <= BROADCAST_ROWS:
         disclosing = F.broadcast(disclosing)
-    hits = near.select("row", F.explode("terms").alias("t")).select("row", "t.*").join(disclosing, ["entity", "term"]) \
-        .groupBy("row", "start", "end", "term").agg(F.max("share").alias("share"))
-    per_row = hits.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.col("term").alias("value"), "share"))).alias("term"))
-    result = found.join(per_row, "row", "left").withColumn("term", F.coalesce("term", F.array().cast("array<struct<start:int,end:int,value:string,share:double>>")))
-
-    def as_tags(kind: str) -> Column:
-        return F.transform(kind, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(f"[{kind.upper()}]").alias("tag")))
-
-    tagged = F.concat(*map(as_tags, KINDS),
-                      F.transform("term", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.when(x["share"] >= remove, "").otherwise("[TERM]").alias("tag"))))
-
-    def replace(acc: Column, x: Column) -> Column:
-        gap = F.substring(F.col("text"), acc["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
-        out = F.when(x["start"] >= acc["at"], F.concat(acc["out"], gap, x["tag"])).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
-
-    clean = F.aggregate(F.array_sort(tagged), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), replace,
-                        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    return result.select(F.col("id").alias(id_col), "text_hash", *KINDS, F.transform("term", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"))).alias("term"),
-                         F.when(F.col("text").isNotNull(), clean).alias("sanitized"))
+    hits = stored(near.select("row", "start", "end", "term", F.explode("entities").alias("entity")).join(disclosing, ["entity", "term"])
+                  .groupBy("row", "start", "end", "term").agg(F.max("share").alias("share")))
+
+    base_tags = spans.select("row", "start", "end", F.concat(F.lit("["), F.upper("kind"), F.lit("]")).alias("tag"))
+    term_tags = hits.select("row", "start", "end", F.when(F.col("share") >= remove, "").otherwise("[TERM]").alias("tag"))
+    clean = _sanitized(private, base_tags.unionByName(term_tags))
+    every = spans.unionByName(hits.select("row", F.lit(TERM).alias("kind"), "start", "end", F.col("term").alias("value")))
+    of_kind = lambda k: F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("start", "end", "value"))))
+    per_row = every.groupBy("row").agg(*(of_kind(k).alias(k) for k in (*KINDS, TERM))).join(clean, "row")
+    none = F.array().cast(_SPAN)
+    result = found.select("id", "text_hash", "row").join(per_row, "row", "left")
+    return result.select(F.col("id").alias(id_col), "text_hash", *(F.coalesce(k, none).alias(k) for k in (*KINDS, TERM)), "sanitized")
 
 
 def written(kinds: tuple[str, ...]) -> Column:
