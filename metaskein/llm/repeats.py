@@ -21,12 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import ship, stored
+from .runtime import lean, ship, stored
 from .shingles import _mix, _power, chunks, few
 
 #: Bytes of an anchor gram; the rest of a window is where the anchor can lie.
 GRAM = 100
-#: Bits of an anchor that a filter looks at (broadcast, 8 MB); more bits let fewer others pass.
+#: Bits of a hash that a filter looks at (broadcast, 8 MB); more bits let fewer others pass, and any number gives the same result.
 FILTER_BITS = 26
 #: Contexts of an anchor that one task sorts; the windows of a larger group are counted by hash instead, with the same result.
 SORTED = 5_000
@@ -34,6 +34,8 @@ SORTED = 5_000
 BROADCAST_ROWS = 1_000_000
 #: Bytes of a text looked at together.
 SEGMENT = 1 << 21
+#: Texts cut together.
+TEXTS = 1_000
 
 _PLACE = np.uint64((1 << 26) - 1)
 _ALL = (1 << 64) - 1
@@ -167,8 +169,8 @@ def equal_windows(contexts: list[bytes], places: list[int], length: int) -> list
 
 
 def _bitmap(anchors: DataFrame):
-    """A broadcast set of bits, one for each anchor's first FILTER_BITS bits: of one size, however many there are."""
-    at = F.call_function("shiftrightunsigned", "anchor", F.lit(64 - FILTER_BITS))
+    """A broadcast set of bits, one for the first FILTER_BITS bits of each hash: of one size, however many there are."""
+    at = F.call_function("shiftrightunsigned", anchors.columns[0], F.lit(64 - FILTER_BITS))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
     words = anchors.groupBy(F.floor(at / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     bitmap = np.zeros(1 << FILTER_BITS - 6, np.int64)
@@ -181,12 +183,18 @@ def _in(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def _place_hash(k1: np.ndarray, k2: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A number for a place in a text, the same wherever the text is read."""
+    return _mix(k1.view(np.uint64) ^ _mix(k2.view(np.uint64) + start.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)))
+
+
 def _leaders(k1: np.ndarray, k2: np.ndarray) -> np.ndarray:
     """For each text of a batch the first equal one: copies add to counts only."""
     seen: dict[tuple[int, int], int] = {}
     return np.array([seen.setdefault(k, i) for i, k in enumerate(zip(k1.tolist(), k2.tolist(), strict=True))], np.int64)
 
 
+_STRETCHES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _INTERVALS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 
 
@@ -198,8 +206,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     are copies of each other. Cut bytes may be parts of characters. Other columns are ignored.
 
     Three passes over the texts. Shuffles: one hash for each run (about 150 bytes of text), then hashes of the contexts of runs whose
-    anchor occurs again, the contexts of anchors that have several, and lists of stretches. Equal contexts are told by 128-bit hashes and combined in each task; a group with more than ``sorted_most`` different ones
-    is not sorted in one task, its windows become hashed counts.
+    anchor occurs again, the contexts of anchors that have several, and lists of stretches. Equal contexts are told by 128-bit hashes and
+    combined in each task; of all runs with one context only the run of least place hash sends it. A group with more than ``sorted_most``
+    different ones is not sorted in one task, its windows become hashed counts.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -212,7 +221,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 h, n = np.unique(h, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["anchor", "n"])
 
-    again = rows.select("text").mapInArrow(anchors, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
+    again = rows.select("text").mapInArrow(lean(anchors), "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
     again = _bitmap(again)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,23 +235,25 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 names = [xxhash.xxh3_128_digest(raw[a:z]) for a, z in zip(first[some].tolist(), ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k1[row[some]]), pa.array(k2[row[some]]), pa.array(start[some], pa.int64()), pa.array(h[some].view(np.int64)), pa.array(names, pa.binary()),
-                     pa.array(copies[row[some]], pa.int64()), pa.array(ends - first[some], pa.int32())],
-                    names=["k1", "k2", "start", "anchor", "name", "n", "bytes"])
+                     pa.array(copies[row[some]], pa.int64()), pa.array(ends - first[some], pa.int32()),
+                     pa.array(_place_hash(k1[row[some]], k2[row[some]], start[some]).view(np.int64))],
+                    names=["k1", "k2", "start", "anchor", "name", "n", "bytes", "sender"])
 
     texts = rows.select("text", "k1", "k2")
-    runs = stored(texts.mapInArrow(candidates, "k1 long, k2 long, start long, anchor long, name binary, n long, bytes int"))
+    runs = stored(texts.mapInArrow(lean(candidates), "k1 long, k2 long, start long, anchor long, name binary, n long, bytes int, sender long"))
 
-    counts = stored(runs.groupBy("anchor", "name").agg(F.sum("n").alias("n")))
+    counts = stored(runs.groupBy("anchor", "name").agg(F.sum("n").alias("n"), F.min("sender").alias("sender")))
     size = stored(counts.groupBy("anchor").agg(F.count("*").alias("different")).where("different > 1"))
     whole = counts.where("n > 1").select("name", F.lit(None).cast("array<struct<first:int,last:int>>").alias("windows"))
-    several = _bitmap(size)
+    several = _bitmap(counts.join(size, "anchor").select("sender"))
 
     def differing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leader = _leaders(batch.column(1).to_numpy(), batch.column(2).to_numpy())
+            k1, k2 = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            leader = _leaders(k1, k2)
             shown: set[bytes] = set()
-            for row, _, first, last, place, h, data in _runs(batch.column(0), length, gram):
-                some = np.flatnonzero(_in(several.value, h) & (leader[row] == row))
+            for row, start, first, last, place, h, data in _runs(batch.column(0), length, gram):
+                some = np.flatnonzero(_in(several.value, _place_hash(k1[row], k2[row], start)) & _in(again.value, h) & (leader[row] == row))
                 raw, out = memoryview(data), []
                 for a, z, p, anchor in zip(first[some].tolist(), (last[some] + length).tolist(), (place[some] - first[some]).tolist(), h[some].view(np.int64).tolist(), strict=True):
                     name = xxhash.xxh3_128_digest(raw[a:z])
@@ -252,7 +263,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 kinds = (pa.int64(), pa.binary(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=["anchor", "name", "place", "context"])
 
-    shown = texts.mapInArrow(differing, "anchor long, name binary, place int, context binary")
+    shown = texts.mapInArrow(lean(differing), "anchor long, name binary, place int, context binary")
     large = stored(size.where(F.col("different") > sorted_most).select("anchor"))
     any_large = not large.isEmpty()
     small = shown.join(few(large), "anchor", "left_anti") if any_large else shown
@@ -282,7 +293,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         out.extend(settle(names, places, contexts))
         yield batch_of(out)
 
-    partly = small.mapInArrow(sort_groups, "name binary, windows array<struct<first:int,last:int>>")
+    partly = small.mapInArrow(lean(sort_groups), "name binary, windows array<struct<first:int,last:int>>")
 
     def hash_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,46 +306,56 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     if any_large:
         big = shown.join(few(large), "anchor", "left_semi").select("name", "context").dropDuplicates(["name"])
-        hashed = stored(big.mapInArrow(hash_windows, "name binary, first int, window binary"))
+        hashed = stored(big.mapInArrow(lean(hash_windows), "name binary, first int, window binary"))
         twice = stored(hashed.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"))
         hits = hashed.join(twice, "window").groupBy("name").agg(F.transform(F.array_sort(F.collect_list("first")), lambda t: F.struct(t.alias("first"), t.alias("last"))).alias("windows"))
         partly = partly.union(hits)
 
     # A context that occurs twice goes as a whole; else the windows that other contexts have.
     settled = stored(partly.union(whole).groupBy("name").agg(F.max(F.col("windows").isNull()).alias("whole"), F.first("windows", ignorenulls=True).alias("windows")))
-    hit = runs.select("k1", "k2", "start", "name", "bytes").distinct().join(settled, "name")
+    hit = runs.select("k1", "k2", "start", "name", "bytes").join(settled, "name")
     windows = F.when(F.col("whole"), F.array(F.struct(F.lit(0).alias("first"), (F.col("bytes") - length).alias("last")))).otherwise(F.col("windows"))
     stretches = F.transform(windows, lambda w: F.struct((F.col("start") + w["first"]).alias("start"), (F.col("start") + w["last"] + length).alias("end")))
-    removed = stored(hit.groupBy("k1", "k2").agg(F.array_sort(F.flatten(F.collect_list(stretches))).alias("stretches"))
-                     .select("k1", "k2", _merged(F.col("stretches")).alias("removed")))
-    if (removed.agg(F.sum(F.size("removed") + 2)).first()[0] or 0) <= BROADCAST_ROWS:
+    # Copies of a text in several batches have the same stretches.
+    removed = hit.groupBy("k1", "k2").agg(F.flatten(F.collect_set(stretches)).alias("stretches"))
+    removed = stored(removed.mapInArrow(lean(_merge_rows), "k1 long, k2 long, stretches array<struct<start:bigint,end:bigint>>"))
+    if (removed.agg(F.sum(F.size("stretches") + 2)).first()[0] or 0) <= BROADCAST_ROWS:
         removed = F.broadcast(removed)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for text, gone in zip(batch.column(1), batch.column(2), strict=True):
-                raw, at, parts = text.as_py().encode("utf-8", "surrogatepass"), 0, []
-                for x in gone.as_py() or ():
-                    parts.append(raw[at:x["start"]])
-                    at = x["end"]
-                kept.append(b"".join([*parts, raw[at:]]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x.as_py().encode("utf-8", "surrogatepass")) for x in batch.column(1)], pa.int64()), batch.column(2), pa.array(kept, pa.binary())],
-                                             names=["id", "n_bytes", "removed", "kept"])
-
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    joined = rows.join(removed, ["k1", "k2"], "left").select("id", "text", F.coalesce("removed", none).alias("removed"))
+        for whole in batches:
+            for at in range(0, whole.num_rows, TEXTS):
+                batch = whole.slice(at, TEXTS)
+                kept, removed, sizes = [], [], []
+                for text, stretches in zip(batch.column(1), batch.column(2), strict=True):
+                    raw, end, parts = text.as_py().encode("utf-8", "surrogatepass"), 0, []
+                    gone = [(x["start"], x["end"]) for x in stretches.as_py() or ()]
+                    for a, z in gone:
+                        parts.append(raw[end:a])
+                        end = z
+                    kept.append(b"".join([*parts, raw[end:]]))
+                    removed.append([{"start": a, "end": z} for a, z in gone])
+                    sizes.append(len(raw))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, _STRETCHES), pa.array(kept, pa.binary())],
+                                                 names=["id", "n_bytes", "removed", "kept"])
+
+    joined = rows.join(removed, ["k1", "k2"], "left").select("id", "text", "stretches")
     kind = rows.schema["id"].dataType.simpleString()
-    return joined.mapInArrow(cut, f"id {kind}, n_bytes long, removed array<struct<start:bigint,end:bigint>>, kept binary").withColumnRenamed("id", id_col)
+    return joined.mapInArrow(lean(cut), f"id {kind}, n_bytes long, removed array<struct<start:bigint,end:bigint>>, kept binary").withColumnRenamed("id", id_col)
 
 
-def _merged(spans):
-    """Sorted (start, end) spans with overlapping and touching ones joined."""
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
+def _merge_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lists = [[{"start": a, "end": z} for a, z in merged([(x["start"], x["end"]) for x in found.as_py()])] for found in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(lists, _STRETCHES)], names=["k1", "k2", "stretches"])
 
-    def add(acc, x):
-        last = F.element_at(acc, -1)
-        joined = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"))))
-        return F.when((F.size(acc) > 0) & (x["start"] <= F.when(F.size(acc) > 0, last["end"])), joined).otherwise(F.concat(acc, F.array(x)))
 
-    return F.aggregate(spans, empty, add)
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, overlapping and touching ones joined."""
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], z))
+        else:
+            out.append((a, z))
+    return out
