@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import held, ship
+from .runtime import held, lean, ship
 
 #: Benchmark bytes in one automaton (about ten nodes a word). A larger benchmark gets several automata, one after the other.
 BLOCK_BYTES = 2_000_000
@@ -104,7 +104,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_
         pairs = sorted({(r.item, r.words) for r in part.collect()})  # bounded: block_bytes
         key = hashlib.sha256(repr((window, pairs)).encode("utf-8", "surrogatepass")).hexdigest()
         rows = rows.mapInArrow(
-            _pass(spark.sparkContext.broadcast(pairs), key, window, block == blocks - 1, keep_text),
+            lean(_pass(spark.sparkContext.broadcast(pairs), key, window, block == blocks - 1, keep_text)),
             f"id {kind}, n_words long, n_hit long, items array<string>, spans {intervals}" + ", text string" * keep_text if block == blocks - 1
             else f"id {kind}, text string, hits {intervals}, items array<string>")
     return rows.withColumnRenamed("id", id_col)

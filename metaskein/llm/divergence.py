@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import ship, stored
+from .runtime import lean, ship, stored
 
 #: Bytes of distinct terms a task counts before it sends them. Bounds memory only.
 TERM_BYTES = 16_000_000
@@ -98,7 +98,7 @@ def term_counts(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lan
         yield from counts.sent()
 
     plain = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))]
-    return docs.select(plain).mapInArrow(run, _COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return docs.select(plain).mapInArrow(lean(run), _COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import ship, stored
+from .runtime import lean, ship, stored
 
 #: Features a task remembers the buckets of; at this many it starts afresh. Bounds memory only.
 CACHE_FEATURES = 300_000
@@ -115,7 +115,7 @@ def bucket_counts(texts: DataFrame, buckets: int, words: int, *, text_col: str =
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], names=["bucket", "n"])
 
-    found = texts.select(F.col(text_col).cast("string")).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = texts.select(F.col(text_col).cast("string")).mapInArrow(lean(run), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(buckets, np.int64)
     out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return out
@@ -163,7 +163,7 @@ def resample(docs: DataFrame, target: DataFrame, *, id_col: str = "doc_id", text
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    weighed = rows.mapInArrow(run, f"id {kind}, n_features long, weight long, n_words long")
+    weighed = rows.mapInArrow(lean(run), f"id {kind}, n_features long, weight long, n_words long")
     weighed = stored(weighed.withColumn("score", F.col("weight") + _gumbel(F.col("id"), seed)))
 
     able = F.col("n_words") >= least_words

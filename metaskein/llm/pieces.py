@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import held, ship
+from .runtime import held, lean, ship
 
 #: Runs and pairs of neighbours a worker remembers; at this many it starts afresh. Bounds memory only.
-CACHE_RUNS, CACHE_PAIRS = 300_000, 300_000
+CACHE_RUNS, CACHE_PAIRS = 150_000, 150_000
 #: Longer runs are not remembered, so that the cache is bounded in bytes too.
 CACHE_CHARS = 64
 #: Texts encoded together.
@@ -252,4 +252,4 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, *, id_col: str = "doc_id", t
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary, decoded string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(lean(run), f"id {kind}, n_tokens long, ids binary, decoded string").withColumnRenamed("id", id_col)

@@ -61,7 +61,17 @@ def held(kind: str, key: Hashable, make: Callable[[], Any], most: int = 1) -> An
 
 def give_up() -> None:
     """Frees the models that earlier stages left in this worker."""
-    _held.clear()
+    if _held:
+        _held.clear()
+        _give_back()
+
+
+def _give_back() -> None:
+    """Returns freed memory to the system, where its library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -70,10 +80,7 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim is not None:
-                trim(0)
+            _give_back()
     return wrapped
 
 

@@ -13,21 +13,33 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; a null text or one without a letter is rejected."""
+    """Documents whose language can be told; a null text or one without a letter is rejected.
+
+    Where ``lang`` is null it becomes the language found; a given label stays. Repeated rows stay, each judged by its text alone, and
+    equal scores go to the language first by name. Columns other than those of documents are dropped, whatever their names. Empty tables stay empty.
+    """
     docs = docs.select(COLUMNS)
     samples = language.sample(docs.where(~language.held_out("doc_id")))
-    return language.identify(docs, samples).where(F.col("lang_pred") != language.UNKNOWN).select(COLUMNS)
+    found = language.identify(docs, samples).where(F.col("lang_pred") != language.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs.
+
+    Null and empty texts have no words and stay; so do repeated rows, null ids and all rows where the benchmark is empty. Very long texts are
+    scanned whole. Columns other than those of documents are dropped, whatever their names.
+    """
     rest = F.struct([c for c in COLUMNS if c != "text"]).alias("row")  # the text passes through Python once
     found = decontamination.find_contamination(docs.select(rest, "text"), table(spark, sf_dir, "benchmark"), id_col="row", keep_text=True)
     return found.where(F.col("n_hit") == 0).select("row.*", "text").select(COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text; ``exact`` says that decoding gives back its bytes."""
+    """Token ids of each text; ``exact`` says that decoding gives back its bytes.
+
+    One row per row, repeated ones and null ids included; null and empty texts have no ids. Columns other than those named are dropped.
+    """
     ranks, pattern = queries.vocabulary()
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest")
     coded = tokenizing.encode(docs.select(F.struct("doc_id", "lang", "source", digest).alias("row"), "text"), ranks, pattern, id_col="row")

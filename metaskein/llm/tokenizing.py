@@ -12,7 +12,6 @@ all of them, and a step merges the leftmost position of each pre-token at once.
 from __future__ import annotations
 
 import base64
-import hashlib
 import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
@@ -23,15 +22,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import held, ship
+from .runtime import give_up, lean, ship
 
 #: Pre-tokens a worker remembers; at this many it starts afresh. Bounds memory only.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 #: Longer pre-tokens have a queue of their own and are not remembered, so that the cache is bounded in bytes too.
 SHARED_BYTES = 64
-#: Texts encoded together.
-TEXTS = 512
-
+#: Texts encoded together, and pre-tokens in one queue.
+TEXTS, QUEUE_WORDS = 512, 16_000
 
 
 class Coder:
@@ -40,16 +38,27 @@ class Coder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         # White space as Unicode defines it, which leaves out the separators U+001C to U+001F.
-        self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
-                                   .replace(r"\S", r"\P{White_Space}")).findall
-        self.tokens = {i: b for b, i in ranks.items()}
-        self.cache = _Packed(self)
+        self.pattern = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+        self._prepare()
         found = {(ranks[t[:k]] << 32 | ranks[t[k:]]): i for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
         found = sorted(found.items())
         self.pair_keys = np.array([k for k, _ in found], np.int64)
         self.pair_ranks = np.array([r for _, r in found], np.int64)
         self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
 
+    def _prepare(self) -> None:
+        """What is not sent from the driver to workers."""
+        self.split = regex.compile(self.pattern).findall
+        self.tokens = {i: b for b, i in self.ranks.items()}
+        self.cache = _Packed(self)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("split", "tokens", "cache")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._prepare()
+
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge ranks of token pairs; -1: none."""
         keys = left << 32 | right
@@ -147,9 +156,11 @@ class Coder:
         new = [w for w in words if w not in self.cache]
         raw = [w.encode() for w in new]
         short = [(w, r) for w, r in zip(new, raw, strict=True) if len(r) <= SHARED_BYTES]
-        for (w, r), ids in zip(short, self.merge_many([r for _, r in short]), strict=True):
-            whole = self.ranks.get(r)
-            self.cache[w] = struct.pack("<I", whole) if whole is not None else ids.astype("<u4").tobytes()
+        for at in range(0, len(short), QUEUE_WORDS):
+            part = short[at:at + QUEUE_WORDS]
+            for (w, r), ids in zip(part, self.merge_many([r for _, r in part]), strict=True):
+                whole = self.ranks.get(r)
+                self.cache[w] = struct.pack("<I", whole) if whole is not None else ids.astype("<u4").tobytes()
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token. The queue is local variables, since a call for each step would cost more than the step."""
@@ -251,10 +262,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-def _coder(key: str, ranks: dict[bytes, int], pattern: str) -> Coder:
-    return held("bpe", (key, pattern), lambda: Coder(ranks, pattern))
-
-
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """Encode every whole text, decode the ids again, and give both.
@@ -266,11 +273,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
     """
     spark = docs.sparkSession
     ship(spark)
-    key = hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
-    shared = spark.sparkContext.broadcast(ranks)
+    shared = spark.sparkContext.broadcast(Coder(ranks, pattern))  # made once, on the driver
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(key, shared.value, pattern)
+        give_up()
+        coder = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):  # the ids of a whole batch would be several times its text
                 part = batch.slice(at, TEXTS)
@@ -282,4 +289,4 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary, decoded binary").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(lean(run), f"id {kind}, n_tokens long, ids binary, decoded binary").withColumnRenamed("id", id_col)
