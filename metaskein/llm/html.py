@@ -1,8 +1,9 @@
 """Main text of web pages by composite text density.
 
-Every block and link of the parsed page is a node and gets its characters per tag, weighed by how much of it is link text. The node whose
+Every element of the parsed page is a node and gets its characters per tag, weighed by how much of it is link text. The node whose
 children's densities have the largest sum holds the article. The lowest density on the way from it up to the body is the
-threshold at which other subtrees count as content too. Parts that are no article by their kind or name are cut before.
+threshold at which other subtrees count as content too; within the article that the node is part of, all text does that is not mostly links.
+Parts that are no article by their kind are cut before. So are parts with a telling name, unless the page's text is mostly theirs.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import ship
+from .runtime import lean, ship
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -28,8 +29,13 @@ CUT = frozenset("nav footer aside form button select dialog menu svg math canvas
 LANDMARKS = frozenset("html body main article".split())
 NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
-    "popup modal newsletter subscribe sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments respond replies "
-    "disqus share sharing social related recommended widget toolbar pagination pager login signup search skip".split())
+    "popup modal newsletter subscribe sidebar menu nav navbar navigation breadcrumb breadcrumbs footer "
+    "share sharing social related recommended widget toolbar pagination pager login signup search skip".split())
+READERS = frozenset("comment comments respond replies disqus".split())
+#: What cuts an element: its kind, a name, or a name of readers' comments.
+KIND, NAMED, COMMENTS = 1, 2, 3
+#: Elements that a wrapper of the whole page has and a list of comments has not.
+HEADS = frozenset("article main h1".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Start tags that end an open element of these kinds, up to the limits after the bar.
 ENDS = {
@@ -44,40 +50,43 @@ _named = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "first", "last", "cut", "gone", "density", "total")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "first", "last", "cut", "gone", "density", "total", "head")
 
-    def __init__(self, tag: str, parent: Node | None, first: int, cut: bool):
+    def __init__(self, tag: str, parent: Node | None, first: int, cut: int):
         self.tag, self.parent, self.first, self.cut = tag, parent, first, cut
         self.children: list[Node] = []
         self.gone: list[tuple[int, int]] = []  # piece ranges of cut children
         self.chars = self.tags = self.link_chars = self.link_tags = self.last = 0
         self.density = self.total = 0.0
+        self.head = tag in HEADS
 
 
-def _is_cut(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is no part of an article; ``inside``: within an article or main element."""
+def _cut_by(tag: str, attributes: str, inside: bool) -> int:
+    """What says that an element is no part of an article, or 0; ``inside``: within an article or main element."""
     if tag in LANDMARKS:
-        return False
+        return 0
     if tag in CUT or tag in RAW or tag == "header" and not inside:
-        return True
-    if not attributes:
-        return False
-    for m in _named.finditer(attributes):
+        return KIND
+    found = 0
+    for m in _named.finditer(attributes) if attributes else ():
         value = (m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
             if value.strip() in ROLES:
-                return True
+                return KIND
             continue
         for name in value.split():
             pieces = re.split(r"[-_]", name)
-            if name in NAMES or pieces[0] in NAMES or pieces[-1] in NAMES and pieces[0] not in ("has", "with", "no", "without"):
-                return True
-    return False
+            last = pieces[-1] if pieces[0] not in ("has", "with", "no", "without") else ""
+            if not READERS.isdisjoint((name, pieces[0], last)):
+                found = COMMENTS
+            elif not found and not NAMES.isdisjoint((name, pieces[0], last)):
+                found = NAMED
+    return found
 
 
 def parse(page: str) -> tuple[Node, list[str | None]]:
     """The tree, and the page's pieces in order: text, or None at a block's edge. Nodes know their range of pieces."""
-    root = Node("#", None, 0, False)
+    root = Node("#", None, 0, 0)
     pieces: list[str | None] = []
     stack = [root]
     at = 0
@@ -118,6 +127,8 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
                 if stack[k].tag == tag:
                     close(k)
                     break
+                if tag not in BLOCK and tag != "a" and stack[k].tag in BLOCK:
+                    break  # emphasis that began outside of the block
             continue
         if tag == "br":
             pieces.append(" ")
@@ -144,10 +155,7 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
         if tag in VOID:
             stack[-1].tags += 1
             continue
-        cut = _is_cut(tag, m[3], inside > 0)
-        if tag != "a" and tag not in BLOCK and not cut:
-            continue  # emphasis and the like are part of their block, not nodes of their own
-        node = Node(tag, stack[-1], len(pieces), cut)
+        node = Node(tag, stack[-1], len(pieces), _cut_by(tag, m[3], inside > 0))
         stack[-1].children.append(node)
         stack.append(node)
         in_link += tag == "a"
@@ -159,15 +167,66 @@ def parse(page: str) -> tuple[Node, list[str | None]]:
     return root, pieces
 
 
-def _weigh(root: Node) -> list[Node]:
-    """Sums and densities of all nodes, cut ones left out; gives the nodes, parents first."""
+def _spare(nodes: list[Node]) -> None:
+    """Takes back the cuts by name of what holds the page's text: a name tells less than where the text is.
+
+    A named part is spared if it has more than half of the text in several blocks, or nearly all of it, and few links, unless the page has an
+    article or main element outside of it. A name of readers' comments needs nearly all text and a heading, article or main element inside.
+    """
+    def masses(left_out: tuple[int, ...]) -> dict[int, tuple[int, int, int]]:
+        """Characters of each node, those of its links, and its blocks, without the parts that are cut so."""
+        out: dict[int, tuple[int, int, int]] = {}
+        for x in reversed(nodes):
+            inner = [out[id(c)] for c in x.children if c.cut not in left_out]
+            own = (x.chars, x.link_chars, x.tag in BLOCK)
+            out[id(x)] = tuple(a + sum(m[k] for m in inner) for k, a in enumerate(own))
+        return out
+
+    named = [x for x in nodes if x.cut > KIND]
+    if not named:
+        return
+    for x in reversed(nodes):
+        x.head = x.head or any(c.head for c in x.children)
+    mass = masses((KIND,))
+    page = mass[id(nodes[0])][0]
+    for x in named:
+        if x.cut == COMMENTS and x.head and mass[id(x)][0] * 10 >= page * 9:
+            x.cut = 0
+    mass = masses((KIND, COMMENTS))
+    page = mass[id(nodes[0])][0]
+    marked = [x for x in nodes if x.tag in ("article", "main") and mass[id(x)][0] and not _inside(x, KIND)]
+    for x in named:
+        chars, links, blocks = mass[id(x)]
+        if x.cut == NAMED and links * 2 < chars and (chars * 10 >= page * 9 or chars * 2 > page and blocks > 3) \
+                and all(x.first <= m.first and m.last <= x.last for m in marked):
+            x.cut = 0
+
+
+def _inside(x: Node, cut: int) -> bool:
+    while x.parent is not None:
+        if x.cut == cut:
+            return True
+        x = x.parent
+    return False
+
+
+def _in_order(root: Node) -> list[Node]:
     nodes, todo = [], [root]
     while todo:
         node = todo.pop()
         nodes.append(node)
+        todo.extend(reversed(node.children))
+    return nodes
+
+
+def _weigh(root: Node) -> list[Node]:
+    """Sums and densities of all nodes, cut ones left out; gives the nodes, parents first."""
+    nodes = _in_order(root)
+    _spare(nodes)
+    for node in nodes:
         node.gone = [(c.first, c.last) for c in node.children if c.cut]
         node.children = [c for c in node.children if not c.cut]
-        todo.extend(reversed(node.children))
+    nodes = _in_order(root)
     for node in reversed(nodes):
         for c in node.children:
             node.chars += c.chars
@@ -194,25 +253,30 @@ def main_text(page: str | None) -> str:
     nodes = _weigh(root)
     if not root.chars:
         return ""
-    best = max(nodes, key=lambda x: x.total)  # of equals the one nearest the root
+    blocks = [x for x in nodes if x.tag in BLOCK or x is root]  # emphasis and links weigh, but an article is made of blocks
+    best = max(blocks, key=lambda x: x.total)  # of equals the one nearest the root
     if best.total == 0:
-        best = max((x for x in nodes if not x.children), key=lambda x: x.density)
-    threshold, node = best.density, best
+        best = max(blocks, key=lambda x: (x.density, not x.children))
+    threshold, node, path = best.density, best, [best]
     while node.tag != "body" and node.parent:
         node = node.parent
+        path.append(node)
         threshold = min(threshold, node.density)
-    # Elsewhere, subtrees as dense as the way to the article; loose text of the nodes above it does not count.
-    chosen, todo = [best], [node]
-    above = set()
-    x = best
-    while x is not node:
-        x = x.parent
-        above.add(id(x))
+    # The article that the node is part of: the nearest element that says so, or else what directly holds the node.
+    whole = next((x for x in path if x.tag == "article"), None) or next((x for x in path if x.tag == "main"), None)
+    if whole is None:
+        whole = best.parent if best.parent is not None and best is not node and best.parent is not node and best.parent.tag in BLOCK else best
+    plain = lambda x: x.link_chars * 2 < x.chars
+    chosen, todo, above = [best], [node], {id(x) for x in path[1:]}
+    within = {id(x) for x in path[:path.index(whole) + 1]}
     while todo:
         x = todo.pop()
         if id(x) in above:
-            todo.extend(x.children)
-        elif x is not best and x.density >= threshold and x.total >= best.total / 2:
+            # Loose text of an article's own belongs to it; that of the nodes above does not.
+            chosen.extend(c for c in x.children if id(c) not in above and c is not best and id(x) in within
+                          and (plain(c) if whole.tag == "article" else plain(c) and c.density >= threshold) and c.tag in BLOCK)
+            todo.extend(c for c in x.children if id(x) not in within or id(c) in above)
+        elif x is not best and x.tag in BLOCK and x.density >= threshold and x.total >= best.total / 2:
             chosen.append(x)
     parts = []
     for x in sorted(chosen, key=lambda x: x.first):
@@ -264,4 +328,4 @@ def extract(pages: DataFrame, *, id_cols: tuple[str, ...] = ("page_id", "url"),
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              names=[*batch.schema.names[:-1], "text", "n_chars"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
