@@ -8,6 +8,7 @@ turns, their roles and their texts are. All layouts end as the same canonical tu
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from dataclasses import dataclass
 
@@ -51,6 +52,19 @@ def paths(schema: T.DataType, at: str = "") -> list[str]:
     return [at]
 
 
+def paths_hash(names: list[str]) -> str:
+    return hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest()
+
+
+def _paths_of(mapping: Mapping) -> list[str]:
+    """Nested field paths of a mapping's example."""
+    def walk(value, at: str) -> list[str]:
+        if isinstance(value, dict):
+            return [p for k, v in value.items() for p in walk(v, f"{at}.{k}" if at else k)]
+        return walk(value[0], at + "[]") if isinstance(value, list) else [at]
+    return walk(json.loads(mapping.example), "")
+
+
 def fingerprint(record: Column) -> Column:
     """Hash over the nested field names of a JSON record, whatever their order, values and scalar types; null if it is no JSON."""
     shape = F.schema_of_variant(F.try_parse_json(record))
@@ -62,8 +76,11 @@ def canonical(records: DataFrame, *, id_col: str = "id", record_col: str = "reco
     """Turns of JSON records of mixed layouts: ``id_col``, ``layout`` string (null if no mapping has its fingerprint), ``turns``.
 
     One row per record. Unknown layouts, null and malformed records have null turns, to be looked at, not lost. Null texts are
-    empty. Other columns are ignored. No shuffle; a mapping is chosen by comparing two longs.
+    empty. Other columns are ignored. No shuffle; a mapping is chosen by comparing two longs. Records that are nested columns instead of
+    JSON text have one layout, which is chosen by the hash over the field paths of their type.
     """
+    if not isinstance(records.schema[record_col].dataType, T.StringType):
+        return _canonical_columns(records, id_col, record_col, mappings)
     rows = records.select(F.col(id_col).alias("id"), F.col(record_col).cast("string").alias("record"))
     rows = rows.withColumn("print", fingerprint(F.col("record")))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
@@ -88,34 +105,51 @@ def _turn(role: str, text: str):
     return build
 
 
-def paths_hash(names: list[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest()
+def _canonical_columns(records: DataFrame, id_col: str, record_col: str, mappings: dict[str, Mapping]) -> DataFrame:
+    by_hash = {paths_hash(_paths_of(m)): name for name, m in mappings.items()}
+    name = by_hash.get(paths_hash(paths(records.schema[record_col].dataType)))
+    turns = F.lit(None).cast(TURNS)
+    if name is not None:
+        m = mappings[name]
+        at = lambda path: F.col(f"{record_col}.{path.removeprefix('$.')}")
+        turns = F.transform(at(m.turns), _turn(m.role, m.text)) if m.turns else \
+            F.array(*(F.struct(F.lit(role).alias("role"), F.coalesce(at(path).cast("string"), F.lit("")).alias("text")) for role, path in m.fields))
+    return records.select(id_col, F.lit(name).alias("layout"), turns.alias("turns"))
 
 
-#: Tables that hold one row a turn: (conversation, order, role, text) columns, by the hash over their field paths.
-ROW_LAYOUTS = {paths_hash(list(m)): m for m in (
+#: Tables that hold one row a turn, by the hash over the field paths that they use: conversation, order, and the turn's fields.
+ROW_LAYOUTS = {paths_hash([conv, order, *fields]): (conv, order, fields) for conv, order, *fields in (
     ("conv_id", "turn", "role", "text"),
     ("conversation_id", "position", "role", "content"),
+    ("conversation_id", "position", "from", "value"),
 )}
+#: What a record made of such rows calls its list of turns, by the turn's fields: the layout of a mapping.
+LISTS = {"text": "turns", "content": "messages", "value": "conversations"}
 
 
-def grouped(turn_rows: DataFrame) -> DataFrame:
-    """Conversations (``conv_id``, ``turns``) of a table with a row for each turn, recognised by its columns.
+def records_of(turn_rows: DataFrame) -> DataFrame:
+    """Records (``conv_id``, ``record``) of a table with a row for each turn, recognised by its columns: nested columns of one known layout.
 
     The hash is over those of the table's field paths that any known layout uses; further columns are ignored. Rows are ordered by turn, and equal
-    turns by role and text; repeated rows stay. Null roles and texts are empty. Rows without a conversation id form one. A conversation is
-    one row of the result, as its formatted text has to be; rows are collected before they are sorted, by hash of the conversation.
+    turns by role and text; repeated rows stay. Null roles and texts are empty. A row without a conversation id is a
+    conversation of its own. A conversation is one row of the result, as its formatted text has to be; rows are collected before
+    they are sorted, by hash of the conversation.
     """
-    used = {name for layout in ROW_LAYOUTS.values() for name in layout}
-    have = [p for p in paths(turn_rows.schema) if p in used]
-    layout = ROW_LAYOUTS.get(paths_hash(have)) or next((m for m in ROW_LAYOUTS.values() if set(m) <= set(have)), None)
+    used = {name for conv, order, fields in ROW_LAYOUTS.values() for name in (conv, order, *fields)}
+    layout = ROW_LAYOUTS.get(paths_hash([p for p in paths(turn_rows.schema) if p in used]))
     if layout is None:
-        raise ValueError(f"no layout for columns {have}")
-    conv, order, role, text = layout
-    rows = turn_rows.select(F.col(conv).alias("conv_id"), F.struct(F.col(order).alias("turn"), F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
-                                                                   F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).alias("t"))
-    turns = F.transform(F.array_sort(F.collect_list("t")), lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text")))
-    return rows.groupBy("conv_id").agg(turns.alias("turns"))
+        raise ValueError(f"no layout for columns {turn_rows.columns}")
+    conv, order, (role, text) = layout
+    plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    alone = F.when(F.col(conv).isNull(), F.monotonically_increasing_id())
+    rows = turn_rows.select(F.col(conv).alias("conv_id"), alone.alias("alone"), F.struct(F.col(order).alias("_order"), plain(role), plain(text)).alias("t"))
+    turns = F.transform(F.array_sort(F.collect_list("t")), lambda x: F.struct(x[role].alias(role), x[text].alias(text)))
+    return rows.groupBy("conv_id", "alone").agg(F.struct(turns.alias(LISTS[text])).alias("record")).drop("alone")
+
+
+def grouped(turn_rows: DataFrame) -> DataFrame:
+    """Conversations (``conv_id``, ``turns``) of a table with a row for each turn: its records, mapped by their fingerprint."""
+    return canonical(records_of(turn_rows), id_col="conv_id").select("conv_id", "turns")
 
 
 # The template. Every control string begins with "<|", and no "<" of a role or text is left as it is.

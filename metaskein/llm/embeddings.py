@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected
-from .runtime import ship, stored
+from .runtime import lean, ship, stored
 
 #: Vectors the axes are fitted on, chosen by hash. The axes change the speed only.
 SAMPLE = 4096
@@ -29,8 +29,8 @@ SIDE, TILE = 8192, 1024
 FIRST, NEXT = 16, 32
 #: Rounding allowance of the bounds, which are single precision.
 MARGIN = 1e-4
-#: Different lengths of vectors in one table; vectors of different lengths do not link. More is an error.
-MAX_LENGTHS = 16
+#: Products this near the threshold are computed once more by one rule, whatever way they came about.
+ROUNDING = 1e-9
 
 
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,15 +104,16 @@ def compare(x: np.ndarray, y: np.ndarray | None, axes: np.ndarray, wx: np.ndarra
             n = np.count_nonzero(near)
             if not n:
                 continue
-            if n > near.size // 16:
-                mask = z[rows] @ z[columns].T >= threshold
+            mask = np.zeros(near.shape, bool)
+            if n > near.size // 16:  # one product of matrices is cheaper than many of vectors
+                product = z[rows] @ z[columns].T
+                mask = product >= threshold
+                i, j = np.nonzero(np.abs(product - threshold) <= ROUNDING)
             else:
                 i, j = np.nonzero(near)
                 open_ = np.einsum("ij,ij->i", bound[1][rows][i], bound[1][columns][j]) >= threshold - MARGIN
                 i, j = i[open_], j[open_]
-                linked = np.einsum("ij,ij->i", z[rows][i], z[columns][j]) >= threshold
-                mask = np.zeros(near.shape, bool)
-                mask[i[linked], j[linked]] = True
+            mask[i, j] = np.einsum("ij,ij->i", z[rows][i], z[columns][j]) >= threshold
             if one and r == c:
                 np.fill_diagonal(mask, False)
             if mask.any():
@@ -146,7 +147,7 @@ def _links(nodes: DataFrame, length: int, threshold: float) -> DataFrame:
             jitter = np.array([xxhash.xxh3_64_intdigest(x.as_py()) for x in units], np.float64) / 2 ** 64 * 1e-9
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place + jitter)], names=["node", "weight", "unit", "place"])
 
-    placed = stored(nodes.select("node", "weight", "unit").mapInArrow(project, "node long, weight long, unit binary, place double"))
+    placed = stored(nodes.select("node", "weight", "unit").mapInArrow(lean(project), "node long, weight long, unit binary, place double"))
     n = placed.count()
     sides = max(1, -(-n // SIDE))
     cuts = placed.approxQuantile("place", [k / sides for k in range(1, sides)], 0.1 / sides) if sides > 1 else []
@@ -190,12 +191,10 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     ship(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     kind = rows.schema["id"].dataType.simpleString()
-    rows = stored(rows.mapInArrow(_unit, f"id {kind}, key binary, length int, unit binary").withColumn("row", F.monotonically_increasing_id()))
+    rows = stored(rows.mapInArrow(lean(_unit), f"id {kind}, key binary, length int, unit binary").withColumn("row", F.monotonically_increasing_id()))
     nodes = rows.where("key is not null").groupBy("key", "length").agg(F.min("row").alias("node"), F.min("id").alias("low"), F.count("*").alias("weight"), F.first("unit").alias("unit"))
     nodes = stored(nodes)
-    lengths = [r.length for r in nodes.select("length").distinct().limit(MAX_LENGTHS + 1).collect()]
-    if len(lengths) > MAX_LENGTHS:
-        raise ValueError("too many different vector lengths")
+    lengths = sorted(r.length for r in nodes.select("length").distinct().collect())  # each is compared on its own
     found = [_links(nodes, length, threshold) for length in lengths]
     if not found:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
