@@ -23,7 +23,7 @@ _held: dict[tuple[str, Hashable], Any] = {}
 
 
 #: Bytes of text that a task and its worker pass each other at once, and the session setting that says so.
-BATCH_BYTES, BATCH_SETTING = 16 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES, BATCH_SETTING = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .runtime import give_up, lean, ship
 
 #: Pre-tokens a worker remembers; at this many it starts afresh. Bounds memory only.
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 100_000
 #: Longer pre-tokens have a queue of their own and are not remembered, so that the cache is bounded in bytes too.
 SHARED_BYTES = 64
 #: Texts encoded together, and pre-tokens in one queue.
