@@ -53,7 +53,8 @@ def diff_json(feed: DataFrame, chunk: int = 1000) -> DataFrame:
     """The feed as JSON objects ``{add, delete, update}``, up to ``chunk`` changes each."""
     entry = F.to_json(F.struct("entity_id", "catalog_id", "schema", "set_nm", "name"))
     parts = number_in_parts(
-        feed.withColumn("entry", entry), ["entity"], ["change_type", "entity_id", "catalog_id", "name"], chunk)
+        feed.select("entity", "change_type", "entity_id", "catalog_id", "name", entry.alias("entry")),
+        ["entity"], ["change_type", "entity_id", "catalog_id", "name"], chunk)
     lists = parts.groupBy("entity", "part").agg(*[
         F.array_sort(F.collect_list(F.when(F.col("change_type") == c, F.col("entry")))).alias(c)
         for c in ("add", "delete", "update")
@@ -180,10 +181,11 @@ def item_payloads(items: DataFrame, chunk: int = 1000) -> DataFrame:
     if "new_set" not in items.columns:
         items = items.withColumn("new_set", F.lit(None).cast("string"))
     gone = items.where((F.col("change_type") == "delete") & ~_without_id("item_id")).withColumn("new_set", F.lit(None).cast("string"))
-    rest = item_bodies(items.where((F.col("change_type") != "delete") & ~_nowhere(items)))
     keys = ["change_type", "set_id", "new_set"]
+    rest = item_bodies(items.where((F.col("change_type") != "delete") & ~_nowhere(items))).select(
+        *keys, "physical_nm", "dataset_id", F.to_json("body").alias("json"))
     grouped = number_in_parts(rest, keys, ["physical_nm", "dataset_id"], chunk).groupBy(*keys, "part").agg(
-        F.array_sort(F.collect_list(F.struct("physical_nm", F.to_json("body").alias("json")))).alias("all"))
+        F.array_sort(F.collect_list(F.struct("physical_nm", "json"))).alias("all"))
     joined = F.array_join(F.transform("all", lambda x: x["json"]), ",")
     body = F.concat(F.lit('{"items":['), joined, F.lit("]}"))
     return _requests(gone, "item", F.col("item_id"), F.lit(0), F.lit(None), F.col("new_set")).unionByName(

@@ -3,7 +3,7 @@
 Spark's adaptive skew join splits a hot partition if both inputs of the join have a shuffle of their own. An input that
 is an aggregate on the join's keys has none, so ``split_join`` joins on one struct of the keys instead: both
 inputs are shuffled for the join, and nothing is counted beforehand. Numbering rows of a key needs a window, which
-Spark cannot split; ``number_in_parts`` spreads every key over buckets by one rule, whatever the size of the data.
+Spark cannot split; ``number_in_parts`` spreads the rows of large keys over buckets, by a rule that holds for all keys.
 """
 
 from __future__ import annotations
@@ -13,8 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut, stored
+
 # Hexadecimal digits of a hash that choose the bucket of a row within its key: 256 buckets.
 BUCKET_DIGITS = 2
+# Rows of one key that a single task may sort and number.
+LARGE_KEY = 100_000
 
 
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -38,18 +42,26 @@ def bucket(order_by: list[str]) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, BUCKET_DIGITS), 16, 10).cast("int")
 
 
-def number_in_parts(df: DataFrame, keys: list[str], order_by: list[str], chunk: int) -> DataFrame:
+def number_in_parts(df: DataFrame, keys: list[str], order_by: list[str], chunk: int, large: int = LARGE_KEY) -> DataFrame:
     """Add ``part``: the rows of a key in parts of ``chunk``, numbered from 0 without gaps; only the last may hold fewer.
 
     Rows are taken bucket by bucket (see ``bucket``), in a bucket by ``order_by``. The result depends on
-    the rows alone, not on their number or partitions. A task ranks the rows of one bucket of a key; the counts of
-    a key's buckets, at most 256 rows, give what comes before. NULL is a key like others.
+    the rows alone, not on their number or partitions. NULL is a key like others.
+
+    The rows are made once and stored; keys of more than ``large`` rows are found by a count over the stored keys. Without any, one
+    shuffle by the keys numbers the rows, and grouping them by keys and part needs no other. The rows of a large key are ranked in a
+    task for each bucket, behind the counts of its earlier buckets, at most 256 rows a key. Callers pass only the columns they need.
     """
-    spread = df.withColumn("_group", F.struct(*keys)).withColumn("_bucket", bucket(order_by))
-    one = Window.partitionBy("_group", "_bucket")
-    ranked = spread.withColumn("_rank", F.row_number().over(one.orderBy(*order_by))).withColumn("_n", F.count("*").over(one))
-    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranked.where(F.col("_rank") == F.col("_n")).select("_group", "_bucket", "_n")
-    before = sizes.select("_group", "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    part = F.floor((F.col("_before") + F.col("_rank") - 1) / chunk).cast("bigint")
-    return ranked.join(before, ["_group", "_bucket"]).select(*df.columns, part.alias("part"))
+    rows = stored(df.withColumn("_bucket", bucket(order_by)))
+    hot = cut(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > large).select(F.struct(*keys).alias("_group")))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_bucket", *order_by))
+    if not hot.isEmpty():
+        # There is one hot key for every ``large`` rows at most, so both tables are small.
+        marked = rows.withColumn("_group", F.struct(*keys)).join(F.broadcast(hot.withColumn("_hot", F.lit(True))), "_group", "left")
+        earlier = Window.partitionBy("_group").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        before = marked.where("_hot").groupBy("_group", F.col("_bucket").alias("_slice")).agg(F.count("*").alias("_n")).select(
+            "_group", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        rows = marked.withColumn("_slice", F.when(F.col("_hot"), F.col("_bucket"))).join(F.broadcast(before), ["_group", "_slice"], "left")
+        one = Window.partitionBy(*keys, "_slice").orderBy("_bucket", *order_by)
+        place = F.coalesce("_before", F.lit(0)) + F.row_number().over(one)
+    return rows.select(*df.columns, F.floor((place - 1) / chunk).cast("bigint").alias("part"))

@@ -52,3 +52,22 @@ def test_reset_is_an_empty_table_of_the_same_columns(skewed, tmp_path):
     written = skewed.sparkSession.read.parquet(f"{tmp_path}/v2")
     assert written.count() == 0
     assert written.columns == skewed.columns
+
+
+@pytest.mark.parametrize("large", [3, 50, 10_000])
+def test_large_keys_are_numbered_alike(skewed, large):
+    parts = skew.number_in_parts(skewed, ["k"], ["v"], 7, large)
+    assert rows(parts) == rows(skew.number_in_parts(skewed, ["k"], ["v"], 7))
+
+
+def test_parts_follow_buckets_then_order(skewed):
+    got = rows(skew.number_in_parts(skewed.where("k = 'hot'"), ["k"], ["v"], 7, 20).select("v", "part"))
+    listed = skewed.where("k = 'hot'").select("v").withColumn("b", skew.bucket(["v"])).orderBy("b", "v").collect()
+    assert got == sorted(((r.v, n // 7) for n, r in enumerate(listed)), key=lambda t: (str(t[0]), str(t[1])))
+
+
+def test_rows_to_number_are_made_once_and_grouped_without_a_shuffle(spark, skewed):
+    source = skewed.withColumn("w", F.col("v") * 2)
+    made = skew.number_in_parts(source, ["k"], ["v"], 7).groupBy("k", "part").agg(F.collect_list("w"))
+    text = made._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Scan parquet") == 1 and "Join" not in text
