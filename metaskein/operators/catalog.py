@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from .profile import enrich_with_stats
-from .skew import number_in_parts
+from .skew import number_in_parts, spread_join
 
 # Column description fields passed through, and those that hold numbers as text.
 _PLAIN = ("character_maximum_length", "numeric_precision", "numeric_precision_radix", "numeric_scale")
@@ -114,21 +114,26 @@ def _with_keys_and_comments(
     constraints = tables["table_constraints"].select(
         F.col("constraint_schema").alias("_t_schema"), F.col("constraint_name").alias("key_name"),
         F.lower("constraint_type").alias("key_type"))
+    # Most columns are in no key: the constraints are looked up for the key usage, where their names are known, and not for all columns,
+    # whose missing names would meet in one task.
+    keys = usage.join(
+        constraints, (F.col("key_name") == F.col("_u_name")) & (F.col("_t_schema") == F.col("_u_schema")), "left")
 
     entity_on = F.col("_e_table") == F.col("_table")
     usage_on = (F.col("_u_column") == F.col("_column")) & (F.col("_u_schema") == F.col("_schema"))
     if strict:
         entity_on = entity_on & (F.col("_e_schema") == F.col("_schema"))
         usage_on = usage_on & (F.col("_u_table") == F.col("_table"))
-    return (
+    described = (
         columns.join(
             members, (F.col("_k_table") == F.col("_table")) & (F.col("_k_column") == F.col("_column"))
             & (F.col("_k_schema") == F.col("_schema")), "left")
         .join(named, entity_on, "left")
         .join(commented, (F.col("_d_schema") == F.col("_schema")) & (F.col("_d_table") == F.col("_table")), "left")
-        .join(column_comment, (F.col("_co") == F.col("_d_oid")) & (F.col("_cn") == F.col("position")), "left")
-        .join(usage, usage_on, "left")
-        .join(constraints, (F.col("key_name") == F.col("_u_name")) & (F.col("_t_schema") == F.col("_u_schema")), "left")
+    )
+    described = spread_join(described, column_comment, {"_d_oid": "_co", "position": "_cn"}, ["_schema", "_table", "_column"])
+    return (
+        described.join(keys, usage_on, "left")
         .withColumn("primary_key", X.default_to("indisprimary", False))
         .withColumn("key", F.col("_u_column").isNotNull())
     )
@@ -329,6 +334,13 @@ def resolve_foreign_keys(
     constraint = tables["pg_constraint"].select(F.col("oid").alias("_k_oid"), F.col("conname").alias("_k_name"),
                                                 "conrelid")
     described = tables["description"].select("objoid", F.col("description").alias("comment"))
+    # Found by name for all indexes, in narrow rows, and not for each key: keys without a comment would meet in one task.
+    comments = (
+        index.where(F.col("_x_name").isNotNull()).join(stat, F.col("indexrelid") == F.col("_x_oid"), "left")
+        .join(constraint.join(described, F.col("objoid") == F.col("_k_oid"), "left"),
+              (F.col("conrelid") == F.col("relid")) & (F.col("_k_name") == F.col("_x_name")), "left")
+        .select("_x_name", "comment").distinct()
+    )
     rows = (
         kcu.where(F.col("name").isNotNull())
         .join(col, (F.col("foreign_field_schema") == F.col("_schema"))
@@ -339,10 +351,7 @@ def resolve_foreign_keys(
               & (F.col("_p_schema") == F.col("unique_constraint_schema"))
               & (F.col("_p_position") == F.col("position_in_unique_constraint")))
         .join(tco, (F.col("_t_schema") == F.col("_c_schema")) & (F.col("_t_name") == F.col("name")), "left")
-        .join(index, F.col("_x_name") == F.col("_r_name"), "left")
-        .join(stat, F.col("indexrelid") == F.col("_x_oid"), "left")
-        .join(constraint, (F.col("conrelid") == F.col("relid")) & (F.col("_k_name") == F.col("name")), "left")
-        .join(described, F.col("objoid") == F.col("_k_oid"), "left")
+        .join(comments, F.col("_x_name") == F.col("_r_name"), "left")
         .select(
             "comment",
             X.fqdn_strict("foreign_field_schema", "foreign_field_entity", "foreign_field_name").alias("foreign_fqdn"),

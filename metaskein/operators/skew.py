@@ -31,6 +31,18 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
     return left.withColumn("_key", key).join(right.withColumn("_key", key).drop(*keys), "_key", how).drop("_key")
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: dict[str, str], spread: list[str]) -> DataFrame:
+    """Left equi-join, ``on`` left column = right column, whose left side often has no key.
+
+    Rows with a NULL in a key match nothing. A plain join sends them all to one task; here they are dealt out by a hash of ``spread``.
+    """
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on])
+    wanted = F.struct(*on, F.when(known, 0).otherwise(F.xxhash64(*spread)).alias("_spread"), known.alias("_known"))
+    offered = F.struct(*[F.col(r).alias(k) for k, r in on.items()], F.lit(0).cast("bigint").alias("_spread"), F.lit(True).alias("_known"))
+    return left.withColumn("_wanted", wanted).join(
+        right.withColumn("_offered", offered), F.col("_wanted") == F.col("_offered"), "left").drop("_wanted", "_offered")
+
+
 def without(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` whose key tuple is not in ``right``; both sides may repeat keys."""
     return split_join(left, right.select(*keys).distinct(), keys, "left_anti")

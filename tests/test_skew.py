@@ -1,10 +1,13 @@
 """Joins that can be split and part numbering must not change results, whatever a key's share of the rows."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import Inputs
 from conftest import rows
-from metaskein.operators import skew, snapshot
+from metaskein.operators import catalog, skew, snapshot
 
 
 @pytest.fixture(scope="module")
@@ -71,3 +74,43 @@ def test_rows_to_number_are_made_once_and_grouped_without_a_shuffle(spark, skewe
     made = skew.number_in_parts(source, ["k"], ["v"], 7).groupBy("k", "part").agg(F.collect_list("w"))
     text = made._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1 and text.count("Scan parquet") == 1 and "Join" not in text
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    """Every join shuffles, into 16 partitions that nothing coalesces or splits."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def largest_share(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_spread_join_is_the_plain_join_and_deals_out_missing_keys(spark, plain_shuffles):
+    left = spark.range(2000).selectExpr("case when id % 10 < 3 then id % 7 end as a", "case when id % 9 > 0 then cast(id % 4 as int) end as b", "id as v")
+    right = spark.range(40).selectExpr("case when id > 0 then id % 8 end as c", "id % 5 as d", "id as w")  # keys repeat, and one is NULL
+    plain = left.join(right, (F.col("c") == F.col("a")) & (F.col("d") == F.col("b")), "left")
+    spread = skew.spread_join(left, right, {"a": "c", "b": "d"}, ["v"])
+    assert spread.columns == plain.columns and rows(spread) == rows(plain)
+    one = left.withColumn("b", F.lit(1))
+    assert largest_share(skew.spread_join(one, right, {"a": "c", "b": "d"}, ["v"])) < 0.5
+
+
+def test_columns_without_a_key_or_comment_do_not_meet_in_one_task(spark, plain_shuffles):
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    tables = i.catalog("columns", "pg_class", "pg_namespace", "pg_attribute", "pg_index", "description", "key_column_usage", "table_constraints")
+    columns = tables["columns"].selectExpr("table_schema as _schema", "table_name as _table", "column_name as _column", "ordinal_position as position")
+    tables["key_column_usage"] = tables["key_column_usage"].where("ordinal_position > 1")  # most columns are in no key
+    assert largest_share(catalog._with_keys_and_comments(columns, tables, True)) < 0.3
+
+
+def test_comments_of_foreign_keys_are_found_by_name(spark, plain_shuffles):
+    text = Inputs(spark, "/root/testdata/sf0.001").foreign_keys()._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[relid#\d+L?, _x_name#\d+\]", text)  # not for every key with all of its columns
