@@ -92,42 +92,10 @@ def key_type(is_pk: Column | str, key_nm: Column | str) -> Column:
 
 
 def _item_states(db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame) -> DataFrame:
-    """Items that differ between the sides, with what the sides know of their set."""
-    updated = reduce(lambda a, b: a | b, [f.selects() for f in D.ITEM_FIELDS])
-    differing = _sides(db_items, dh_items, ["dataset_id", "physical_nm"]).withColumn("change_type", _change(updated))
-    return differing.where(F.col("change_type").isNotNull()).join(_set_state(db_sets, dh_sets), "dataset_id", "left")
-
-
-def unresolved_items(db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame) -> DataFrame:
-    """Item changes that cannot be placed, to be reported: neither side has their set, or a deleted item's set has no schema.
-
-    An addition is listed too if only the source lacks its set. Items of a set that is being deleted go with it and are not listed.
-    """
-    known = lambda c: F.coalesce(c, F.lit(False))
-    in_db, in_dh = known(F.col("_in_db")), known(F.col("_in_dh"))
-    lost = _by_change(add=~in_db, delete=~in_dh | (in_db & F.col("_dh_schema").isNull()), update=~in_db & ~in_dh)
-    rows = _item_states(db_items, dh_items, db_sets, dh_sets).where(lost)
-    return rows.select("change_type", "dataset_id", "physical_nm", F.col("dh.id").alias("item_id"), in_db.alias("in_source"), in_dh.alias("in_catalog"))
-
-
-def item_changes(
-    db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame
-) -> DataFrame:
-    """Item changes within their set, without those of deleted sets and of sets that no side knows (``unresolved_items``).
+    """Items that differ between the sides, as they are to be changed, with what the sides know of their set.
 
-    Updated items take the source's value where the flag is set and keep their own
-    otherwise; an item that is also deleted (same name without case) is not updated.
-    Malformed metadata JSON becomes NULL.
+    The values of the change are chosen before the item meets its set, so that no shuffle carries both sides' texts.
     """
-    rows = _item_states(db_items, dh_items, db_sets, dh_sets).where(_by_change(
-        add=F.lit(True),
-        delete=F.col("_dh_schema").isNotNull() & F.col("_in_db"),
-        update=F.col("_in_db") & F.col("_in_dh"),
-    ))
-    same_name = Window.partitionBy(F.lower("dataset_id"), F.lower("physical_nm"))
-    rows = rows.withColumn("_gone", F.max(F.col("change_type") == DELETE).over(same_name)).where(
-        (F.col("change_type") != UPDATE) | ~F.col("_gone"))
-
     fields = {f.name: f for f in D.ITEM_FIELDS}
 
     def taken(name: str) -> Column:
@@ -140,9 +108,10 @@ def item_changes(
     lost_pk = fields["pk"].changed() & ~F.col("db.is_pk")
     own_metadata = F.coalesce("db.metadata", "dh.metadata")
     name = X.blank_to_null
-    return rows.select(
+    updated = reduce(lambda a, b: a | b, [f.selects() for f in D.ITEM_FIELDS])
+    differing = _sides(db_items, dh_items, ["dataset_id", "physical_nm"]).withColumn("change_type", _change(updated))
+    rows = differing.where(F.col("change_type").isNotNull()).select(
         "change_type", "dataset_id", "physical_nm",
-        _by_change(add="_db_schema", delete="_dh_schema", update="_db_schema").alias("schema"),
         value("logical_nm", F.col("db.logical_nm")),
         value("type", taken("type")),
         value("description", F.coalesce(F.when(F.length("dh.description") > 0, F.col("dh.description")),
@@ -155,11 +124,48 @@ def item_changes(
         value("nullable", taken("nullable")),
         value("example", taken("example")),
         value("default_val", taken("default")),
-        _by_change(update="_set_id").alias("set_id"),
         F.col("dh.id").alias("item_id"),
         _by_change(**{c: F.when(F.json_object_keys(own_metadata).isNotNull(), own_metadata) for c in (ADD, DELETE)})
         .alias("metadata"),
     )
+    return rows.join(_set_state(db_sets, dh_sets), "dataset_id", "left")
+
+
+def unresolved_items(db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame) -> DataFrame:
+    """Item changes that cannot be placed, to be reported: neither side has their set, or a deleted item's set has no schema.
+
+    An addition is listed too if only the source lacks its set. Items of a set that is being deleted go with it and are not listed.
+    """
+    known = lambda c: F.coalesce(c, F.lit(False))
+    in_db, in_dh = known(F.col("_in_db")), known(F.col("_in_dh"))
+    lost = _by_change(add=~in_db, delete=~in_dh | (in_db & F.col("_dh_schema").isNull()), update=~in_db & ~in_dh)
+    rows = _item_states(db_items, dh_items, db_sets, dh_sets).where(lost)
+    return rows.select("change_type", "dataset_id", "physical_nm", "item_id", in_db.alias("in_source"), in_dh.alias("in_catalog"))
+
+
+def item_changes(
+    db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame
+) -> DataFrame:
+    """Item changes within their set, without those of deleted sets and of sets that no side knows (``unresolved_items``).
+
+    Updated items take the source's value where the flag is set and keep their own
+    otherwise; an item that is also deleted (same name without case) is not updated.
+    Malformed metadata JSON becomes NULL.
+    """
+    rows = _item_states(db_items, dh_items, db_sets, dh_sets).where(_by_change(
+        add=F.lit(True),
+        delete=F.col("_dh_schema").isNotNull() & F.col("_in_db"),
+        update=F.col("_in_db") & F.col("_in_dh"),
+    )).withColumns({
+        "schema": _by_change(add="_db_schema", delete="_dh_schema", update="_db_schema"),
+        "set_id": _by_change(update="_set_id"),
+    }).drop("_in_db", "_in_dh", "_db_schema", "_dh_schema", "_set_id")
+    same_name = Window.partitionBy(F.lower("dataset_id"), F.lower("physical_nm"))
+    kept = rows.withColumn("_gone", F.max(F.col("change_type") == DELETE).over(same_name)).where(
+        (F.col("change_type") != UPDATE) | ~F.col("_gone"))
+    return kept.select(
+        "change_type", "dataset_id", "physical_nm", "schema", "logical_nm", "type", "description", "key_type", "key_name", "nullable",
+        "example", "default_val", "set_id", "item_id", "metadata")
 
 
 # --- relationships ----------------------------------------------------------
@@ -170,6 +176,7 @@ def relationship_states(
 ) -> DataFrame:
     """Every relationship of either side with its change (NULL if none) and its owning set.
 
+    Unchanged ones go along with their id alone, as only their name and sides matter later.
     ``_known``: some side has the owning set; ``_set_gone``: that set is being deleted.
     Owners are compared without case. The join can be split, since one
     set may own a large share of all relationships.
@@ -178,6 +185,14 @@ def relationship_states(
     updated = reduce(lambda a, b: a | b, [X.folded(f"dh.{r}") != X.folded(f"db.{r}") for r in rules])
     states = _sides(db_rels, dh_rels, ["physical_nm"]).withColumn("change_type", _change(updated)).withColumn(
         "dataset_id", F.coalesce("db.dataset_id", "dh.dataset_id"))
+    changed = F.col("change_type").isNotNull()
+
+    def slim(side: str) -> Column:
+        """The side's row; of one that agrees with the other side only the id."""
+        fields = [F.when(changed | F.lit(f == "id"), F.col(f"{side}.{f}")).alias(f) for f in states.schema[side].dataType.fieldNames()]
+        return F.when(F.col(side).isNotNull(), F.struct(*fields))
+
+    states = states.withColumns({side: slim(side) for side in ("db", "dh")})
     owner = (
         _set_state(db_sets, dh_sets)
         .groupBy(F.lower("dataset_id").alias("_owner"))
@@ -268,19 +283,17 @@ def join_changes(
     states = relationship_states(db_rels, dh_rels, db_sets, dh_sets) if states is None else states
     # Gone: the relationship's own deletion is in the feed (its set is known and stays).
     gone = Window.partitionBy(F.lower("physical_nm"))
-    owner = states.select(
-        F.col("physical_nm").alias("db_relationship_id"), F.col("dh.id").alias("relationship_id"),
+    owner = states.select(  # before the window, so that its shuffle carries no texts
+        "physical_nm", F.col("dh.id").alias("relationship_id"),
         F.col("db").isNotNull().alias("_in_db"), F.col("dh").isNotNull().alias("_in_dh"), "_set_gone",
-        F.max(F.coalesce((F.col("change_type") == DELETE) & F.col("_known") & ~F.col("_set_gone"), F.lit(False)))
-        .over(gone).alias("_gone"),
-    )
+        F.coalesce((F.col("change_type") == DELETE) & F.col("_known") & ~F.col("_set_gone"), F.lit(False)).alias("_goes"),
+    ).withColumn("_gone", F.max("_goes").over(gone)).drop("_goes").withColumnRenamed("physical_nm", "db_relationship_id")
     complete = F.col("parent_fqdn").isNotNull() & F.col("child_fqdn").isNotNull()
     kept = changes.join(owner, "db_relationship_id").where(~F.col("_gone")).where(_by_change(
         add=F.col("_in_db") & ~F.col("_in_dh") & ~F.col("_set_gone") & complete,
         delete=F.col("_in_dh") & ~F.col("_in_db") & ~F.col("_set_gone") & complete, update=F.col("_in_dh")))
-    tag = lambda df, side: df.select(*pair, F.lit(side == "db").alias("_db_has"), F.lit(side == "dh").alias("_dh_has"))
-    has = tag(db_joins, "db").unionByName(tag(dh_joins, "dh")).groupBy(*pair).agg(F.max("_db_has").alias("_db_has"), F.max("_dh_has").alias("_dh_has"))
-    kept = split_join(kept, has, pair, "left").where(_by_change(add=~F.col("_dh_has"), delete=~F.col("_db_has"), update=F.lit(True)))
+    other = dh_joins.select(*pair, F.lit(ADD).alias("change_type")).unionByName(db_joins.select(*pair, F.lit(DELETE).alias("change_type")))
+    kept = split_join(kept, other, [*pair, "change_type"], "left_anti")
     return kept.select(
         "change_type", "db_relationship_id", _by_change(update="relationship_id").alias("relationship_id"),
         _by_change(update=~F.col("_in_db")).alias("creates_relationship"),

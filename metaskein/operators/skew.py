@@ -24,11 +24,12 @@ LARGE_KEY = 100_000
 def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi-join (``inner``, ``left``, ``left_semi``, ``left_anti``) whose left side may be skewed.
 
-    A NULL in any key matches nothing, as in a plain equi-join.
+    A NULL in any key matches nothing, as in a plain equi-join. The left key sees to that alone: a rule on the right one would become a
+    filter on the right input, which then could not be read from a shuffle that the left input shares.
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    key = F.when(known, F.struct(*keys))
-    return left.withColumn("_key", key).join(right.withColumn("_key", key).drop(*keys), "_key", how).drop("_key")
+    key = F.struct(*keys)
+    return left.withColumn("_key", F.when(known, key)).join(right.withColumn("_key", key).drop(*keys), "_key", how).drop("_key")
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: dict[str, str], spread: list[str]) -> DataFrame:

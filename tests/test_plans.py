@@ -1,8 +1,11 @@
 """Plans hold no nested loops, no cartesian products and no single-task windows."""
 
+import re
+
 import pytest
 
 from checks.queries import OPERATIONS, Inputs
+from metaskein.operators import cascade
 from metaskein.operators.skew import number_in_parts
 
 CHECKED = ["sets_new", "sets_deleted", "sets_updated", "items_new", "items_deleted", "items_new_scoped", "items_deleted_scoped",
@@ -59,3 +62,21 @@ def test_pair_cascade_joins_the_sides_once(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.count("Exchange hashpartitioning") <= 15 and text.count("FullOuter") == 3
+
+
+def test_cascades_shuffle_each_side_once_and_carry_only_changes(spark, sf_dir):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        i = Inputs(spark, sf_dir)
+        text = plan(i.join_changes())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    shuffles = [line for line in text.split("\n") if re.search(r"[-:] Exchange hashpartitioning\(db_relationship_id#\d+, parent_fqdn", line)]
+    assert len(shuffles) == 2 and text.count("ReusedExchange") >= 2  # the lookup of pairs reads the two sides' shuffles again
+    assert not {"db", "dh"} & set(cascade._item_states(i.db_dataitem, i.dh_dataitem, i.db_dataset, i.dh_dataset).columns)
+    states = cascade.relationship_states(i.db_relationship, i.dh_relationship, i.db_dataset, i.dh_dataset)
+    same = states.where("change_type is null")
+    assert same.count() > 0 and same.where("db is null or dh is null or dh.id is null or db.comment is not null").count() == 0
