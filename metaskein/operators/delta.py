@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import number_in_parts, split_join
+from .skew import number_in_parts, spread_join
 
 # Order of the phases, preview marks, and attribute names in payloads.
 PHASES = {"delete": 1, "add": 2, "update": 3}
@@ -278,7 +278,8 @@ def requests_after_replies(requests: DataFrame, replies: DataFrame) -> DataFrame
     is done and left out; one that was refused or not answered is sent again, under the same ``request_id``. The reply to the
     request that creates a set puts its id into ``target_id`` of all requests that name the set in ``target_name`` (of several ids,
     the smallest). ``ready`` tells whether a request can be sent now: its target has an id, or it needs none.
-    A set's requests may be many; they are joined so that they can be split. Replies to unknown requests change nothing.
+    A set's requests may be many; they are joined so that they can be split, and those that need no id are dealt out. Replies to unknown
+    requests change nothing.
     """
     numbered = with_request_ids(requests)
     accepted = replies.where("ok").groupBy("request_id").agg(F.min(X.blank_to_null("id")).alias("_id"))
@@ -286,7 +287,7 @@ def requests_after_replies(requests: DataFrame, replies: DataFrame) -> DataFrame
     made = numbered.where(creating).select("request_id", F.col("target_name").alias("_made")).join(accepted, "request_id") \
         .groupBy("_made").agg(F.min("_id").alias("_id"))
     left = numbered.join(accepted.select("request_id"), "request_id", "left_anti").withColumn("_made", F.when(~creating & X.is_blank("target_id"), F.col("target_name")))
-    named = split_join(left, made, ["_made"], "left")
+    named = spread_join(left, made.withColumnRenamed("_made", "_of"), {"_made": "_of"}, ["request_id"])
     target = F.coalesce(X.blank_to_null("target_id"), "_id")
     ready = creating | (F.col("entity") == "relationship") | target.isNotNull()
     return named.select(*[c for c in requests.columns if c != "target_id"], target.alias("target_id"), "request_id", ready.alias("ready"))

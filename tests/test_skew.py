@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.queries import Inputs
 from conftest import rows
-from metaskein.operators import catalog, skew, snapshot
+from metaskein.operators import catalog, delta, skew, snapshot
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +114,11 @@ def test_columns_without_a_key_or_comment_do_not_meet_in_one_task(spark, plain_s
 def test_comments_of_foreign_keys_are_found_by_name(spark, plain_shuffles):
     text = Inputs(spark, "/root/testdata/sf0.001").foreign_keys()._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"SortMergeJoin \[relid#\d+L?, _x_name#\d+\]", text)  # not for every key with all of its columns
+
+
+def test_requests_that_need_no_id_do_not_meet_in_one_task(spark, plain_shuffles):
+    made = spark.range(1000).selectExpr("3 as phase_no", "'update' as phase", "'item' as entity", "concat('S', id % 7) as target_id", "id as part",
+                                        "'{}' as body", "cast(null as string) as target_name")
+    replies = spark.createDataFrame([], "request_id string, ok boolean, id string")
+    left = delta.requests_after_replies(made, replies)
+    assert left.count() == 1000 and largest_share(left) < 0.3
