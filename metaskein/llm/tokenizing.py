@@ -5,8 +5,9 @@ the bucket of that entry's rank. A bitmap of two levels marks the buckets that a
 level gives the lowest rank, so the next merge costs the same for 10 bytes and for a million.
 Entries are never searched for and deleted; one whose pair has changed meanwhile is skipped when it comes up.
 
-Pre-tokens do not touch each other, so the short ones of many texts share one queue: a bucket then holds positions of
-all of them, and a step merges the leftmost position of each pre-token at once. A long pre-token has a queue of its own.
+Pre-tokens do not touch each other, so the short ones of many texts share one queue: a bucket then holds positions of all of them for
+all ranks of one bit of the upper level. A step takes the lowest bit, and each pre-token found there merges its own lowest rank,
+leftmost first, all at once. A long pre-token has a queue of its own, with both levels.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ from pyspark.sql import functions as F
 
 from .runtime import give_up, lean, ship
 
-#: Pre-tokens a worker remembers; at this many it starts afresh. Bounds memory only.
-CACHE_ENTRIES = 100_000
+#: Pre-tokens a worker remembers: at half as many new ones, the older ones not used since are forgotten. Bounds memory only.
+CACHE_ENTRIES = 150_000
 #: Longer pre-tokens have a queue of their own and are not remembered, so that the cache is bounded in bytes too.
 SHARED_BYTES = 64
 #: Texts encoded together, and pre-tokens in one queue.
 TEXTS, QUEUE_WORDS = 512, 16_000
+#: Ranks that a bit of the upper level stands for.
+SPAN = 256
 
 
 class Coder:
@@ -51,9 +54,10 @@ class Coder:
         self.split = regex.compile(self.pattern).findall
         self.tokens = {i: b for b, i in self.ranks.items()}
         self.cache = _Packed(self)
+        self.older: dict[str, bytes] = {}
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("split", "tokens", "cache")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("split", "tokens", "cache", "older")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
@@ -66,13 +70,18 @@ class Coder:
         return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], -1)
 
     def merge_many(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of pre-tokens, through one queue."""
+        """Ids of each pre-token."""
+        ids, bounds = self._merge_many(words)
+        return np.split(ids, bounds[1:-1]) if words else []
+
+    def _merge_many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, through one queue: those of all, and where each one's begin and the last one's end."""
         sizes = np.array([len(w) for w in words])
         ends = np.cumsum(sizes)
         data = np.frombuffer(b"".join(words), np.uint8)
         n = len(data)
         if not n or not len(self.pair_keys):
-            return [self.single[np.frombuffer(w, np.uint8)] for w in words]
+            return self.single[data], np.append(ends - sizes, n)
         owner = np.repeat(np.arange(len(words)), sizes)
         token = self.single[data]
         after = np.arange(1, n + 1)
@@ -84,24 +93,19 @@ class Coder:
         pair = np.full(n + 1, -1, np.int64)
         inner = np.flatnonzero(after < n)
         pair[inner] = self._pairs(token[inner], token[after[inner]])
-        buckets: dict[int, list[np.ndarray]] = {}
-        low: dict[int, int] = {}
+        buckets: dict[int, list[np.ndarray]] = {}  # positions by the upper level's bit: SPAN ranks
         top = 0
 
         def push(positions: np.ndarray) -> None:
             nonlocal top
-            ranks = pair[positions]
-            order = np.argsort(ranks, kind="stable")
-            positions, ranks = positions[order], ranks[order]
-            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
-            for rank, part in zip(ranks[np.append(0, cuts)].tolist(), np.split(positions, cuts), strict=True):
-                if rank in buckets:
-                    buckets[rank].append(part)
-                else:
-                    buckets[rank] = [part]
-                    w = rank >> 8
-                    low[w] = low.get(w, 0) | 1 << (rank & 255)
-                    top |= 1 << w
+            spans = pair[positions] // SPAN
+            order = np.argsort(spans, kind="stable")
+            positions, spans = positions[order], spans[order]
+            cuts = np.flatnonzero(spans[1:] != spans[:-1]) + 1
+            bounds = [0, *cuts.tolist(), len(positions)]
+            for k, w in enumerate(spans[bounds[:-1]].tolist()):
+                buckets.setdefault(w, []).append(positions[bounds[k]:bounds[k + 1]])
+                top |= 1 << w
 
         inner = inner[pair[inner] >= 0]
         if len(inner):
@@ -109,29 +113,22 @@ class Coder:
         gone = np.zeros(n, bool)
         while top:
             w = (top & -top).bit_length() - 1
-            bits = low[w]
-            rank = (w << 8) + (bits & -bits).bit_length() - 1
-            parts = buckets[rank]
-            at = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
-            at = at[pair[at] == rank]  # the others are stale
-            rest = None
-            if len(at) > 1:
-                word = owner[at]
-                first = np.append(True, word[1:] != word[:-1])
-                if not first.all():
-                    at, rest = at[first], at[~first]
-            if rest is not None:
-                buckets[rank] = [rest]
-            else:
-                del buckets[rank]
-                bits &= bits - 1
-                low[w] = bits
-                if not bits:
-                    top &= top - 1
-            if not len(at):
+            top &= top - 1
+            parts = buckets.pop(w)
+            at = parts[0] if len(parts) == 1 else np.concatenate(parts)
+            rank = pair[at]
+            # Lower spans are empty, so the lowest rank of a pre-token that is here is its lowest of all; of equals the leftmost.
+            key = np.sort(((owner[at] * SPAN + rank % SPAN) << 32 | at)[rank // SPAN == w])  # the others are stale
+            if not len(key):
                 continue
+            at, word = key & 0xFFFFFFFF, (key >> 32) // SPAN
+            first = np.append(True, word[1:] != word[:-1])
+            if not first.all():
+                at, rest = at[first], at[~first]
+                buckets[w] = [rest]
+                top |= 1 << w
             right = after[at]
-            token[at] = rank
+            token[at] = pair[at]
             gone[right] = True
             pair[right] = -1
             following = after[right]
@@ -147,20 +144,28 @@ class Coder:
             if len(changed):
                 push(changed)
         alive = np.flatnonzero(~gone)
-        return np.split(token[alive], np.searchsorted(alive, ends[:-1]))
+        return token[alive], np.append(np.searchsorted(alive, ends - sizes), len(alive))
 
     def remember(self, words: set[str]) -> None:
         """Puts the short ones of ``words`` into the cache."""
-        if len(self.cache) >= CACHE_ENTRIES:
-            self.cache.clear()
-        new = [w for w in words if w not in self.cache]
+        if len(self.cache) >= CACHE_ENTRIES // 2:
+            self.cache, self.older = _Packed(self), dict(self.cache)
+        new = []
+        for w in words:
+            if w not in self.cache:
+                if w in self.older:
+                    self.cache[w] = self.older[w]
+                else:
+                    new.append(w)
         raw = [w.encode() for w in new]
         short = [(w, r) for w, r in zip(new, raw, strict=True) if len(r) <= SHARED_BYTES]
         for at in range(0, len(short), QUEUE_WORDS):
             part = short[at:at + QUEUE_WORDS]
-            for (w, r), ids in zip(part, self.merge_many([r for _, r in part]), strict=True):
+            ids, bounds = self._merge_many([r for _, r in part])
+            packed, bounds = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
+            for k, (w, r) in enumerate(part):
                 whole = self.ranks.get(r)
-                self.cache[w] = struct.pack("<I", whole) if whole is not None else ids.astype("<u4").tobytes()
+                self.cache[w] = struct.pack("<I", whole) if whole is not None else packed[bounds[k]:bounds[k + 1]]
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token. The queue is local variables, since a call for each step would cost more than the step."""

@@ -92,6 +92,30 @@ def test_one_queue_for_one_or_many(vocabulary):
     assert [x.tolist() for x in coder.merge_many(words)] == [coder.merge(w) if w not in ranks else x.tolist() for w, x in zip(words, coder.merge_many(words))]
 
 
+def test_a_step_serves_many_ranks(vocabulary, monkeypatch):
+    """One queue takes few steps: as many as the ranks in use would be one for each merge of rare words."""
+    ranks, pattern = vocabulary
+    coder = tokenizing.Coder(ranks, pattern)
+    r = random.Random(8)
+    words = sorted({"".join(r.choice("aabtheinrs") for _ in range(r.randint(1, 30))).encode() for _ in range(2_000)})
+    steps, pairs = [], coder._pairs
+    monkeypatch.setattr(coder, "_pairs", lambda a, b: steps.append(1) or pairs(a, b))
+    many = coder.merge_many(words)
+    used = {x for ids in many for x in ids.tolist() if x > 255}
+    assert len(steps) < len(used) + 300 and all(ids.tolist() == coder.merge(w) for w, ids in zip(words, many) if w not in ranks)
+
+
+def test_used_words_outlive_the_turn_of_the_cache(vocabulary, monkeypatch):
+    ranks, pattern = vocabulary
+    monkeypatch.setattr(tokenizing, "CACHE_ENTRIES", 8)
+    coder, made = tokenizing.Coder(ranks, pattern), []
+    merge = coder._merge_many
+    monkeypatch.setattr(coder, "_merge_many", lambda words: made.extend(words) or merge(words))
+    for k in range(40):
+        assert coder.decode(coder.encode([f"often w{k}x"])[0]) == f"often w{k}x".encode()
+    assert made.count(b"often") == 1 and len(coder.cache) + len(coder.older) <= 16
+
+
 # --- personal data --------------------------------------------------------------
 
 EXPRESSIONS = {
