@@ -18,8 +18,12 @@ def _elements(df: DataFrame, json_col: str, ddl: str, array: str, *keep: Column)
 
     The outer explode keeps the parser from running again: for a plain explode Spark
     infers filters on the array, each of which would parse the text once more.
+
+    The text passes an explode of its own first: Spark compiles no expression that from_json reads, so a text that is made by an
+    expression would be made step by step.
     """
-    doc = df.select(F.from_json(F.col(json_col), ddl).alias("doc"))
+    text = df.select(F.explode_outer(F.array(json_col)).alias("text"))
+    doc = text.select(F.from_json("text", ddl).alias("doc"))
     return doc.select(*keep, F.explode_outer(f"doc.{array}").alias("e")).where(F.col("e").isNotNull())
 
 

@@ -47,6 +47,13 @@ def test_documents_are_parsed_once(spark, sf_dir):
     assert text.count("from_json(") == 1
 
 
+@pytest.mark.parametrize("name", ["stash_items", "catalog_sets", "catalog_relationships"])
+def test_documents_are_made_before_they_are_parsed(name, spark, sf_dir):
+    """Spark compiles nothing that from_json reads."""
+    lines = [x for x in plan(OPERATIONS[name](Inputs(spark, sf_dir))).splitlines() if "Project [from_json(" in x]
+    assert lines and not any("StructsToJson" in x for x in lines)
+
+
 def test_parts_need_no_single_task(spark):
     text = plan(number_in_parts(spark.range(100).selectExpr("id % 3 as k", "id as v"), ["k"], ["v"], 5))
     assert "SinglePartition" not in text
