@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
 
 import numpy as np
@@ -30,7 +30,7 @@ CACHE_ENTRIES = 150_000
 #: Longer pre-tokens have a queue of their own and are not remembered, so that the cache is bounded in bytes too.
 SHARED_BYTES = 64
 #: Texts encoded together, and pre-tokens in one queue.
-TEXTS, QUEUE_WORDS = 512, 16_000
+TEXTS, QUEUE_WORDS = 128, 16_000
 #: Ranks that a bit of the upper level stands for.
 SPAN = 256
 
@@ -146,7 +146,7 @@ class Coder:
         alive = np.flatnonzero(~gone)
         return token[alive], np.append(np.searchsorted(alive, ends - sizes), len(alive))
 
-    def remember(self, words: set[str]) -> None:
+    def remember(self, words: Iterable[str]) -> None:
         """Puts the short ones of ``words`` into the cache."""
         if len(self.cache) >= CACHE_ENTRIES // 2:
             self.cache, self.older = _Packed(self), dict(self.cache)
@@ -241,8 +241,12 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [self.split(t) for t in texts]
-        self.remember(set().union(*parts))
+        words: dict[str, str] = {}
+        parts = []
+        for t in texts:
+            found = self.split(t)
+            parts.append(list(map(words.setdefault, found, found)))  # equal pre-tokens become one object
+        self.remember(words)
         return [b"".join(map(self.cache.__getitem__, p)) for p in parts]
 
     def decode(self, ids: bytes) -> bytes:
