@@ -4,6 +4,7 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -116,6 +117,21 @@ def test_used_words_outlive_the_turn_of_the_cache(vocabulary, monkeypatch):
     assert made.count(b"often") == 1 and len(coder.cache) + len(coder.older) <= 16
 
 
+def test_equal_words_of_a_group_are_held_once(vocabulary):
+    """200,000 pre-tokens of two kinds: one object of text for each would be over 10 MB."""
+    ranks, pattern = vocabulary
+    coder = tokenizing.Coder(ranks, pattern)
+    texts = [" ab cd" * 1000] * 100
+    want = coder.encode(texts[:1])
+    tracemalloc.start()
+    try:
+        assert coder.encode(texts) == want * 100
+        assert tracemalloc.get_traced_memory()[1] < 6_000_000
+    finally:
+        tracemalloc.stop()
+    assert tokenizing.TEXTS <= 128
+
+
 # --- personal data --------------------------------------------------------------
 
 EXPRESSIONS = {
