@@ -32,23 +32,28 @@ def merge_schemas(df: DataFrame, order_by: list[str]) -> DataFrame:
 
 def merge_sets(df: DataFrame, order_by: list[str]) -> DataFrame:
     """One row per set of a schema: a later non-empty description wins, all else is first."""
-    return _merge_named(df, [F.lower("schema").alias("schema_id"), F.lower("physical_nm").alias("set_id")], order_by)
+    return _merge_named(df, {"schema": "schema_id", "physical_nm": "set_id"}, order_by)
 
 
 def merge_items(df: DataFrame, order_by: list[str]) -> DataFrame:
     """One row per item of a set: a later non-empty description wins, all else is first."""
-    ids = [F.lower("dataset_id").alias("set_id"), F.lower("physical_nm").alias("item_id")]
-    return _merge_named(df, ids, order_by)
+    return _merge_named(df, {"dataset_id": "set_id", "physical_nm": "item_id"}, order_by)
 
 
-def _merge_named(df: DataFrame, ids: list[Column], order_by: list[str]) -> DataFrame:
+def _merge_named(df: DataFrame, named: dict[str, str], order_by: list[str]) -> DataFrame:
+    """One row per lower-case name; ``named`` gives the id that each name column makes.
+
+    A name that is its own id is not sorted and shuffled a second time beside the id.
+    """
     seq = F.struct(*order_by)
     rest = [c for c in df.columns if c not in ("description", *order_by)]
-    merged = df.groupBy(*ids).agg(
+    short = df.withColumns({f"_{i}": F.lower(c) for c, i in named.items()})
+    short = short.withColumns({c: F.when(F.col(c) != F.col(f"_{i}"), F.col(c)) for c, i in named.items()})
+    merged = short.groupBy(*[F.col(f"_{i}").alias(i) for i in named.values()]).agg(
         F.min_by(F.struct(*rest), seq).alias("f"),
         _last("description", seq, F.length("description") > 0),
     )
-    return merged.select(*[c for c in merged.columns if c not in ("f", "description")], "f.*",
+    return merged.select(*named.values(), *[(F.coalesce(f"f.{c}", named[c]) if c in named else F.col(f"f.{c}")).alias(c) for c in rest],
                          X.or_empty("description").alias("description"))
 
 
