@@ -72,9 +72,9 @@ def resolve_endpoints(pairs: DataFrame, sets: DataFrame, items: DataFrame) -> Da
     known_items = items.select(F.lower("dataset_id").alias("_set"), F.lower("physical_nm").alias("_item")).distinct()
 
     # Every endpoint is looked up once, however many pairs refer to it.
-    endpoints = [pairs.select(*[F.lower(f"{e}_{p}").alias(f"_{p}") for p in parts]) for e in ends]
+    both = F.array(*[F.struct(*[F.lower(f"{e}_{p}").alias(f"_{p}") for p in parts]) for e in ends])
     found = (
-        endpoints[0].unionByName(endpoints[1]).distinct()
+        pairs.select(F.inline(both)).distinct()
         .join(known_sets.withColumn("_set_hit", F.lit(True)), ["_schema", "_set"], "left")
         .join(known_items.withColumn("_item_hit", F.lit(True)), ["_set", "_item"], "left")
         .withColumn("_set_hit", F.coalesce("_set_hit", F.lit(False)))
@@ -84,7 +84,7 @@ def resolve_endpoints(pairs: DataFrame, sets: DataFrame, items: DataFrame) -> Da
     out = pairs
     for end in ends:
         keyed = out.withColumns({f"_{p}": F.lower(f"{end}_{p}") for p in parts})
-        out = split_join(keyed, found, [f"_{p}" for p in parts], "left")
+        out = split_join(keyed, found, [f"_{p}" for p in parts], "left", hashed=True)
         out = out.select(
             *pairs.columns, *[c for c in out.columns if c.endswith("_found")],
             F.coalesce("_set_hit", F.lit(False)).alias(f"{end}_set_found"),

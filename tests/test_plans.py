@@ -3,9 +3,11 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.queries import OPERATIONS, Inputs
-from metaskein.operators import cascade
+from conftest import rows
+from metaskein.operators import cascade, document
 from metaskein.operators.skew import number_in_parts
 
 CHECKED = ["sets_new", "sets_deleted", "sets_updated", "items_new", "items_deleted", "items_new_scoped", "items_deleted_scoped",
@@ -87,3 +89,27 @@ def test_cascades_shuffle_each_side_once_and_carry_only_changes(spark, sf_dir):
     states = cascade.relationship_states(i.db_relationship, i.dh_relationship, i.db_dataset, i.dh_dataset)
     same = states.where("change_type is null")
     assert same.count() > 0 and same.where("db is null or dh is null or dh.id is null or db.comment is not null").count() == 0
+
+
+def test_endpoints_are_found_in_one_pass_and_sorted_by_number(spark, sf_dir):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        text = plan(OPERATIONS["endpoint_resolution"](Inputs(spark, sf_dir)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert text.count("Window [row_number()") == 2  # pairs are ranked for their endpoints and for the joins, not once for each end
+    assert len(re.findall(r"Sort \[xxhash64\(", text)) == 4
+
+
+def test_a_name_that_is_its_id_is_merged_once(spark):
+    df = spark.createDataFrame([("Ds", "c", "x", 1), ("ds", "C", "", 2), ("t", "u", None, 1), (None, "u", "y", 1), ("t", None, "z", 2), (None, "u", "w", 0)],
+                               "dataset_id string, physical_nm string, description string, seq int").withColumn("type", F.lit("text"))
+    out = document.merge_items(df, ["seq"])
+    assert out.columns == ["set_id", "item_id", "dataset_id", "physical_nm", "type", "description"]
+    assert rows(out) == rows(spark.createDataFrame(
+        [("ds", "c", "Ds", "c", "text", "x"), ("t", "u", "t", "u", "text", ""), (None, "u", None, "u", "text", "y"), ("t", None, "t", None, "text", "z")], out.schema))
+    sorted_rows = plan(out).split("Sort [")[-1]
+    assert "CASE WHEN NOT (physical_nm" in sorted_rows and "CASE WHEN NOT (dataset_id" in sorted_rows

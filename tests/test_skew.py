@@ -26,6 +26,14 @@ def test_split_join_is_the_plain_join(skewed, how, keys_kept):
     assert rows(skew.split_join(skewed, right, ["k"], how).select(*plain.columns)) == rows(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_hashed_split_join_is_the_plain_join(skewed, how):
+    right = skewed.select("k").distinct().where("k is null or k in ('hot', 'k1', 'k5')").withColumn("w", F.lit(1))
+    plain = skewed.join(right, "k", how)
+    got = skew.split_join(skewed, right, ["k"], how, hashed=True)
+    assert set(got.columns) == set(plain.columns) and rows(got.select(*plain.columns)) == rows(plain)
+
+
 def test_without_allows_repeated_keys(skewed):
     right = skewed.where("k in ('hot', 'k4')")
     got = skew.without(skewed.dropna(), right, ["k"])
