@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import handed_over
 from . import diff as D
 from .skew import split_join, without
 
@@ -150,7 +151,7 @@ def item_changes(
 
     Updated items take the source's value where the flag is set and keep their own
     otherwise; an item that is also deleted (same name without case) is not updated.
-    Malformed metadata JSON becomes NULL.
+    Malformed metadata JSON becomes NULL. The rows are made once and stored; after that, only updates and the names of deletions meet.
     """
     rows = _item_states(db_items, dh_items, db_sets, dh_sets).where(_by_change(
         add=F.lit(True),
@@ -160,12 +161,13 @@ def item_changes(
         "schema": _by_change(add="_db_schema", delete="_dh_schema", update="_db_schema"),
         "set_id": _by_change(update="_set_id"),
     }).drop("_in_db", "_in_dh", "_db_schema", "_dh_schema", "_set_id")
-    same_name = Window.partitionBy(F.lower("dataset_id"), F.lower("physical_nm"))
-    kept = rows.withColumn("_gone", F.max(F.col("change_type") == DELETE).over(same_name)).where(
-        (F.col("change_type") != UPDATE) | ~F.col("_gone"))
-    return kept.select(
+    rows = handed_over(rows.select(
         "change_type", "dataset_id", "physical_nm", "schema", "logical_nm", "type", "description", "key_type", "key_name", "nullable",
-        "example", "default_val", "set_id", "item_id", "metadata")
+        "example", "default_val", "set_id", "item_id", "metadata"))
+    change = F.col("change_type")
+    gone = rows.where(change == DELETE).select(F.lower("dataset_id").alias("_set"), F.lower("physical_nm").alias("_item"))
+    same_name = (F.lower("dataset_id") == F.col("_set")) & (F.lower("physical_nm") == F.col("_item"))  # an update's names are never NULL
+    return rows.where(change != UPDATE).unionByName(rows.where(change == UPDATE).join(gone, same_name, "left_anti"))
 
 
 # --- relationships ----------------------------------------------------------
@@ -176,7 +178,7 @@ def relationship_states(
 ) -> DataFrame:
     """Every relationship of either side with its change (NULL if none) and its owning set.
 
-    Unchanged ones go along with their id alone, as only their name and sides matter later.
+    Unchanged ones go along with their id alone, as only their name and sides matter later; updated ones without the fields that no update shows.
     ``_known``: some side has the owning set; ``_set_gone``: that set is being deleted.
     Owners are compared without case. The join can be split, since one
     set may own a large share of all relationships.
@@ -185,11 +187,15 @@ def relationship_states(
     updated = reduce(lambda a, b: a | b, [X.folded(f"dh.{r}") != X.folded(f"db.{r}") for r in rules])
     states = _sides(db_rels, dh_rels, ["physical_nm"]).withColumn("change_type", _change(updated)).withColumn(
         "dataset_id", F.coalesce("db.dataset_id", "dh.dataset_id"))
-    changed = F.col("change_type").isNotNull()
+    changed, one_sided = F.col("change_type").isNotNull(), F.col("change_type").isin(ADD, DELETE)
+    unseen = {"db": ("type",), "dh": ("type", "logical_nm")}  # by an update
 
     def slim(side: str) -> Column:
-        """The side's row; of one that agrees with the other side only the id."""
-        fields = [F.when(changed | F.lit(f == "id"), F.col(f"{side}.{f}")).alias(f) for f in states.schema[side].dataType.fieldNames()]
+        """The side's row but its owner; of one that agrees with the other side only the id."""
+        def wanted(f: str) -> Column:
+            return F.lit(f == "id") if f in ("id", "dataset_id") else one_sided if f in unseen[side] else changed
+
+        fields = [F.when(wanted(f), F.col(f"{side}.{f}")).alias(f) for f in states.schema[side].dataType.fieldNames()]
         return F.when(F.col(side).isNotNull(), F.struct(*fields))
 
     states = states.withColumns({side: slim(side) for side in ("db", "dh")})
@@ -283,17 +289,19 @@ def join_changes(
     states = relationship_states(db_rels, dh_rels, db_sets, dh_sets) if states is None else states
     # Gone: the relationship's own deletion is in the feed (its set is known and stays).
     gone = Window.partitionBy(F.lower("physical_nm"))
-    owner = states.select(  # before the window, so that its shuffle carries no texts
+    owner = states.select(  # before the window, so that its shuffle carries no texts, and the name not once more in lower case
         "physical_nm", F.col("dh.id").alias("relationship_id"),
         F.col("db").isNotNull().alias("_in_db"), F.col("dh").isNotNull().alias("_in_dh"), "_set_gone",
         F.coalesce((F.col("change_type") == DELETE) & F.col("_known") & ~F.col("_set_gone"), F.lit(False)).alias("_goes"),
-    ).withColumn("_gone", F.max("_goes").over(gone)).drop("_goes").withColumnRenamed("physical_nm", "db_relationship_id")
+    ).repartition(F.lower("physical_nm")).withColumn("_gone", F.max("_goes").over(gone)).drop("_goes").withColumnRenamed("physical_nm", "db_relationship_id")
     complete = F.col("parent_fqdn").isNotNull() & F.col("child_fqdn").isNotNull()
     kept = changes.join(owner, "db_relationship_id").where(~F.col("_gone")).where(_by_change(
         add=F.col("_in_db") & ~F.col("_in_dh") & ~F.col("_set_gone") & complete,
         delete=F.col("_in_dh") & ~F.col("_in_db") & ~F.col("_set_gone") & complete, update=F.col("_in_dh")))
     other = dh_joins.select(*pair, F.lit(ADD).alias("change_type")).unionByName(db_joins.select(*pair, F.lit(DELETE).alias("change_type")))
-    kept = split_join(kept, other, [*pair, "change_type"], "left_anti")
+    # Told by the owner too, so that the lookup stays behind the join with it, where there are fewer rows. One side always has it here.
+    kept = kept.withColumn("_change", F.when(F.col("_in_db") | F.col("_in_dh"), F.col("change_type"))).drop("change_type")
+    kept = split_join(kept, other.withColumnRenamed("change_type", "_change"), [*pair, "_change"], "left_anti").withColumnRenamed("_change", "change_type")
     return kept.select(
         "change_type", "db_relationship_id", _by_change(update="relationship_id").alias("relationship_id"),
         _by_change(update=~F.col("_in_db")).alias("creates_relationship"),

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, stored
+from ..session import cut, handed_over
 
 # Hexadecimal digits of a hash that choose the bucket of a row within its key: 256 buckets.
 BUCKET_DIGITS = 2
@@ -30,9 +30,9 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, has
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     key = F.struct(*keys)
-    same = F.col("_key") == F.col("_offered")
-    if hashed:
-        same = (F.xxhash64("_key") == F.xxhash64("_offered")) & same
+    if not hashed:  # the left key stands in the condition alone, so that no shuffle carries its columns twice
+        return left.join(right.withColumn("_offered", key).drop(*keys), F.when(known, key) == F.col("_offered"), how).drop("_offered")
+    same = (F.xxhash64("_key") == F.xxhash64("_offered")) & (F.col("_key") == F.col("_offered"))
     return left.withColumn("_key", F.when(known, key)).join(right.withColumn("_offered", key).drop(*keys), same, how).drop("_key", "_offered")
 
 
@@ -69,7 +69,7 @@ def number_in_parts(df: DataFrame, keys: list[str], order_by: list[str], chunk:
     shuffle by the keys numbers the rows, and grouping them by keys and part needs no other. The rows of a large key are ranked in a
     task for each bucket, behind the counts of its earlier buckets, at most 256 rows a key. Callers pass only the columns they need.
     """
-    rows = stored(df.withColumn("_bucket", bucket(order_by)))
+    rows = handed_over(df.withColumn("_bucket", bucket(order_by)))
     hot = cut(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > large).select(F.struct(*keys).alias("_group")))
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("_bucket", *order_by))
     if not hot.isEmpty():

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import cascade, catalog, delta, profile, resolve, snapshot
 from ..operators.skew import split_join
-from ..session import cut
+from ..session import handed_over
 from ..sources import documents, schemas, sinks, snapshots
 
 CHANGES = ("sets", "items", "relationships", "joins")
@@ -96,7 +96,7 @@ def expand_json_columns(
 
 def changes_between(db: dict[str, DataFrame], dh: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The changes of all four kinds, in dependency order. What relationships and pairs need of the relationships is made once."""
-    states = cut(cascade.relationship_states(db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]))
+    states = handed_over(cascade.relationship_states(db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]))
     return {
         "sets": cascade.set_changes(db["dataset"], dh["dataset"]),
         "items": cascade.item_changes(db["dataitem"], dh["dataitem"], db["dataset"], dh["dataset"]),
