@@ -18,7 +18,7 @@ from metaskein.operators import order as O
 from metaskein.operators import profile as P
 from metaskein.operators import resolve as R
 from metaskein.operators import snapshot as N
-from metaskein.session import checkpoint_dir, configure, cut
+from metaskein.session import checkpoint_dir, configure, cut, handed_over
 from metaskein.sources import documents as J
 from metaskein.plans import sync as S
 from metaskein.sources import schemas
@@ -361,7 +361,7 @@ def payload_relationships(i):
 
 @query
 def payload_requests(i):
-    out = L.payloads(i.set_changes(), cut(_items_with_sets(i)), cut(i.relationship_changes()), _pairs(i.db_join), CHUNK)
+    out = L.payloads(i.set_changes(), handed_over(_items_with_sets(i)), handed_over(i.relationship_changes()), _pairs(i.db_join), CHUNK)
     size = lambda c: F.json_array_length(F.get_json_object("body", f"$.{c}"))
     return out.select("phase_no", "phase", "entity", "target_id", "part",
                       F.coalesce(size("items"), size("relationships")).alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from .skew import number_in_parts, spread_join
+from .skew import number_in_parts, split_join, spread_join
 
 # Order of the phases, preview marks, and attribute names in payloads.
 PHASES = {"delete": 1, "add": 2, "update": 3}
@@ -129,10 +129,11 @@ def relationship_bodies(rels: DataFrame, pairs: DataFrame, chunk: int = 1000) ->
     """Relationships with ``body``; one without column pairs has none and no row.
 
     Sets and cardinality come from the first pair. More than ``chunk`` pairs make
-    several bodies with ``part`` 0, 1, …, each pair in exactly one.
+    several bodies with ``part`` 0, 1, …, each pair in exactly one. Pairs of other relationships are left out before any is numbered.
     """
     order = ["position", "parent_fqdn", "child_fqdn"]
-    p = pairs.select(
+    names = rels.select(F.col("physical_nm").alias("db_relationship_id"))
+    p = split_join(pairs, names, ["db_relationship_id"], "left_semi").select(
         F.col("db_relationship_id").alias("physical_nm"), *order, "cardinality",
         X.fqdn("parent_schema", "parent_set").alias("parent_set"),
         X.fqdn("child_schema", "child_set").alias("child_set"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.queries import Inputs
 from conftest import rows
-from metaskein.operators import cascade
+from metaskein.operators import cascade, delta
 from metaskein.operators.snapshot import latest_rows
 from metaskein.session import FREE_SHUFFLES, cut, handed_over
 from metaskein.sources import schemas
@@ -102,6 +102,19 @@ def test_updates_alone_are_looked_up_among_deletions(spark):
     assert "Window" not in plan(found) and plan(found).count("FullOuter") == 0
 
 
+def test_only_pairs_of_the_relationships_at_hand_are_numbered(spark, monkeypatch):
+    pairs = spark.range(60).selectExpr(
+        "case when id % 30 = 0 then null else concat('fk_', id % 6) end as db_relationship_id", "concat('p.s.', id) as parent_fqdn", "concat('p.t.', id) as child_fqdn",
+        "cast(id as int) as position", "'1,1,0,-1' as cardinality", "'p' as parent_schema", "'s' as parent_set", "'p' as child_schema", "'t' as child_set")
+    names = spark.createDataFrame([("fk_1",), ("fk_4",), ("fk_9",), (None,)], "physical_nm string")
+    rels = names.selectExpr("'add' as change_type", "physical_nm", "'' as logical_nm", "'' as on_update", "'' as on_delete", "'' as on_match")
+    numbered, number = [], delta.number_in_parts
+    monkeypatch.setattr(delta, "number_in_parts", lambda df, *a: (numbered.append(df.count()), number(df, *a))[1])
+    parts = delta.relationship_bodies(rels, pairs, 3)
+    assert rows(parts.groupBy("physical_nm").agg(F.count("*"), F.sum(F.size("body.items")))) == [("fk_1", 4, 10), ("fk_4", 4, 10)]
+    assert numbered == [20]
+
+
 def test_join_keys_are_not_shuffled_beside_their_columns(spark):
     from metaskein.operators.skew import split_join
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
