@@ -51,10 +51,10 @@ def preview(feed: DataFrame, max_rows: int = DEFAULT_PREVIEW) -> DataFrame:
 
 def diff_json(feed: DataFrame, chunk: int = 1000) -> DataFrame:
     """The feed as JSON objects ``{add, delete, update}``, up to ``chunk`` changes each."""
-    entry = F.to_json(F.struct("entity_id", "catalog_id", "schema", "set_nm", "name"))
-    parts = number_in_parts(
-        feed.select("entity", "change_type", "entity_id", "catalog_id", "name", entry.alias("entry")),
-        ["entity"], ["change_type", "entity_id", "catalog_id", "name"], chunk)
+    told = ["entity_id", "catalog_id", "schema", "set_nm", "name"]
+    parts = number_in_parts(  # of the columns that the entries are made of: the entries would hold the same texts once more
+        feed.select("entity", "change_type", *told), ["entity"], ["change_type", "entity_id", "catalog_id", "name"], chunk
+    ).withColumn("entry", F.to_json(F.struct(*told)))
     lists = parts.groupBy("entity", "part").agg(*[
         F.array_sort(F.collect_list(F.when(F.col("change_type") == c, F.col("entry")))).alias(c)
         for c in ("add", "delete", "update")

@@ -115,6 +115,19 @@ def test_only_pairs_of_the_relationships_at_hand_are_numbered(spark, monkeypatch
     assert numbered == [20]
 
 
+def test_entries_of_the_feed_are_made_after_they_are_numbered(spark, monkeypatch):
+    feed = spark.range(25).selectExpr("'item' as entity", "'add' as change_type", "concat('i', id) as entity_id", "cast(null as string) as catalog_id",
+                                      "'p' as schema", "'s' as set_nm", "concat('n\"', id) as name")
+    columns, number = [], delta.number_in_parts
+    monkeypatch.setattr(delta, "number_in_parts", lambda df, *a: (columns.extend(df.columns), number(df, *a))[1])
+    found = delta.diff_json(feed, 10)
+    assert "entry" not in columns and set(columns) == set(feed.columns)
+    entry = F.from_json("json", "add array<struct<entity_id:string,schema:string,set_nm:string,name:string>>")["add"]
+    listed = found.select(F.explode(entry).alias("e")).select("e.*")
+    assert found.count() == 3 and rows(listed) == rows(feed.select("entity_id", "schema", "set_nm", "name"))
+    assert not found.where("json like '%catalog_id%'").count()
+
+
 def test_join_keys_are_not_shuffled_beside_their_columns(spark):
     from metaskein.operators.skew import split_join
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
