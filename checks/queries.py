@@ -75,7 +75,7 @@ class Inputs:
         return K.set_changes(self.db_dataset, self.dh_dataset)
 
     def item_changes(self) -> DataFrame:
-        return K.item_changes(self.db_dataitem, self.dh_dataitem, self.db_dataset, self.dh_dataset)
+        return K.item_changes(self.db_dataitem, self.dh_dataitem, self.db_dataset, self.dh_dataset, store=True)
 
     def relationship_changes(self) -> DataFrame:
         return K.relationship_changes(self.db_relationship, self.dh_relationship, self.db_dataset, self.dh_dataset)

@@ -145,13 +145,13 @@ def unresolved_items(db_items: DataFrame, dh_items: DataFrame, db_sets: DataFram
 
 
 def item_changes(
-    db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame
+    db_items: DataFrame, dh_items: DataFrame, db_sets: DataFrame, dh_sets: DataFrame, store: bool = False
 ) -> DataFrame:
     """Item changes within their set, without those of deleted sets and of sets that no side knows (``unresolved_items``).
 
     Updated items take the source's value where the flag is set and keep their own
     otherwise; an item that is also deleted (same name without case) is not updated.
-    Malformed metadata JSON becomes NULL. The rows are made once and stored; after that, only updates and the names of deletions meet.
+    Malformed metadata JSON becomes NULL. With ``store`` the rows are made and stored first; after that, only updates and the names of deletions meet.
     """
     rows = _item_states(db_items, dh_items, db_sets, dh_sets).where(_by_change(
         add=F.lit(True),
@@ -161,13 +161,17 @@ def item_changes(
         "schema": _by_change(add="_db_schema", delete="_dh_schema", update="_db_schema"),
         "set_id": _by_change(update="_set_id"),
     }).drop("_in_db", "_in_dh", "_db_schema", "_dh_schema", "_set_id")
-    rows = handed_over(rows.select(
+    columns = [
         "change_type", "dataset_id", "physical_nm", "schema", "logical_nm", "type", "description", "key_type", "key_name", "nullable",
-        "example", "default_val", "set_id", "item_id", "metadata"))
+        "example", "default_val", "set_id", "item_id", "metadata"]
     change = F.col("change_type")
+    if not store:
+        same_name = Window.partitionBy(F.lower("dataset_id"), F.lower("physical_nm"))
+        return rows.withColumn("_gone", F.max(change == DELETE).over(same_name)).where((change != UPDATE) | ~F.col("_gone")).select(*columns)
+    rows = handed_over(rows.select(*columns))
     gone = rows.where(change == DELETE).select(F.lower("dataset_id").alias("_set"), F.lower("physical_nm").alias("_item"))
-    same_name = (F.lower("dataset_id") == F.col("_set")) & (F.lower("physical_nm") == F.col("_item"))  # an update's names are never NULL
-    return rows.where(change != UPDATE).unionByName(rows.where(change == UPDATE).join(gone, same_name, "left_anti"))
+    same = (F.lower("dataset_id") == F.col("_set")) & (F.lower("physical_nm") == F.col("_item"))  # an update's names are never NULL
+    return rows.where(change != UPDATE).unionByName(rows.where(change == UPDATE).join(gone, same, "left_anti"))
 
 
 # --- relationships ----------------------------------------------------------

@@ -99,7 +99,7 @@ def changes_between(db: dict[str, DataFrame], dh: dict[str, DataFrame]) -> dict[
     states = handed_over(cascade.relationship_states(db["relationship"], dh["relationship"], db["dataset"], dh["dataset"]))
     return {
         "sets": cascade.set_changes(db["dataset"], dh["dataset"]),
-        "items": cascade.item_changes(db["dataitem"], dh["dataitem"], db["dataset"], dh["dataset"]),
+        "items": cascade.item_changes(db["dataitem"], dh["dataitem"], db["dataset"], dh["dataset"], store=True),
         "relationships": cascade.relationship_changes(
             db["relationship"], dh["relationship"], db["dataset"], dh["dataset"], states=states),
         "joins": cascade.join_changes(

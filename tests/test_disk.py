@@ -96,7 +96,9 @@ def test_updates_alone_are_looked_up_among_deletions(spark):
     dh = spark.createDataFrame([item("s", "a", "text", "1"), item("s", "A", "text", "2"), item("s", "b", "text", "3"), item("s", "new", "text", "4"),
                                 item(None, "x", "text", "5"), item("s", None, "u", "6")], f"{ITEM}, id string")
     sets = spark.createDataFrame([("s", "s", "p", "", "", "")], SET)
-    found = cascade.item_changes(db, dh, sets, sets.withColumn("id", F.lit("S")))
+    found = cascade.item_changes(db, dh, sets, sets.withColumn("id", F.lit("S")), store=True)
+    plain = cascade.item_changes(db, dh, sets, sets.withColumn("id", F.lit("S")))
+    assert found.columns == plain.columns and rows(found) == rows(plain)
     assert rows(found.select("change_type", "dataset_id", "physical_nm")) == rows(spark.createDataFrame(
         [("add", "s", "New"), ("add", None, "x"), ("add", "s", None), ("delete", "s", "A"), ("delete", "s", "new"), ("delete", "s", None), ("update", "s", "b")],
         "a string, b string, c string"))
